@@ -19,11 +19,12 @@ COMMENT = r"<!--.*?-->"
 CDATA = r"<!\[CDATA\[.*?\]\]>"
 INSTRUCTION = r"<\?.*?\?>"
 DOCTYPE = r"<![A-Za-z][^\[>]*+(?:\[[^\]]*+\][^>]*+)?>"
-TAG = rf"</?[A-Za-z_:]{ATTRIBUTES}>"
+# The only capture inside the markup: the name.
+TAG = rf"</?([A-Za-z_:][^\s/>]*+){ATTRIBUTES}>"
 # Script and style hold raw text that must not be read as markup.
 RAW_ELEMENT = r"<(?i:script)\b[^>]*+>.*?</(?i:script)\s*+>|<(?i:style)\b[^>]*+>.*?</(?i:style)\s*+>"
-XML_MARKUP = f"(?s)(?:{COMMENT}|{CDATA}|{INSTRUCTION}|{DOCTYPE}|{TAG}|<)"
-HTML_MARKUP = f"(?s)(?:{COMMENT}|{RAW_ELEMENT}|{DOCTYPE}|{TAG}|<)"
+XML_MARKUP = f"{COMMENT}|{CDATA}|{INSTRUCTION}|{DOCTYPE}|{TAG}|<"
+HTML_MARKUP = f"{COMMENT}|{RAW_ELEMENT}|{DOCTYPE}|{TAG}|<"
 
 UNKNOWN_ENTITY = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
 
@@ -90,43 +91,35 @@ def markup_tokens(payloads: DataFrame, mode: str = "xml") -> DataFrame:
 
 
 def _split(payloads: DataFrame, mode: str) -> DataFrame:
+    """Markup items with name and following text. The payload is scanned once per part;
+    that is far cheaper than matching every exploded item again. Blank payloads have no
+    items; they are not filtered out first, because a filter would be pushed below
+    whatever builds the payload and make Spark build it twice."""
     markup = XML_MARKUP if mode == "xml" else HTML_MARKUP
-    exploded = (
-        payloads.where(F.col("payload").rlike(r"\S"))
-        .select("doc_id", "payload")
+    pattern = F.lit(f"(?s)({markup})([^<]*+)")
+    parts = [
+        F.regexp_extract_all("payload", pattern, F.lit(group)).alias(name)
+        for group, name in ((1, "markup"), (2, "qname"), (3, "rest"))
+    ]
+    items = (
+        payloads.select("doc_id", "payload")
         .repartition("doc_id")
-        .select(
-            "doc_id",
-            F.posexplode(
-                F.regexp_extract_all("payload", F.lit(f"{markup}[^<]*+"), F.lit(0))
-            ).alias("pos", "item"),
-        )
+        .select("doc_id", F.posexplode(F.arrays_zip(*parts)).alias("pos", "item"))
+        .select("doc_id", "pos", "item.*")
     )
-    parts = exploded.select(
-        "doc_id", "pos", "item", F.regexp_extract("item", markup, 0).alias("markup")
-    )
-    name = F.regexp_extract("markup", r"^</?([A-Za-z_:][^\s/>]*)", 1)
-    rest = F.substring(F.col("item"), F.length("markup") + 1, F.length("item"))
-    parts = parts.select("doc_id", "pos", "markup", name.alias("qname"), rest.alias("rest"))
+    tag = F.lower(F.substring_index("qname", ":", -1))
     closes = (F.col("qname") != "") & F.col("markup").startswith("</")
+    opens = (F.col("qname") != "") & ~closes
     ends = F.col("markup").endswith("/>")
-    tag = F.lower(F.substring_index("qname", ":", -1))
+    tail = F.when(ends, 2).otherwise(1)
+    attrs = F.substring(
+        F.col("markup"),
+        F.length("qname") + 2,
+        F.length("markup") - F.length("qname") - 1 - tail,
+    )
     if mode == "html":
-        # Raw elements are dropped whole; what follows them is kept.
-        raw = tag.isin("script", "style")
-        parts = parts.withColumn("qname", F.when(raw, "").otherwise(F.col("qname")))
         ends = ends | tag.isin(*VOID_TAGS)
-    opens = (F.col("qname") != "") & ~closes
-    tail = F.when(F.col("markup").endswith("/>"), 2).otherwise(1)
-    attrs = F.when(
-        opens,
-        F.substring(
-            F.col("markup"),
-            F.length("qname") + 2,
-            F.length("markup") - F.length("qname") - 1 - tail,
-        ),
-    )
-    return parts.select(
+    return items.select(
         "doc_id",
         "pos",
         (opens & ~ends).alias("is_open"),
@@ -134,7 +127,7 @@ def _split(payloads: DataFrame, mode: str) -> DataFrame:
         (opens & ends).alias("is_selfclosing"),
         "qname",
         tag.alias("tag"),
-        attrs.alias("attrs"),
+        F.when(opens, attrs).alias("attrs"),
         "markup",
         "rest",
     )

@@ -9,6 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+# The JVM does not compile methods above 8000 bytes. Generated code of that size is split
+# into small functions instead of being run by the byte code interpreter.
+JOB_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings the jobs need to a session made elsewhere."""
+    for key, value in JOB_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app_name: str = "scholion", **conf: str) -> SparkSession:
     """Session with the settings the jobs are written for. Anything may be overridden."""
     settings = {
@@ -20,7 +32,7 @@ def build_session(app_name: str = "scholion", **conf: str) -> SparkSession:
         # Groups arrive sorted by document; hash buffers need not give way early.
         "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
         "spark.ui.enabled": "false",
-    } | conf
+    } | JOB_CONF | conf
     builder = SparkSession.builder.appName(app_name)
     for key, value in settings.items():
         builder = builder.config(key, value)
