@@ -30,9 +30,10 @@ def element(name: str, *content, attrs: str = "") -> Column:
     return _cat(f"<{name}{' ' + attrs if attrs else ''}>", *content, f"</{name}>")
 
 
-def with_lines(documents: DataFrame) -> DataFrame:
-    """Add ``lines``: the non-blank lines, white space normalized, as markup text."""
-    normal = F.transform(F.split("text", "\n"), lambda x: xml_escape(normalize_ws(x)))
+def with_lines(documents: DataFrame, markup: bool = True) -> DataFrame:
+    """Add ``lines``: the non-blank lines, white space normalized, escaped for markup."""
+    escape = xml_escape if markup else (lambda x: x)
+    normal = F.transform(F.split("text", "\n"), lambda x: escape(normalize_ws(x)))
     return documents.select(
         "doc_id", "lang", "source", "n_chars", F.filter(normal, lambda x: x != "").alias("lines")
     )
@@ -283,7 +284,7 @@ def html_payloads(documents: DataFrame) -> DataFrame:
 def versions(documents: DataFrame) -> DataFrame:
     """Article records in several versions per id: doc_id, pmc_id, arrival, sections,
     abstract_text and the rest of the record, without any markup work."""
-    d = with_lines(documents)
+    d = with_lines(documents, markup=False)
     count = F.ceil(F.size("lines") / LINES_PER_SECTION).cast("int")
     entries = F.transform(
         F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
