@@ -46,48 +46,39 @@ def unit_texts(tokens: DataFrame, units: list[str], markers: list[str], info: li
     hidden elements below it out). Units may nest: a text then counts for each of
     them. Markers get no text. ``info`` columns are copied from the opening tag.
     """
-    is_unit = F.coalesce(F.col("kind").isin(*units), F.lit(False))
-    is_marker = F.coalesce(F.col("kind").isin(*markers), F.lit(False)) & is_opener()
-    leveled = tokens.select("*", running_sum(delta(is_unit)).alias("open_units"))
-
-    opens = is_unit & F.col("is_open")
-    closed = is_unit & F.col("is_selfclosing")
-    own_level = F.col("open_units") + F.when(closed, 1).otherwise(0)
-    lowest = (
-        F.when(F.col("text") != "", F.lit(1))
-        .when(opens | closed, own_level)
-        .otherwise(F.lit(None))
-    )
+    def among(kinds: list[str]) -> str:
+        listed = ", ".join(f"'{k}'" for k in kinds)
+        return f"coalesce(kind in ({listed}), false)" if kinds else "false"
+
+    is_marker = f"({among(markers)} and (is_open or is_selfclosing))"
+    t = tokens.selectExpr("*", f"{among(units)} as is_unit", f"{is_marker} as is_marker")
+    t = t.select("*", running_sum(delta(F.col("is_unit"))).alias("open_units"))
+    me = ", ".join(["pos", "end_pos", "depth", "kind", "skip_hidden", "hidden", *info])
+    t = t.selectExpr(
+        "doc_id", "pos", "text", "hidden", "is_marker",
+        "is_unit and (is_open or is_selfclosing) as starts",
+        "is_unit and is_selfclosing as empty",
+        "open_units + if(is_unit and is_selfclosing, 1, 0) as own_level",
+        f"struct({me}) as me",
+    )
     # No level at all for tokens outside of every unit; level 0 is for markers.
-    levels = F.when(lowest <= own_level, F.sequence(lowest, own_level)).otherwise(
-        F.array().cast("array<bigint>")
-    )
-    levels = F.when(is_marker, F.concat(F.array(F.lit(0).cast("bigint")), levels)).otherwise(levels)
-    spread = leveled.select(
-        "doc_id",
-        "pos",
-        "text",
-        "hidden",
-        (opens | closed).alias("starts"),
-        own_level.alias("own_level"),
-        closed.alias("empty"),
-        F.struct("pos", "end_pos", "depth", "kind", "skip_hidden", "hidden", *info).alias("me"),
-        F.explode(levels).alias("level"),
-    )
-    mine = F.when(
-        (F.col("level") == 0) | (F.col("starts") & (F.col("level") == F.col("own_level"))),
-        F.col("me"),
+    lowest = "case when text <> '' then 1L when starts then own_level end"
+    levels = f"if({lowest} <= own_level, sequence({lowest}, own_level), array())"
+    t = t.selectExpr(
+        "doc_id", "pos", "text", "hidden", "starts", "empty", "own_level", "me",
+        f"explode(concat(if(is_marker, array(0L), array()), {levels})) as level",
+    )
+    t = t.selectExpr(
+        "*",
+        "last(case when level = 0 or (starts and level = own_level) then me end, true) over "
+        "(partition by doc_id, level order by pos "
+        "rows between unbounded preceding and current row) as unit",
     )
-    w = W.partitionBy("doc_id", "level").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    owned = spread.select("*", F.last(mine, ignorenulls=True).over(w).alias("unit"))
     left_out = (
-        (F.col("level") == 0)
-        | (F.col("empty") & (F.col("level") == F.col("own_level")))
-        | (F.col("unit.skip_hidden") & (F.col("hidden") > F.col("unit.hidden")))
+        "level = 0 or (empty and level = own_level) or (unit.skip_hidden and hidden > unit.hidden)"
     )
-    piece = F.when(left_out, "").otherwise(F.col("text"))
     return (
-        owned.select("doc_id", "unit", "pos", piece.alias("piece"))
+        t.selectExpr("doc_id", "unit", "pos", f"if({left_out}, '', text) as piece")
         .groupBy("doc_id", "unit")
         .agg(F.expr("listagg(piece, '') within group (order by pos)").alias("text"))
         .select("doc_id", "unit.*", "text")

@@ -65,15 +65,16 @@ def running_last(c: Column) -> Column:
     return F.last(c, ignorenulls=True).over(in_doc_order())
 
 
+def attr_sql(name: str) -> str:
+    """Raw value of an attribute of the tag at hand, as SQL; null when absent."""
+    pattern = rf"""(?:^|\\s){name}\\s*=\\s*("[^"]*"|\'[^\']*\'|[^\\s"\'>]+)"""
+    value = f"regexp_extract(attrs, '{pattern}', 1)"
+    bare = f"if(v rlike '^[\"\\']', substring(v, 2, length(v) - 2), v)"
+    return f"if(attrs like '%{name}%', transform(array(nullif({value}, '')), v -> {bare})[0], null)"
+
+
 def attr(name: str) -> Column:
-    """Raw value of an attribute of the tag at hand; null when absent."""
-    pattern = rf"""(?:^|\s){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    value = F.regexp_extract("attrs", pattern, 1)
-    bare = F.when(
-        value.startswith('"') | value.startswith("'"),
-        F.substring(value, F.lit(2), F.length(value) - 2),
-    ).otherwise(value)
-    return F.when(value != "", bare)
+    return F.expr(attr_sql(name))
 
 
 def markup_tokens(payloads: DataFrame, mode: str = "xml") -> DataFrame:

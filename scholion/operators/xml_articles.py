@@ -10,8 +10,6 @@ Stages, all inside one partitioning by document:
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,6 +38,7 @@ from scholion.operators.elements import (
 )
 from scholion.operators.tokens import (
     attr,
+    attr_sql,
     before_in_doc,
     markup_tokens,
     running_last,
@@ -145,163 +144,152 @@ def xml_first_article(tokens: DataFrame) -> DataFrame:
         running_sum(delta((F.col("qname") == "article-categories") & inside("meta"))).alias(
             "categories"
         ),
-        _is_structural().alias("structural"),
+        F.expr(STRUCTURAL).alias("structural"),
     )
 
 
-def _secs_here() -> Column:
-    """Open sections at an element, itself counted, alike on both of its tags."""
-    itself = (F.col("tag") == "sec") & (F.col("is_close") | F.col("is_selfclosing"))
-    return F.col("secs") + F.when(itself, 1).otherwise(0)
+# Rules below are SQL conditions on a tag, alike on both tags of an element.
+SECS_HERE = "(secs + if(tag = 'sec' and (is_close or is_selfclosing), 1, 0))"
+
+
+def _below(scope: str) -> str:
+    return f"(start_pos > {scope}.pos and start_pos < {scope}.end_pos)"
+
+
+# Body element with nothing but sections between it and the body.
+STRUCTURAL = (
+    f"coalesce({_below('body')} and "
+    f"{SECS_HERE} = depth - body.depth - if(tag = 'sec', 0, 1), false)"
+)
 
 
-def _is_structural() -> Column:
-    """Body element with nothing but sections between it and the body."""
-    between = F.col("depth") - F.col("body.depth") - F.when(F.col("tag") == "sec", 0).otherwise(1)
-    return F.coalesce(inside("body") & (_secs_here() == between), F.lit(False))
+def _names(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
-def _front_kind(groups) -> list[tuple[Column, str, Column, Column]]:
-    """(condition, kind, info, flag) for front matter."""
-    q, none, no = F.col("qname"), F.lit(None).cast("string"), F.lit(False)
-    in_meta, in_front = inside("meta"), inside("front")
-    direct = F.col("depth") == F.col("meta.depth") + 1
+def _front_rules(groups) -> list[tuple[str, str, str, str]]:
+    """(kind, condition, info, flag) for front matter."""
+    in_meta, in_front = _below("meta"), _below("front")
     rules = []
+
+    def add(kind: str, condition: str, info: str = "null", flag: str = "false") -> None:
+        rules.append((kind, condition, info, flag))
+
     if "title" in groups:
-        rules.append(((q == "article-title") & in_meta, "title", none, no))
+        add("title", f"qname = 'article-title' and {in_meta}")
     if "ids" in groups:
-        kind = attr("pub-id-type")
-        rules.append(((q == "article-id") & in_meta & kind.isin(*ID_TYPES), "article_id", kind, no))
+        known = f"{attr_sql('pub-id-type')} in ({_names(ID_TYPES)})"
+        add("article_id", f"qname = 'article-id' and {in_meta} and {known}", attr_sql("pub-id-type"))
     if "journal" in groups:
         for kind, name in JOURNAL_UNITS.items():
-            rules.append(((q == name) & inside("journal"), kind, attr("pub-type"), no))
-        for kind in ("volume", "issue", "f_page", "l_page"):
-            rules.append(((q == META_UNITS[kind]) & in_meta & direct, kind, none, no))
+            add(kind, f"qname = '{name}' and {_below('journal')}", attr_sql("pub-type"))
+        for kind, name in META_UNITS.items():
+            add(kind, f"qname = '{name}' and {in_meta} and depth = meta.depth + 1")
     if "category" in groups:
-        listed = F.col("categories") > 0
-        rules.append(((q == "subject") & in_meta & listed, "subject", none, no))
-        rules.append(((q == "subj-group") & in_meta, "subj_group", attr("subj-group-type"), no))
+        add("subject", f"qname = 'subject' and {in_meta} and categories > 0")
+        add("subj_group", f"qname = 'subj-group' and {in_meta}", attr_sql("subj-group-type"))
     if "dates" in groups:
-        history = F.col("history") > 0
-        dated = in_meta & ((q == "pub-date") | ((q == "date") & history))
-        rules.append((dated, "date", _date_type(), history))
+        dated = "(qname = 'pub-date' or (qname = 'date' and history > 0))"
+        # The pub-type of a pub-date, blank when it has none; null for other dates.
+        pub_type = f"if(qname = 'pub-date', coalesce({attr_sql('pub-type')}, ''), null)"
+        add("date", f"{dated} and {in_meta}", pub_type, "history > 0")
         for part in DATE_PARTS:
-            rules.append(((q == part) & in_meta, part, none, no))
+            add(part, f"qname = '{part}' and {in_meta}")
     if "authors" in groups:
-        author = attr("contrib-type") == "author"
-        rules.append(((q == "contrib") & in_front & author, "contrib", none, no))
-        rules.append(((q == "given-names") & in_front, "given", none, no))
-        rules.append(((q == "surname") & in_front, "surname", none, no))
+        author = f"{attr_sql('contrib-type')} = 'author'"
+        add("contrib", f"qname = 'contrib' and {in_front} and {author}")
+        add("given", f"qname = 'given-names' and {in_front}")
+        add("surname", f"qname = 'surname' and {in_front}")
     if "keywords" in groups:
-        rules.append(((q == "kwd-group") & in_front, "kwd_group", none, no))
-        rules.append(((q == "kwd") & in_front, "kwd", none, no))
+        add("kwd_group", f"qname = 'kwd-group' and {in_front}")
+        add("kwd", f"qname = 'kwd' and {in_front}")
     if "abstract" in groups:
-        below = F.col("depth") - F.col("abstract.depth")
-        rules.append(((q == "p") & inside("abstract"), "abs_p", none, no))
-        rules.append(((q == "sec") & inside("abstract") & (below == 1), "abs_sec", none, no))
-        rules.append(((q == "title") & inside("abstract") & (below == 2), "abs_title", none, no))
+        in_abs, down = _below("abstract"), "depth - abstract.depth"
+        add("abs_p", f"qname = 'p' and {in_abs}")
+        add("abs_sec", f"qname = 'sec' and {in_abs} and {down} = 1")
+        add("abs_title", f"qname = 'title' and {in_abs} and {down} = 2")
     return rules
 
 
-def _date_type() -> Column:
-    """The pub-type of a pub-date, blank when it has none; null for other dates."""
-    return F.when(F.col("qname") == "pub-date", F.coalesce(attr("pub-type"), F.lit("")))
-
-
-def _body_kind() -> list[tuple[Column, str, Column, Column]]:
-    none, no, yes = F.lit(None).cast("string"), F.lit(False), F.lit(True)
-    tag, q = F.col("tag"), F.col("qname")
-    usable = F.col("structural") & (F.col("skipped") == 0) & ~F.col("skips")
-    at_top = _secs_here() == 0
-    heading = tag.isin(*HEADINGS)
-    plain = usable & (tag != "sec")
-    whole = (
-        (q == "body") & (F.col("start_pos") == F.col("body.pos")) & ~F.col("body_has_elements")
-    )
-    # The flag says that the text keeps what prose leaves out.
+def _body_rules() -> list[tuple[str, str, str, str]]:
+    """As above; the flag says that the text keeps what prose leaves out."""
+    usable = "structural and skipped = 0 and not skips"
+    plain = f"{usable} and tag <> 'sec'"
+    at_top = f"{SECS_HERE} = 0"
+    heading = f"tag in ({_names(HEADINGS)})"
+    whole = "qname = 'body' and start_pos = body.pos and not coalesce(body_has_elements, false)"
     return [
-        (usable & (tag == "sec"), "sec", none, no),
-        (plain & at_top & heading, "heading", none, yes),
-        (plain & ~at_top & (q == "title"), "sec_title", none, yes),
-        (plain & ~at_top & (tag == "title"), "other", none, no),
-        (plain & heading, "line", none, yes),
-        (plain, "line", none, no),
-        (whole, "body_text", none, yes),
+        ("sec", f"{usable} and tag = 'sec'", "null", "false"),
+        ("heading", f"{plain} and {at_top} and {heading}", "null", "true"),
+        ("sec_title", f"{plain} and not {at_top} and qname = 'title'", "null", "true"),
+        ("other", f"{plain} and not {at_top} and tag = 'title'", "null", "false"),
+        ("line", f"{plain} and {heading}", "null", "true"),
+        ("line", plain, "null", "false"),
+        ("body_text", whole, "null", "true"),
     ]
 
 
-def _table_kind() -> list[tuple[Column, str, Column, Column]]:
-    q, none, no = F.col("qname"), F.lit(None).cast("string"), F.lit(False)
-    wrapped = (F.col("wrap_level") > 0) | ((q == "table-wrap") & F.col("is_close"))
-    noted = F.col("note_level") > 0
-    rules = [
-        (q == "table-wrap", "wrap", attr("id"), no),
-        (wrapped & (q == "table"), "table", none, no),
-        (wrapped & q.isin("tbody", "tfoot"), "table_part", q, no),
-        (wrapped & (q == "tr"), "tr", none, no),
-        (wrapped & (q == "table-wrap-foot"), "foot", none, no),
-        (wrapped & (q == "label"), "label", none, no),
-        (wrapped & (q == "caption"), "caption", none, no),
-        (wrapped & noted & (q == "title"), "cap_title", none, no),
-        (wrapped & noted & (q == "p"), "note_p", none, no),
-        (wrapped & (q == "th"), "th", none, F.col("thead_level") > 0),
-        (wrapped & (q == "td"), "td", none, no),
+def _table_rules() -> list[tuple[str, str, str, str]]:
+    def named(kind: str, names: str, more: str = "", info: str = "null", flag: str = "false"):
+        return (kind, f"wrap_level > 0 and qname in ({names}){more}", info, flag)
+
+    noted = " and note_level > 0"
+    return [
+        ("wrap", "qname = 'table-wrap'", attr_sql("id"), "false"),
+        named("table", "'table'"),
+        named("table_part", "'tbody', 'tfoot'", info="qname"),
+        named("tr", "'tr'"),
+        named("foot", "'table-wrap-foot'"),
+        named("label", "'label'"),
+        named("caption", "'caption'"),
+        named("cap_title", "'title'", noted),
+        named("note_p", "'p'", noted),
+        named("th", "'th'", flag="thead_level > 0"),
+        named("td", "'td'"),
     ]
-    return rules
 
 
 def xml_elements(scoped: DataFrame, groups=tuple(GROUPS)) -> DataFrame:
     """Elements of the asked groups with their normalized text.
 
     Columns: doc_id, pos, end_pos, depth, kind, info (an attribute), flag, rel (open
-    sections in the body, else depth is what counts), wrap_level, text.
+    sections in the body), wrap_level, text.
     """
-    is_tag = F.col("start_pos").isNotNull()
     t = scoped
     rules = []
     if "sections" in groups:
-        sec_type = F.lower(F.coalesce(attr("sec-type"), F.lit("")))
-        skips = F.col("structural") & (
-            F.col("tag").isin(*IGNORED, "ref-list")
-            | ((F.col("tag") == "sec") & sec_type.isin(*SKIPPED_SEC_TYPES))
+        sec_type = f"lower(coalesce({attr_sql('sec-type')}, ''))"
+        skips = (
+            f"structural and (tag in ({_names(IGNORED)}, 'ref-list') or "
+            f"(tag = 'sec' and {sec_type} in ({_names(SKIPPED_SEC_TYPES)})))"
         )
-        t = t.select("*", skips.alias("skips"))
+        t = t.selectExpr("*", f"{skips} as skips")
         t = t.select("*", running_sum(delta(F.col("skips"))).alias("skipped"))
-        rules += _body_kind()
+        rules += _body_rules()
     if "tables" in groups:
-        rules += _table_kind()
-    rules += _front_kind(groups)
-
+        rules += _table_rules()
+    rules += _front_rules(groups)
     # The article itself is always there, so that no article is lost for want of fields.
-    units = [k for g in groups for k in GROUPS[g][0]]
-    markers = ["article"] + [k for g in groups for k in GROUPS[g][1]]
-    is_article = F.col("start_pos") == F.col("article.pos")
-    rules.append((is_article, "article", F.lit(None).cast("string"), F.lit(False)))
-
-    def by_rule(values: list[Column]) -> Column:
-        """The value of the first rule that applies."""
-        first, *others = enumerate(values)
-        chain = F.when(F.col("rule") == first[0], first[1])
-        return reduce(lambda acc, v: acc.when(F.col("rule") == v[0], v[1]), others, chain)
-
-    first, *others = rules
-    rule = reduce(
-        lambda acc, r: acc.when(r[1][0], F.lit(r[0])),
-        enumerate(others, start=1),
-        F.when(first[0], F.lit(0)),
-    )
-    t = t.select("*", F.when(is_tag, rule).alias("rule"))
-    t = t.select(
+    rules.append(("article", "start_pos = article.pos", "null", "false"))
+
+    def by_rule(values: list[str], default: str, otherwise: str) -> str:
+        cases = [f"when {i} then {v}" for i, v in enumerate(values) if v != default]
+        return f"case rule {' '.join(cases)} else {otherwise} end" if cases else otherwise
+
+    cases = " ".join(f"when {r[1]} then {i}" for i, r in enumerate(rules))
+    t = t.selectExpr("*", f"case when start_pos is not null then case {cases} end end as rule")
+    t = t.selectExpr(
         "doc_id", "pos", "end_pos", "depth", "is_open", "is_close", "is_selfclosing",
         "text", "hidden", "wrap_level",
-        by_rule([F.lit(r[1]) for r in rules]).alias("kind"),
-        by_rule([r[2] for r in rules]).alias("info"),
-        by_rule([r[3] for r in rules]).alias("flag"),
-        (_secs_here() if "sections" in groups else F.lit(0).cast("bigint")).alias("rel"),
-    ).withColumn(
-        "skip_hidden",
-        F.col("kind").isin("th", "td") | ((F.col("kind") == "line") & ~F.col("flag")),
+        by_rule([f"'{r[0]}'" for r in rules], "", "null") + " as kind",
+        f"cast({by_rule([r[2] for r in rules], 'null', 'null')} as string) as info",
+        by_rule([r[3] for r in rules], "false", "false") + " as flag",
+        (SECS_HERE if "sections" in groups else "0L") + " as rel",
+    ).selectExpr(
+        "*", "kind in ('th', 'td') or (kind = 'line' and not flag) as skip_hidden"
     )
+    units = [k for g in groups for k in GROUPS[g][0]]
+    markers = ["article"] + [k for g in groups for k in GROUPS[g][1]]
     return unit_texts(t, units, markers, INFO).withColumn("text", normalize_ws(F.col("text")))
 
 

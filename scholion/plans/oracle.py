@@ -4,16 +4,29 @@ the text lines the inputs are built from and never parse markup."""
 from __future__ import annotations
 
 WS = r"[\s\x0b\x{85}\p{Z}]+"
-NORMAL = rf"trim(regexp_replace({{0}}, '{WS}', ' ', 'g'))"
-TRIMMED = rf"regexp_replace({{0}}, '^{WS}|{WS}$', '', 'g')"
-GAP = r"regexp_replace({0}, '\.([A-Z])', '. \1', 'g')"
-ESCAPED = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+def normal(x: str) -> str:
+    return f"trim(regexp_replace({x}, '{WS}', ' ', 'g'))"
+
+
+def trimmed(x: str) -> str:
+    return f"regexp_replace({x}, '^{WS}|{WS}$', '', 'g')"
+
+
+def gap(x: str) -> str:
+    return rf"regexp_replace({x}, '\.([A-Z])', '. \1', 'g')"
+
+
+def escaped(x: str) -> str:
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
 
 DOCS = f"""
 docs AS (
   SELECT doc_id, lang, source, n_chars, text,
     list_filter(list_transform(string_split(text, chr(10)),
-      lambda x: {NORMAL.format("x")}), lambda x: x <> '') AS ls
+      lambda x: {normal("x")}), lambda x: x <> '') AS ls
   FROM documents)"""
 GOOD = f"""{DOCS},
 good AS (SELECT *, len(ls) AS n, (len(ls) + 2) // 3 AS chunks FROM docs WHERE doc_id % 97 NOT IN (5, 6, 7)),
@@ -36,7 +49,7 @@ keyed AS (
   SELECT doc_id, c + 1 AS ord,
     CASE WHEN c < 3 THEN title WHEN title IS NULL THEN 'section_' || (c - 2)
       ELSE title || '_' || (c - 2) END AS key,
-    {GAP.format("txt")} AS txt
+    {gap("txt")} AS txt
   FROM sections)"""
 XML_TABLES = """
 tables AS (
@@ -80,24 +93,24 @@ HTML_DATE = f"""CASE doc_id % 4
 HTML_TS = """make_timestamp(doc_id % 20 + 2000,
     CASE WHEN doc_id % 4 = 3 THEN 1 ELSE doc_id % 12 + 1 END,
     CASE WHEN doc_id % 4 IN (0, 2) THEN doc_id % 28 + 1 ELSE 1 END, 0, 0, 0.0)"""
-HTML_TITLE = f"CASE WHEN doc_id % 11 <> 0 THEN {ESCAPED.format("coalesce(ls[1], '')")} END"
-TAB = f"{GAP.format('x')} || ' '"
+HTML_TITLE = f"CASE WHEN doc_id % 11 <> 0 THEN {escaped("coalesce(ls[1], '')")} END"
+TAB = f"{gap('x')} || ' '"
 HTML_SECTIONS = f"""{DOCS},
 good AS (SELECT *, len(ls) AS n, (len(ls) + 2) // 3 AS chunks FROM docs),
 lines AS (SELECT doc_id, t.i AS i, t.line AS line FROM good, unnest(ls) WITH ORDINALITY AS t(line, i)),
 {CHUNKS},
 groups AS (
-  SELECT doc_id, -1 AS seq, 'Lead' AS title, {GAP.format("ls[1]")} AS txt FROM good WHERE n > 0
+  SELECT doc_id, -1 AS seq, 'Lead' AS title, {gap("ls[1]")} AS txt FROM good WHERE n > 0
   UNION ALL
   SELECT doc_id, 2 * c, title, array_to_string(list_transform(
     CASE WHEN nested THEN cl[1:2] ELSE cl END, lambda x: {TAB}), chr(10)) FROM secs
   UNION ALL
-  SELECT doc_id, 2 * c + 1, NULL, 'Detail' || chr(10) || {GAP.format("cl[3]")} FROM secs WHERE nested
+  SELECT doc_id, 2 * c + 1, NULL, 'Detail' || chr(10) || {gap("cl[3]")} FROM secs WHERE nested
   UNION ALL
-  SELECT doc_id, 1000000, CASE WHEN chunks < 3 THEN 'Results' ELSE 'Results?' END, {GAP.format("ls[n]")}
+  SELECT doc_id, 1000000, CASE WHEN chunks < 3 THEN 'Results' ELSE 'Results?' END, {gap("ls[n]")}
   FROM good WHERE n > 0),
 numbered AS (
-  SELECT doc_id, seq, title, {TRIMMED.format("txt")} AS txt,
+  SELECT doc_id, seq, title, {trimmed("txt")} AS txt,
     count(*) FILTER (title IS NULL) OVER (PARTITION BY doc_id ORDER BY seq) AS untitled
   FROM groups),
 named AS (
@@ -303,7 +316,7 @@ def statements() -> dict[str, str]:
         "html_sections": _plain(HTML_SECTIONS, """SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY seq) AS ord,
             key, txt AS text FROM final"""),
         "html_pages_title": rf"""SELECT page_id AS doc_id, CASE WHEN html LIKE '%<h1%' THEN
-            {TRIMMED.format("regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')")}
+            {trimmed("regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')")}
             END AS value FROM pages""",
         "html_full_text_fallback": "SELECT doc_id, 'full_text' AS key, '' AS text FROM documents WHERE doc_id % 2 = 0",
         "html_articles": _plain(HTML_SECTIONS, html_article),
@@ -389,20 +402,20 @@ def statements() -> dict[str, str]:
             UNION ALL SELECT doc_id, NULL, NULL, 'Extraction failed (Xml)' FROM docs WHERE doc_id % 97 IN (5, 6, 7)"""),
         "stream_best_version": _plain(VERSIONS, best_select),
         "stream_registry_stats": _plain(REGISTRY, stats),
-        "normalize_ws": f"SELECT doc_id, {NORMAL.format('text')} AS value FROM documents",
-        "null_if_blank": f"SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN nullif({NORMAL.format('text')}, '') END AS value FROM documents",
+        "normalize_ws": f"SELECT doc_id, {normal('text')} AS value FROM documents",
+        "null_if_blank": f"SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN nullif({normal('text')}, '') END AS value FROM documents",
         "digits_to_id": """SELECT doc_id, CAST(doc_id AS INTEGER) AS a, CAST(replace(source, 'src', '') AS INTEGER) AS b,
             0 AS c, 0 AS d FROM documents""",
         "try_int": "SELECT doc_id, CAST(doc_id AS INTEGER) AS a, CAST(NULL AS INTEGER) AS b, CAST(NULL AS INTEGER) AS c FROM documents",
         "clamped_date": """SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN make_timestamp(doc_id % 30 + 1990,
             CASE WHEN doc_id % 5 = 0 THEN 1 ELSE greatest(1, least(12, doc_id % 15)) END,
             CASE WHEN doc_id % 3 = 0 THEN 1 ELSE greatest(1, least(28, doc_id % 40)) END, 0, 0, 0.0) END AS value FROM documents""",
-        "sentence_gap": f"SELECT doc_id, {GAP.format("replace(text, '. ', '.')")} AS value FROM documents",
+        "sentence_gap": f"SELECT doc_id, {gap("replace(text, '. ', '.')")} AS value FROM documents",
         "html_unescape": """SELECT doc_id, replace(text, 'e', 'é') || '<' || chr(8217) || chr(128512) || '&nope; & &lt;' AS value
             FROM documents""",
         "strip_boilerplate": "SELECT doc_id, ' ' || text || ' ' AS value FROM documents",
         "split_keywords": f"""SELECT doc_id, array_to_string(list_filter(list_transform(
-            regexp_split_to_array(replace(text, ' ', '; '), '[;,]'), lambda x: {TRIMMED.format("x")}), lambda x: x <> ''), '|')
+            regexp_split_to_array(replace(text, ' ', '; '), '[;,]'), lambda x: {trimmed("x")}), lambda x: x <> ''), '|')
             AS value FROM documents""",
         "full_name": """SELECT doc_id, nullif(concat_ws(' ', CASE WHEN doc_id % 3 <> 0 THEN lang END,
             CASE WHEN doc_id % 2 = 0 THEN source END), '') AS value FROM documents""",

@@ -32,6 +32,8 @@ def build_session(app_name: str = "scholion", **conf: str) -> SparkSession:
         # Groups arrive sorted by document; hash buffers need not give way early.
         "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
         "spark.ui.enabled": "false",
+        # Recording a call site for every expression takes longer than planning.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     } | JOB_CONF | conf
     builder = SparkSession.builder.appName(app_name)
     for key, value in settings.items():
