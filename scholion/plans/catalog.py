@@ -129,10 +129,10 @@ def _named_files(df: DataFrame, name, content) -> DataFrame:
 
 def _src_xml(spark, sf):
     folder = work_folder(spark)
-    named = _named_files(
-        _jats(spark, sf), F.concat(F.col("doc_id").cast("string"), F.lit(".xml")), F.col("payload")
-    )
-    writers.write_files(named, folder)
+    documents = C.table(spark, sf, "documents")
+    payload = C.element("article", C.element("body", S.xml_escape(F.col("text"))))
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".xml"))
+    writers.write_files(_named_files(documents, name, payload), folder)
     read = readers.src_xml_payloads(spark, folder)
     number = F.regexp_extract("path", r"([0-9]+)\.xml$", 1).cast("bigint")
     return read.select(number.alias("doc_id"), F.md5("payload").alias("payload_md5"))
@@ -347,11 +347,18 @@ def _scalars(spark, sf, columns):
     return d.select("doc_id", *[c.alias(n) for n, c in columns.items()])
 
 
-def _scalar_jobs():
+SCALARS = (
+    "normalize_ws", "null_if_blank", "digits_to_id", "try_int", "clamped_date",
+    "sentence_gap", "html_unescape", "strip_boilerplate", "split_keywords", "full_name",
+    "article_url",
+)
+
+
+def _scalar_columns() -> dict:
     text, n = F.col("text"), F.col("doc_id")
     padded = F.concat(F.lit("  "), F.replace(text, F.lit(" "), F.lit(" \t ")), F.lit("\n"))
     blank = F.when(n % 3 == 0, "  \t").otherwise(text)
-    jobs = {
+    return {
         "normalize_ws": {"value": S.normalize_ws(padded)},
         "null_if_blank": {"value": S.null_if_blank(blank)},
         "digits_to_id": {
@@ -394,7 +401,10 @@ def _scalar_jobs():
         },
         "article_url": {"page": S.article_url(n), "efetch": S.efetch_url(n)},
     }
-    return {k: (lambda spark, sf, v=v: _scalars(spark, sf, v)) for k, v in jobs.items()}
+
+
+def _scalar(name):
+    return lambda spark, sf: _scalars(spark, sf, _scalar_columns()[name])
 
 
 def _iso_seconds(spark, sf):
@@ -498,7 +508,7 @@ def jobs() -> dict:
         "stream_extract": _stream_extract,
         "stream_best_version": _stream_best,
         "stream_registry_stats": _stream_stats,
-        **_scalar_jobs(),
+        **{name: _scalar(name) for name in SCALARS},
         "iso_seconds": _iso_seconds,
     }
     return {name: _with_settings(job) for name, job in found.items()}

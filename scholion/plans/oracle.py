@@ -230,6 +230,8 @@ def statements() -> dict[str, str]:
         count(*) FILTER (success) AS "Total_Success", count(*) FILTER (full_text) AS "Total_Full_Text",
         count(error) AS "Total_Error" FROM registry"""
     return {
+        "src_xml_payloads": f"""SELECT doc_id,
+            md5('<article><body>' || {escaped("text")} || '</body></article>') AS payload_md5 FROM documents""",
         "src_html_files": """SELECT CAST(CASE WHEN page_id % 10 = 3 THEN 0 ELSE page_id END AS INTEGER) AS pmc_id,
             md5(html) AS html_md5 FROM pages""",
         "src_id_list": """SELECT 'txt' AS form, CAST(o_orderkey AS INTEGER) AS pmc_id FROM orders
