@@ -402,10 +402,15 @@ def html_articles(payloads: DataFrame, pmc_id: Column | None = None) -> DataFram
         (F.col("slot") > 0) & (F.col("section_text") != ""),
         F.struct(F.col("slot").alias("section_no"), "section_title", "section_text", "scope"),
     )
-    docs = groups.groupBy("doc_id").agg(
-        *[F.max_by(n, F.when(F.col("slot") == 0, 1)).alias(n) for n in page],
-        F.sort_array(F.collect_list(section)).alias("found"),
+    groups = groups.select(
+        "doc_id",
+        F.when(F.col("slot") == 0, F.struct(*page)).alias("page"),
+        section.alias("section"),
     )
+    docs = groups.groupBy("doc_id").agg(
+        F.first("page", ignorenulls=True).alias("page"),
+        F.sort_array(F.collect_list("section")).alias("found"),
+    ).select("doc_id", "page.*", "found")
     bare = F.create_map(F.lit("full_text"), F.lit(""))
     docs = docs.select("*", _entries().alias("entries"))
     filled = F.map_from_entries(F.transform("entries", lambda e: F.struct(e["key"], e["text"])))

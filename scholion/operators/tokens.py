@@ -23,8 +23,9 @@ DOCTYPE = r"<![A-Za-z][^\[>]*+(?:\[[^\]]*+\][^>]*+)?>"
 TAG = rf"</?([A-Za-z_:][^\s/>]*+){ATTRIBUTES}>"
 # Script and style hold raw text that must not be read as markup.
 RAW_ELEMENT = r"<(?i:script)\b[^>]*+>.*?</(?i:script)\s*+>|<(?i:style)\b[^>]*+>.*?</(?i:style)\s*+>"
-XML_MARKUP = f"{COMMENT}|{CDATA}|{INSTRUCTION}|{DOCTYPE}|{TAG}|<"
-HTML_MARKUP = f"{COMMENT}|{RAW_ELEMENT}|{DOCTYPE}|{TAG}|<"
+# Tags come first, as nearly every item is one; script and style must come before them.
+XML_MARKUP = f"{TAG}|{COMMENT}|{CDATA}|{INSTRUCTION}|{DOCTYPE}|<"
+HTML_MARKUP = f"{RAW_ELEMENT}|{TAG}|{COMMENT}|{DOCTYPE}|<"
 
 UNKNOWN_ENTITY = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
 

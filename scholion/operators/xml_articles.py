@@ -548,12 +548,19 @@ def _section_aggs() -> dict[str, Column]:
     }
 
 
-def _cell_aggs() -> dict[str, Column]:
-    """Per table row, or for the rest of the wrap when the row key is null."""
+def _table_aggs() -> dict[str, Column]:
+    """Parts of one table per wrap."""
     child = F.col("depth") == F.col("wrap.depth") + 1
     title = F.col("in_caption") & (F.col("depth") == F.col("wrap.depth") + 2)
     head = F.col("in_table") & _is("th")
     shown = F.col("text") != ""
+    cell = _is("td") & F.col("in_row") & (F.col("below") == 3)
+    placed = F.struct(
+        (F.col("part.info") == "tfoot").alias("in_foot"),
+        F.col("row.pos").alias("row_at"),
+        "pos",
+        F.col("text").alias("value"),
+    )
     return {
         "has_table": F.coalesce(F.max("first_table"), F.lit(False)),
         "label": blank_to_null(first_text(_is("label") & child)),
@@ -565,42 +572,29 @@ def _cell_aggs() -> dict[str, Column]:
         "heads": collected(head & F.col("flag") & shown, F.col("text")),
         "n_heads": F.count(F.when(head & F.col("flag"), 1)),
         "row_heads": collected(head & F.col("in_head_row") & shown, F.col("text")),
-        "cells": collected(_is("td"), F.col("text")),
+        "cells": F.sort_array(F.collect_list(F.when(cell, placed))),
     }
 
 
-def _row_key() -> Column:
-    """(in foot, position) of the table row a data cell belongs to."""
-    return F.when(
-        _is("td") & F.col("in_row") & (F.col("below") == 3),
-        F.struct((F.col("part.info") == "tfoot").alias("in_foot"), F.col("row.pos").alias("at")),
-    )
-
+def _with_table(parts: DataFrame) -> DataFrame:
+    """Add name, description, columns and data of the table to its parts.
 
-def _table_aggs() -> dict[str, Column]:
-    """From rows of cells to one table per wrap."""
-
-    def of_wrap(name: str) -> Column:
-        return F.max_by(name, F.when(F.col("row_key").isNull(), 1))
-
-    row = F.when(F.col("row_key").isNotNull(), F.struct("row_key", "cells"))
-    notes = F.concat(
-        F.when(F.size(of_wrap("cap_notes")) > 0, of_wrap("cap_notes")).otherwise(
-            F.array_compact(F.array(of_wrap("caption")))
-        ),
-        of_wrap("foot_notes"),
+    The cells come sorted, body before foot, so a row is a slice between two starts."""
+    t = parts.selectExpr(
+        "*",
+        "coalesce(label, cap_title, wrap_id, 'Table') as name",
+        "concat(if(size(cap_notes) > 0, cap_notes, array_compact(array(caption))), foot_notes) "
+        "as notes",
+        "if(n_heads > 0, heads, row_heads) as columns",
+        "if(size(cells) > 0, filter(sequence(0, size(cells) - 1), "
+        "i -> i = 0 or cells[i].row_at <> get(cells, i - 1).row_at), array()) as starts",
+    )
+    return t.selectExpr(
+        "*",
+        "if(size(notes) > 0, array_join(notes, ' '), null) as description",
+        "transform(starts, (s, j) -> transform(slice(cells, s + 1, "
+        "coalesce(get(starts, j + 1), size(cells)) - s), c -> c.value)) as data",
     )
-    return {
-        "has_table": F.max("has_table"),
-        "name": F.coalesce(
-            of_wrap("label"), of_wrap("cap_title"), of_wrap("wrap_id"), F.lit("Table")
-        ),
-        "description": F.when(F.size(notes) > 0, F.array_join(notes, " ")),
-        "columns": F.when(of_wrap("n_heads") > 0, of_wrap("heads")).otherwise(
-            of_wrap("row_heads")
-        ),
-        "data": F.transform(F.sort_array(F.collect_list(row)), lambda r: r["cells"]),
-    }
 
 
 def _aggregate(rows: DataFrame, aggs: dict[str, Column], *keys) -> DataFrame:
@@ -780,12 +774,8 @@ def _tables(tokens: DataFrame) -> DataFrame:
     """One row per table-wrap that has a table: doc_id, table_no, name, description,
     columns, data."""
     rows = _table_columns(xml_elements(_scoped(tokens), ("tables",)))
-    rows = rows.where(F.col("wrap").isNotNull())
-    cells = _aggregate(
-        rows.withColumn("row_key", _row_key()).withColumn("at", F.col("wrap.pos")),
-        _cell_aggs(), "doc_id", "at", "row_key",
-    )
-    tables = _aggregate(cells, _table_aggs(), "doc_id", "at").where("has_table")
+    rows = rows.where(F.col("wrap").isNotNull()).withColumn("at", F.col("wrap.pos"))
+    tables = _with_table(_aggregate(rows, _table_aggs(), "doc_id", "at").where("has_table"))
     number = F.row_number().over(W.partitionBy("doc_id").orderBy("at"))
     return tables.select(
         "doc_id", number.alias("table_no"), "name", "description", "columns", "data"
@@ -894,23 +884,14 @@ def xml_articles(payloads: DataFrame) -> DataFrame:
     rows = _table_columns(_body_columns(rows)).withColumn("date_value", _date_value())
     slot = F.when(_is(*BODY_KINDS), 1).when(_is(*TABLE_KINDS), 2).otherwise(0)
     at = F.when(slot == 1, F.col("section_no")).when(slot == 2, F.col("wrap.pos"))
-    rows = rows.select(
-        "*", slot.alias("slot"), at.alias("at"), F.when(slot == 2, _row_key()).alias("row_key")
-    )
+    rows = rows.select("*", slot.alias("slot"), at.alias("at"))
     front = (
         _title_aggs() | _id_aggs() | _journal_aggs() | _category_aggs() | _date_aggs()
         | _author_aggs() | _keyword_aggs() | _abstract_aggs()
     )
-    cells = _aggregate(
-        rows, front | _section_aggs() | _cell_aggs(), "doc_id", "slot", "at", "row_key"
-    )
-    front_names = list(front)
-    body_names = ["section_title", "section_text", "is_fallback"]
-    grouped = _aggregate(
-        cells,
-        {n: F.max_by(n, F.lit(1)) for n in (*front_names, *body_names)} | _table_aggs(),
-        "doc_id", "slot", "at",
-    )
+    groups = _with_table(
+        _aggregate(rows, front | _section_aggs() | _table_aggs(), "doc_id", "slot", "at")
+    )
     section = F.when(
         (F.col("slot") == 1) & (F.col("section_text") != ""),
         F.struct("at", "section_title", "section_text", "is_fallback"),
@@ -919,12 +900,20 @@ def xml_articles(payloads: DataFrame) -> DataFrame:
         (F.col("slot") == 2) & F.col("at").isNotNull() & F.col("has_table"),
         F.struct("at", _table_key(F.col("name")).alias("key"), _table_json().alias("json")),
     )
-    docs = grouped.groupBy("doc_id").agg(
-        *[F.max_by(n, F.when(F.col("slot") == 0, 1)).alias(n) for n in front_names],
-        F.sort_array(F.collect_list(section)).alias("found_sections"),
-        F.sort_array(F.collect_list(table)).alias("found_tables"),
-        F.coalesce(F.max((F.col("slot") == 2)), F.lit(False)).alias("has_wraps"),
-    )
+    groups = groups.select(
+        "doc_id",
+        "slot",
+        F.when(F.col("slot") == 0, F.struct(*front)).alias("front"),
+        section.alias("section"),
+        table.alias("tbl"),
+    )
+    docs = groups.groupBy("doc_id").agg(
+        F.first("front", ignorenulls=True).alias("front"),
+        F.sort_array(F.collect_list("section")).alias("found_sections"),
+        F.sort_array(F.collect_list("tbl")).alias("found_tables"),
+        F.coalesce(F.max(F.col("slot") == 2), F.lit(False)).alias("has_wraps"),
+    )
+    docs = docs.select("doc_id", "front.*", "found_sections", "found_tables", "has_wraps")
     docs = docs.select("*", _keys_of("found_sections", "section_title").alias("section_keys"))
     docs = docs.select(
         "*",

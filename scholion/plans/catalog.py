@@ -305,7 +305,7 @@ def _resolution(spark, sf):
 
 def _staged_stream(spark, df: DataFrame, folder: str) -> DataFrame:
     """The rows as a stream of several batches."""
-    df.repartition(3).write.mode("overwrite").parquet(f"{folder}/in")
+    df.repartition(2).write.mode("overwrite").parquet(f"{folder}/in")
     return (
         spark.readStream.schema(df.schema)
         .option("maxFilesPerTrigger", 1)

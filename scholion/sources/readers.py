@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def src_xml_payloads(spark: SparkSession, path: str) -> DataFrame:
     """(path, payload): every file below ``path`` as one XML payload."""
     files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
@@ -12,6 +13,7 @@ def src_xml_payloads(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload")
     )
 
+
 def src_html_files(spark: SparkSession, path: str) -> DataFrame:
     """(pmc_id, html) of the ``pmc<id>.html`` files below ``path``; id 0 when the name
     holds no number."""
@@ -26,6 +28,7 @@ def src_html_files(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce(number.try_cast("int"), F.lit(0)).alias("pmc_id"), F.col("value").alias("html")
     )
 
+
 def src_id_list(spark: SparkSession, path: str, form: str = "txt") -> DataFrame:
     """(pmc_id, filename): one id per line of text files, or the elements of JSON arrays.
     Lines that are no numbers are dropped."""
