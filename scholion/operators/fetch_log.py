@@ -75,10 +75,13 @@ def outcome_of_result(success: Column) -> Column:
 
 
 def chunked(log: DataFrame, chunks: int | None = None) -> DataFrame:
-    """Add ``chunk``: ranges of (worker, ts, event_id), in order.
+    """Add ``chunk``: ranges of (worker, ts, event_id), in order. A log that has its chunks
+    already is taken as it is.
 
     The rows are checkpointed, as range bounds are sampled and two readers must not see
     different ones."""
+    if "chunk" in log.columns:
+        return log
     columns = ("worker", *ORDER)
     ranged = (
         log.repartitionByRange(chunks, *columns) if chunks else log.repartitionByRange(*columns)
@@ -94,25 +97,6 @@ def _earlier_chunks(start=W.unboundedPreceding) -> W:
     return W.partitionBy("worker").orderBy("chunk").rowsBetween(start, -1)
 
 
-def _running(rows: DataFrame, name: str, kind: str, value: Column) -> DataFrame:
-    """Add the running ``sum`` or ``max`` of a value per worker, current row included."""
-    agg = {"sum": F.sum, "max": F.max}[kind]
-    rows = rows.withColumn("_value", value)
-    totals = rows.groupBy("worker", "chunk").agg(agg("_value").alias("_total"))
-    carries = totals.select(
-        "worker", "chunk", agg("_total").over(_earlier_chunks()).alias("_carry")
-    )
-    local = rows.withColumn("_local", agg("_value").over(_in_chunk()))
-    both = local.join(carries, ["worker", "chunk"])
-    none = F.lit(0)
-    joined = (
-        F.coalesce("_local", none) + F.coalesce("_carry", none)
-        if kind == "sum"
-        else F.greatest("_local", "_carry")
-    )
-    return both.withColumn(name, joined).drop("_value", "_local", "_carry")
-
-
 # --- pressure ----------------------------------------------------------------------
 
 
@@ -127,7 +111,7 @@ def rolling_pressure(log: DataFrame, chunks: int | None = None) -> DataFrame:
 
     A chunk takes the last 29 weights before it from the chunks ahead of it; 29 chunk
     rows are enough, as each holds at least one attempt."""
-    rows = chunked(_with_weight(log), chunks)
+    rows = _with_weight(chunked(log, chunks))
     back = WINDOW - 1
     place = F.row_number().over(W.partitionBy("worker", "chunk").orderBy(*ORDER))
     last = W.partitionBy("worker", "chunk").orderBy(*[F.col(c).desc() for c in ORDER])
@@ -181,70 +165,103 @@ def best_sustained_delay(log: DataFrame, chunks: int | None = None) -> DataFrame
 # --- streaks and pauses ------------------------------------------------------------
 
 
-def error_streaks(log: DataFrame, chunks: int | None = None) -> DataFrame:
-    """Add streak: failures in a row up to and including the attempt.
-
-    It is the running count of failures less that count at the last success."""
-    return _streaks(chunked(log, chunks)).drop("chunk")
-
-
-def _streaks(rows: DataFrame) -> DataFrame:
-    failed = F.col("outcome") != "Success"
-    rows = _running(rows, "failures", "sum", F.when(failed, 1).otherwise(0))
-    rows = _running(rows, "settled", "max", F.when(~failed, F.col("failures")))
-    streak = F.col("failures") - F.coalesce("settled", F.lit(0))
-    return rows.withColumn("streak", streak).drop("failures", "settled")
+def _streak_rows(log: DataFrame, chunks: int | None) -> DataFrame:
+    """Add streak and own_pause, and pause_in: the pause the chunk begins with.
 
-
-def _own_pause() -> Column:
-    seconds = F.when(F.col("outcome") == "HttpBan", BAN_PAUSE_S).when(
-        F.col("streak") >= ERROR_LIMIT, ERROR_PAUSE_S
+    A chunk is summed up by its leading failures, its trailing ones and its latest
+    pauses. From those the streak and the pause at the start of every chunk follow, so
+    the rows themselves are read just twice."""
+    window = "(partition by worker, chunk order by ts, event_id rows unbounded preceding)"
+    rows = chunked(log, chunks).selectExpr("*", "outcome <> 'Success' as failed")
+    rows = rows.selectExpr(
+        "*",
+        f"sum(if(failed, 1, 0)) over {window} as failures",
+        f"sum(if(failed, 0, 1)) over {window} as wins",
     )
-    return F.when(
-        seconds.isNotNull(),
-        F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds),
+    rows = rows.selectExpr(
+        "* except (failures)",
+        f"failures - coalesce(max(if(failed, null, failures)) over {window}, 0) as in_chunk",
+        "wins = 0 as leading",
+    )
+    chunk_rows = rows.groupBy("worker", "chunk").agg(
+        F.max("wins").alias("wins"),
+        F.max_by("in_chunk", F.struct(*ORDER)).alias("tail"),
+        F.count_if("leading").alias("lead_length"),
+        F.max(F.when(F.col("leading"), F.col("ts"))).alias("lead_ts"),
+        F.max(F.when(F.col("outcome") == "HttpBan", F.col("ts"))).alias("ban_ts"),
+        F.max(
+            F.when(~F.col("leading") & (F.col("in_chunk") >= ERROR_LIMIT), F.col("ts"))
+        ).alias("error_ts"),
+    )
+    by_chunk = "(partition by worker order by chunk rows {0})"
+    to_here, before = by_chunk.format("unbounded preceding"), by_chunk.format(
+        "between unbounded preceding and 1 preceding"
+    )
+    starts = chunk_rows.selectExpr("*", f"sum(tail) over {to_here} as tails")
+    # Tails add up until a chunk with a success starts them anew.
+    starts = starts.selectExpr(
+        "*",
+        f"coalesce(max(tails) over {before}, 0) "
+        f"- coalesce(max(if(wins > 0, tails - tail, null)) over {before}, 0) as streak_in",
+    )
+    pause = "make_dt_interval(0, 0, 0, {0})".format
+    starts = starts.selectExpr(
+        "worker",
+        "chunk",
+        "streak_in",
+        f"greatest(ban_ts + {pause(BAN_PAUSE_S)}, error_ts + {pause(ERROR_PAUSE_S)}, "
+        f"if(lead_length > 0 and lead_length + streak_in >= {ERROR_LIMIT}, "
+        f"lead_ts + {pause(ERROR_PAUSE_S)}, null)) as pause",
+    )
+    starts = starts.selectExpr(
+        "worker", "chunk", "streak_in", f"max(pause) over {before} as pause_in"
+    )
+    both = rows.join(starts, ["worker", "chunk"]).selectExpr(
+        "* except (failed, wins, in_chunk, leading, streak_in)",
+        "in_chunk + if(leading, streak_in, 0) as streak",
+    )
+    return both.selectExpr(
+        "*",
+        f"case when outcome = 'HttpBan' then ts + {pause(BAN_PAUSE_S)} "
+        f"when streak >= {ERROR_LIMIT} then ts + {pause(ERROR_PAUSE_S)} end as own_pause",
     )
 
 
-def _pauses(log: DataFrame, chunks: int | None) -> DataFrame:
-    rows = _streaks(chunked(log, chunks)).withColumn("own_pause", _own_pause())
-    return _running(rows, "pause_until", "max", F.col("own_pause"))
+def error_streaks(log: DataFrame, chunks: int | None = None) -> DataFrame:
+    """Add streak: failures in a row up to and including the attempt."""
+    return _streak_rows(log, chunks).drop("chunk", "own_pause", "pause_in")
 
 
 def pause_windows(log: DataFrame, chunks: int | None = None) -> DataFrame:
-    """Add streak and pause_until: the running end of the worker's pause."""
-    return _pauses(log, chunks).drop("chunk", "own_pause")
+    """Add streak and pause_until: the running end of the worker's pause, never moved
+    back."""
+    rows = _streak_rows(log, chunks)
+    until = F.greatest(F.max("own_pause").over(_in_chunk()), F.col("pause_in"))
+    return rows.withColumn("pause_until", until).drop("chunk", "own_pause", "pause_in")
 
 
 def paused_attempts(log: DataFrame, chunks: int | None = None) -> DataFrame:
-    """Add is_paused: the attempt came before a pause set by earlier attempts was over."""
-    rows = _streaks(chunked(log, chunks)).withColumn("own_pause", _own_pause())
-    totals = rows.groupBy("worker", "chunk").agg(F.max("own_pause").alias("total"))
-    carries = totals.select(
-        "worker", "chunk", F.max("total").over(_earlier_chunks()).alias("carry")
-    )
-    local = F.max("own_pause").over(_in_chunk(end=-1))
-    both = rows.withColumn("local", local).join(carries, ["worker", "chunk"])
-    before = F.greatest("local", "carry")
-    return both.withColumn("is_paused", F.coalesce(F.col("ts") < before, F.lit(False))).drop(
-        "chunk", "own_pause", "local", "carry"
-    )
+    """Add streak and is_paused: the attempt came before a pause set by earlier attempts
+    was over."""
+    rows = _streak_rows(log, chunks)
+    until = F.greatest(F.max("own_pause").over(_in_chunk(end=-1)), F.col("pause_in"))
+    paused = F.coalesce(F.col("ts") < until, F.lit(False))
+    return rows.withColumn("is_paused", paused).drop("chunk", "own_pause", "pause_in")
 
 
 def worker_status(log: DataFrame, now: Column | None = None, chunks: int | None = None) -> DataFrame:
     """(worker, delay, best_delay, pressure, paused) as of ``now``, by default the time of
     the worker's last attempt."""
-    rows = rolling_pressure(log, chunks)
+    rows = chunked(log, chunks)
     latest = F.struct(*ORDER)
     good = (F.col("window_size") >= WINDOW) & F.col("calm")
-    status = rows.groupBy("worker").agg(
+    status = rolling_pressure(rows).groupBy("worker").agg(
         F.max_by("delay_ms", latest).alias("delay"),
         F.coalesce(F.min(F.when(good, F.col("delay_ms"))), F.lit(0)).alias("best_delay"),
         F.max_by("pressure", latest).alias("pressure"),
         F.max("ts").alias("last_ts"),
     )
-    pauses = _streaks(chunked(log, chunks)).withColumn("own_pause", _own_pause())
-    ends = pauses.groupBy("worker").agg(F.max("own_pause").alias("pause_until"))
+    ends = _streak_rows(rows, None).groupBy("worker").agg(F.max("own_pause").alias("pause_until"))
     now = F.col("last_ts") if now is None else now
     return status.join(ends, "worker").select(
         "worker",
