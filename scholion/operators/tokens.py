@@ -136,14 +136,15 @@ def _split(payloads: DataFrame, mode: str) -> DataFrame:
 
 
 def _xml_structure(items: DataFrame) -> DataFrame:
-    visible = lambda c: F.when(c.rlike(r"\S"), xml_unescape(c)).otherwise("")
+    # White space in the sense of XML: a no-break space is text.
+    shown = F.btrim("rest", F.lit(" \t\r\n")) != ""
+    rest = F.when(shown, xml_unescape(F.col("rest"))).otherwise("")
     is_cdata = F.col("markup").startswith("<![CDATA[")
     inner = F.expr("substring(markup, 10, length(markup) - 12)")
     # Text nodes of white space only do not exist in the document model.
-    text = F.when(is_cdata, F.concat(inner, visible(F.col("rest")))).otherwise(
-        visible(F.col("rest"))
-    )
-    bad = (F.col("markup") == "<") | F.col("rest").rlike(UNKNOWN_ENTITY)
+    text = F.concat(F.when(is_cdata, inner).otherwise(""), rest)
+    unknown = F.col("rest").contains("&") & F.col("rest").rlike(UNKNOWN_ENTITY)
+    bad = (F.col("markup") == "<") | unknown
     step = F.when(F.col("is_open"), 1).when(F.col("is_close"), -1).otherwise(0)
     leveled = items.select(
         "*", text.alias("text"), bad.alias("stray"), F.sum(step).over(in_doc_order()).alias("level")
