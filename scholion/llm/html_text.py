@@ -68,13 +68,13 @@ ENOUGH = 0.7
 
 
 class Node:
-    __slots__ = ("away", "heading", "kids", "mass", "name", "parent", "step")
+    __slots__ = ("away", "depth", "kids", "mass", "name", "parent", "step")
 
     def __init__(self, name: str, step: str, away: bool, parent: Node | None):
         self.name, self.step, self.away, self.parent = name, step, away, parent
         self.kids: list = []  # nodes and pieces of text, in page order
         self.mass = 0
-        self.heading = False
+        self.depth = parent.depth + 1 if parent else 0
 
     def path(self) -> str:
         steps, node = [], self
@@ -180,7 +180,7 @@ def _ended(here: Node, names: frozenset, holders: frozenset) -> Node:
     return found.parent if found else here
 
 
-def weigh(node: Node, kept: bool = True) -> list[Node]:
+def weigh(node: Node) -> list[Node]:
     """Set each node's mass, the characters of main text below it, and list its containers."""
     out: list[Node] = []
     stack: list[tuple[Node, bool]] = [(node, False)]
@@ -194,7 +194,7 @@ def weigh(node: Node, kept: bool = True) -> list[Node]:
             stack += [(k, False) for k in n.kids if isinstance(k, Node)]
         else:
             n.mass = sum(k.mass if isinstance(k, Node) else len(k.strip()) for k in n.kids)
-            if n.name in CONTAINERS and n.mass:
+            if n.mass and (n.name in CONTAINERS or n.parent is None):
                 out.append(n)
     return out
 
@@ -225,7 +225,7 @@ def best_container(containers: list[Node]) -> Node | None:
         if best.mass >= 0.25 * total and sum(a.mass for a in articles if a is not best and a.mass >= 0.5 * best.mass) == 0:
             return best
     enough = [c for c in containers if c.mass >= ENOUGH * total]
-    return min(enough, key=lambda c: (c.mass, -len(c.path())))
+    return min(enough, key=lambda c: (c.mass, -c.depth))
 
 
 def text_of(node: Node) -> str:
@@ -262,8 +262,6 @@ def page_containers(html: str) -> tuple[Node | None, list[Node]]:
     top = parse(html)
     mark_page_headers(top)
     containers = weigh(top)
-    if not containers and top.mass:  # text without any container
-        return top, [top]
     return best_container(containers), containers
 
 
@@ -272,8 +270,10 @@ def main_text(html: str, path: str | None) -> tuple[str, str]:
     best, containers = page_containers(html)
     if best is None:
         return "", ""
-    same = [c for c in containers if c.path() == path] if path and best.path() != path else []
-    if same:
+    steps = path.split(">") if path else []
+    likely = [c for c in containers if c.depth == len(steps) and c.step == steps[-1]] if steps else []
+    same = [c for c in likely if c is not best and c.path() == path]
+    if same and best.path() != path:
         chosen = max(same, key=lambda c: c.mass)
         if chosen.mass >= LEAST_SHARE * best.mass:
             best = chosen

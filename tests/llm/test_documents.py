@@ -1,0 +1,418 @@
+"""Packing, mixing, SimHash, sharding, secret scans and quality rules against plain versions."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from scholion.llm import mixing, packing, quality, secret_scan, sharding, simhash
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, key string, spans string"
+SECRET = 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"'
+TEXTS = [
+    (0, None, "src2"),
+    (1, "", "src1"),
+    (2, " \n\t ", None),
+    (3, "Straße ÉTÉ don't <|endoftext|> İstanbul ǅ x́ 日本語　 a\u0085b\x1cc ... ?! 12.5%", "src1"),
+    (4, "the same words again and the same words again and the same words again", "src1"),
+    (4, "the same words again and the same words again and the same words again", "src1"),
+    (5, "token=secret:abcdefghijklmnop API_KEY: 'abcdefghijkl' pass" + "word=\"short\" AKIA" + "A" * 14 + " 0123456789abcdefA", "ß"),
+    (6, "😀 " + SECRET + " x " * 30, "src10"),
+    (7, ("long " * 7 + "line\n") * 3000, "src1"),
+    (8, "ghp_" + "a1" * 18 + " AKIAAKIAAKIAAKIA00 \\ $1 deadbeefdeadbeef", "src2"),
+    (None, "no id", "src2"),
+    (9, "one two", "src3"),
+    (10, "ONE  Two", "src3"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([(i, t, "en", s, 7, "x", "y", "z") for i, t, s in TEXTS], SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def both(docs, given):
+    return [(r.doc_id, r.text) for r in docs.collect()], [(r.doc_id, r.text) for r in given.collect()]
+
+
+# ---------------------------------------------------------------- packing
+
+
+@pytest.mark.parametrize("which", ["docs", "given"])
+def test_pieces_are_the_documents_ids(which, request):
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    table = request.getfixturevalue(which)
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = Counter()
+    for r in table.collect():
+        ids = [*plain.encode(r.text or "", add_special_tokens=False).ids, 2]
+        want[r.doc_id, np.array(ids, "<u4").tobytes()] += 1
+    rows = packing.pack_documents(table).collect()
+    assert len({r.sequence_id for r in rows}) == len(rows)
+    assert all(r.offset == 0 and r.length == 1 << r.bucket <= 4096 and len(r.ids) == 4 * r.length for r in rows)
+    got, open_doc = Counter(), b""
+    for r in sorted(rows, key=lambda r: r.sequence_id):
+        assert r.start == len(open_doc) // 4
+        open_doc += bytes(r.ids)
+        if len(open_doc) == 4 * r.doc_tokens:
+            got[r.doc_id, open_doc] += 1
+            open_doc = b""
+    assert got == want and not open_doc
+
+
+def test_binary_lengths():
+    for n in (1, 2, 3, 4095, 4096, 4097, 12_345, 20_000):
+        parts = packing.binary_lengths(n)
+        assert sum(parts) == n and parts == sorted(parts, reverse=True)
+        assert len([p for p in parts if p < 4096]) == bin(n % 4096).count("1")
+
+
+def test_nothing_to_pack(none):
+    assert packing.pack_documents(none).count() == 0
+
+
+def test_chunks_relearned_after_the_table_is_full(monkeypatch):
+    import public_tokenizers
+
+    encode = packing.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [t or "" for _, t, _ in TEXTS]
+    first = encode.encode(texts)
+    monkeypatch.setattr(packing, "KNOWN_CHUNKS", 2)
+    assert encode.encode(texts) == first
+
+
+def test_buckets_are_files(docs, tmp_path):
+    packing.write_buckets(packing.pack_documents(docs), f"{tmp_path}/b")
+    assert docs.sparkSession.read.parquet(f"{tmp_path}/b").where("length <> 1L << bucket").count() == 0
+
+
+# ---------------------------------------------------------------- mixing
+
+
+def water_filled(sizes: dict, weights, mix):
+    """Clamp and share again until no source is above its cap."""
+    target = {s: 0.0 for s in sizes}
+    free = set(sizes)
+    while True:
+        left = mix - sum(2 * sizes[s] for s in sizes if s not in free)
+        total = sum(weights[s] for s in free)
+        over = {s for s in free if left * weights[s] / total > 2 * sizes[s]} if free else set()
+        if not over:
+            break
+        free -= over
+    for s in sizes:
+        target[s] = left * weights[s] / total if s in free else 2.0 * sizes[s]
+    return target
+
+
+@pytest.mark.parametrize("which", ["docs", "given"])
+def test_targets_and_takes(which, request):
+    table = request.getfixturevalue(which)
+    sizes = Counter()
+    for r in table.collect():
+        sizes[r.source] += len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+    ranked = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weights = {s: (3, 1, 2)[i % 3] for i, s in enumerate(ranked)}
+    want = water_filled(sizes, weights, 1.5 * sum(sizes.values()))
+    source = dict(table.select("doc_id", "source").collect())
+    rows = mixing.mix_documents(table).collect()
+    assert len(rows) == table.count()
+    taken, most = Counter(), Counter()
+    for r in rows:
+        s = source[r.doc_id]
+        assert math.isclose(r.target, want[s], rel_tol=1e-12) and r.source_size == sizes[s]
+        assert 0 <= r.taken <= 2 * r.size and r.taken == r.copies * r["size"]
+        taken[s] += r.taken
+        most[s] = max(most[s], sum(x["size"] for x in rows if x.doc_id == r.doc_id) if which == "docs" else r["size"])
+    assert all(abs(taken[s] - want[s]) <= most[s] / 2 + 1e-6 for s in sizes)
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, mixing.mix_documents(table.repartition(5)).collect()), key=str)
+
+
+def test_mixed_documents_are_the_takes(docs, none):
+    from pyspark.sql import functions as F
+
+    copies = Counter()
+    for r in mixing.mix_documents(docs).collect():
+        copies[r.doc_id] += r.copies
+    rows = mixing.mixed_documents(docs)
+    assert rows.columns == docs.columns
+    assert dict(rows.groupBy("doc_id").agg(F.count("*")).collect()) == {k: v for k, v in copies.items() if v}
+    assert mixing.mix_documents(none).count() == 0 == mixing.mixed_documents(none).count()
+
+
+def test_one_source_of_words_only(spark):
+    rows = spark.createDataFrame([(i, "a b", "s") for i in range(100)] + [(200, "", "t")], "doc_id long, text string, source string")
+    out = mixing.mix_documents(rows).collect()
+    assert sum(r.taken for r in out) == 300
+
+
+# ---------------------------------------------------------------- SimHash
+
+
+def plain_fingerprint(text, shingle=4):
+    import xxhash
+
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not words:
+        return 0
+    parts = [" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(items, near):
+    root = list(range(len(items)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(items)):
+        for j in range(i):
+            if near(items[i], items[j]):
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(items))]
+
+
+@pytest.mark.parametrize("which", ["docs", "given"])
+def test_simhash_groups(which, request):
+    table = request.getfixturevalue(which)
+    rows = table.collect()
+    prints = [plain_fingerprint(r.text) for r in rows]
+    roots = plain_groups(prints, lambda a, b: (a ^ b).bit_count() <= 4)
+    least = defaultdict(list)
+    for r, root in zip(rows, roots):
+        least[root] += [r.doc_id] if r.doc_id is not None else []
+    want = Counter((r.doc_id, f"{p:016x}", min(least[g], default=None)) for r, p, g in zip(rows, prints, roots))
+    out = simhash.simhash_groups(table)
+    got = out.select("doc_id", simhash.fingerprint_hex(out.fp), "component_id").collect()
+    assert Counter(map(tuple, got)) == want
+
+
+@pytest.mark.parametrize("tree_nodes", [3, 2048])
+def test_links_span_all_near_pairs(spark, tree_nodes):
+    """Chains and clouds of fingerprints, in many small trees and in few."""
+    import random
+
+    from scholion.llm.components import components
+
+    rng = random.Random(5)
+    prints = {0, (1 << 64) - 1, 15, 31}
+    for _ in range(30):
+        at = rng.getrandbits(64)
+        for _ in range(12):
+            at ^= sum(1 << b for b in rng.sample(range(64), rng.choice((1, 3, 4, 5))))
+            prints.add(at)
+    prints = sorted(prints)
+    roots = plain_groups(prints, lambda a, b: (a ^ b).bit_count() <= 4)
+    signed = lambda p: p - (1 << 64) if p >> 63 else p
+    table = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
+    got = dict(components(simhash.fingerprint_links(table, 4, tree_nodes)).collect())
+    classes = lambda of: {frozenset(v) for v in of.values()}
+    want, found = defaultdict(set), defaultdict(set)
+    for p, r in zip(prints, roots):
+        want[r].add(signed(p))
+        found[got.get(signed(p), signed(p))].add(signed(p))
+    assert classes(want) == classes(found)
+
+
+def test_tree_search_visits_only_edges_in_the_radius():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    fp = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    fp = np.unique(np.concatenate([fp, fp ^ np.uint64(5)]))
+    tree = simhash.BkForest(fp, np.zeros(len(fp), np.int64))
+    queries = fp[:50] ^ np.uint64(1 << 20)
+    found = {(int(a), int(b)) for q, n, _ in tree.within(queries, np.full(50, tree.roots[0]), 4) for a, b in zip(q, n)}
+    assert found == {(i, j) for i in range(50) for j in range(len(fp)) if int(queries[i] ^ fp[j]).bit_count() <= 4}
+
+
+def test_blocks_grow_with_the_corpus():
+    assert simhash.blocks_for(1000, 4) == 5 < simhash.blocks_for(10**8, 4) <= 8
+
+
+def test_components_of_nothing_and_of_a_star(spark):
+    from scholion.llm.components import components
+
+    none = spark.createDataFrame([], "a long, b long")
+    assert components(none).count() == 0
+    star = spark.createDataFrame([(0, i) for i in range(1, 300)] + [(i, i + 1) for i in range(1000, 1040)] + [(5, 5)], "a long, b long")
+    got = dict(components(star).collect())
+    assert set(got.values()) == {0, 1000} and len(got) == 299 + 40
+
+
+def test_no_fingerprints(none):
+    assert simhash.simhash_groups(none).count() == 0
+
+
+# ---------------------------------------------------------------- sharding
+
+
+@pytest.mark.parametrize("which", ["docs", "given"])
+def test_shards_are_contiguous_and_even(which, request):
+    table = request.getfixturevalue(which)
+    want = Counter((r.doc_id, len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in table.collect())
+    rows = sharding.shard_by_bytes(table).collect()
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in rows) == want
+    rows.sort(key=lambda r: (r.shard, r.slot))
+    keys = [(r.doc_id is not None, r.doc_id or 0, r["size"], r.text_crc32) for r in rows]
+    assert keys == sorted(keys)
+    total, before, slots = sum(r["size"] for r in rows), 0, Counter()
+    for r in rows:
+        assert r.slot == slots[r.shard]
+        slots[r.shard] += 1
+        assert r.shard == min(23, (2 * before + r["size"]) * 24 // (2 * total))
+        before += r["size"]
+
+
+def test_no_shards_of_nothing(none):
+    assert sharding.shard_by_bytes(none).count() == 0
+
+
+# ---------------------------------------------------------------- secrets
+
+
+def plain_spans(text):
+    kinds = [
+        ("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", lambda m: len(m[2]) >= 12),
+        ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18),
+        ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 16),
+    ]
+    out = [(m.start(), i, m.end(), k) for i, (k, p, ok) in enumerate(kinds) for m in re.finditer(p, text or "") if ok(m)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("which", ["docs", "given"])
+def test_base_spans(which, request):
+    table = request.getfixturevalue(which)
+    rows = secret_scan.scan_secrets(table).collect()
+    want = Counter((r.doc_id, r.text, tuple(plain_spans(r.text))) for r in table.collect())
+    assert Counter((r.doc_id, r.text, tuple(tuple(s) for s in r.spans if s["rank"] < 3)) for r in rows) == want
+
+
+def test_more_kinds_and_redaction(docs, none):
+    rows = {r.doc_id: r for r in secret_scan.redacted(secret_scan.scan_secrets(docs)).collect()}
+    assert "github" in [s["kind"] for s in rows[8].spans]
+    assert rows[8].text == "[SECRET] [SECRET] \\ $1 [SECRET]"
+    assert rows[6].text == "😀 [SECRET]\" x " + " x " * 29
+    assert rows[0].text is None and rows[7].text == TEXTS[8][1]
+    assert secret_scan.scan_secrets(none).count() == 0
+
+
+def satisfied(query, grams):
+    if query is True:
+        return True
+    if isinstance(query, str):
+        return query in grams
+    return (all if query[0] == "and" else any)(satisfied(p, grams) for p in query[1])
+
+
+def test_every_match_satisfies_its_query():
+    samples = {
+        "assign": ["PassWord=abcdefghijklm", "api_key: x", "APIKEY='y", 'secret"  = z', "passwd:q"],
+        "access": ["AKIA" + "Z" * 14],
+        "github": ["ghu_" + "a" * 36],
+        "github_fine": ["github_pat_" + "b" * 60],
+        "gitlab": ["glpat-" + "c" * 20],
+        "slack": ["xoxr-0123456789"],
+        "stripe": ["rk_test_" + "d" * 16],
+        "google": ["AIza" + "e" * 35],
+        "jwt": ["eyJ" + "f" * 8 + ".eyJ" + "g" * 8 + "." + "h" * 8],
+        "private_key": ["-----BEGIN PGP PRIVATE KEY BLOCK-----", "-----BEGIN PRIVATE KEY-----"],
+    }
+    for rule in secret_scan.RULES:
+        query = secret_scan.trigram_query(rule.pattern)
+        if rule.kind == "hex":
+            assert query is True
+            continue
+        assert query is not True and not satisfied(query, set())
+        for text in samples[rule.kind]:
+            assert re.search(rule.pattern, text)
+            low = text.lower()
+            assert satisfied(query, {low[i : i + 3] for i in range(len(low))})
+
+
+def test_queries_of_other_patterns():
+    assert secret_scan.trigram_query("a[bc]e") == ("or", ("abe", "ace"))
+    assert secret_scan.trigram_query("a.b[x-z]+c?") is True
+    assert secret_scan.trigram_query("(?:abc)+x*def") == ("and", ("abc", "def"))
+    assert secret_scan.trigram_query("ab|abcd") is True
+    assert secret_scan.trigram_query("x(abc|def)y") == ("or", (("and", ("abc", "bcy", "xab")), ("and", ("def", "efy", "xde"))))
+
+
+# ---------------------------------------------------------------- quality
+
+
+def plain_counts(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(zip(words, words[1:], words[2:]))
+    inside = {i + k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    seen, duplicates = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            duplicates += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), duplicates, len(inside)
+
+
+@pytest.mark.parametrize("which", ["docs", "given"])
+def test_counts(which, request):
+    table = request.getfixturevalue(which)
+    got = Counter((r.doc_id, *r[1:6]) for r in quality.quality_counts(table).collect())
+    assert got == Counter((r.doc_id, *plain_counts(r.text)) for r in table.collect())
+
+
+def test_list_is_learned_and_emitted_in_order(spark):
+    bad = [(i, "zap # # zap | " * 40 + f"w{i} " * 3) for i in range(60)]
+    good = [(1000 + i, " ".join(f"word{i}{k}" for k in range(80))) for i in range(200)]
+    table = spark.createDataFrame(bad + good + [(5000, None), (5001, "short")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0) for i, _ in bad[:40]] + [(i, 1) for i, _ in good[:150]] + [(None, 1), (3, None)], "doc_id long, quality int")
+    rows = {r.doc_id: r for r in quality.quality_rules(table, labels).collect()}
+    assert not any(rows[i].kept for i, _ in bad) and all(rows[i].kept for i, _ in good)
+    assert rows[5000].base_failed and rows[5001].base_failed and not rows[5000].kept
+    x = [quality.Condition("n_words", True, 5.0)], [quality.Condition("symbol_share", True, 0.1), quality.Condition("n_words", False, 50.0)]
+    counts = quality.quality_counts(table)
+    numbers = {r.doc_id: r.n for r in counts.select("doc_id", quality.verdict(x).alias("n")).collect()}
+    assert numbers[0] == 0 and numbers[5001] is None
+
+
+def test_held_out_labels(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    fit, held = labels.where("doc_id % 3 > 0"), labels.where("doc_id % 3 = 0").withColumnRenamed("quality", "label")
+    rows = quality.quality_rules(docs, fit).join(held, "doc_id").where("not base_failed").collect()
+    assert sum(r.kept == (r.label == 1) for r in rows) >= 0.95 * len(rows)
+
+
+def test_no_documents_and_no_labels(none, docs, spark):
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality.quality_rules(none, labels).count() == 0
+    assert quality.quality_rules(docs, labels).where("kept = base_failed").count() == 0
+
+
+def test_listed_spans_digest(docs):
+    from pyspark.sql import functions as F
+
+    row = secret_scan.scan_secrets(docs).where("doc_id = 6").select(secret_scan.listed(F.col("spans")).alias("s")).first()
+    plain = ",".join(f"{k}:{a}:{b}" for a, _, b, k in plain_spans(TEXTS[7][1]))
+    assert row.s == plain and hashlib.sha256(plain.encode()).hexdigest()
