@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scholion.llm.common import broadcast_if_small, written
+from scholion.llm.common import broadcast_if_small, slices, written
 
 # HTML elements by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -289,7 +289,7 @@ def page_votes(pages: DataFrame) -> DataFrame:
     """(host, path, mass) of every page with text: the path of its best container."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 500):
             rows = []
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 best, _ = page_containers(html)
@@ -327,7 +327,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     joined = keyed.join(broadcast_if_small(hosts), "host", "left").select("page_id", "url", "html", F.col("path").alias("won"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 500):
             found = [main_text(h, p) for h, p in zip(batch.column("html").to_pylist(), batch.column("won").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array([t for t, _ in found], pa.string()), pa.array([p for _, p in found], pa.string())],

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scholion.llm.common import broadcast_if_small, written
+from scholion.llm.common import broadcast_if_small, slices, written
 from scholion.llm.components import components
 from scholion.llm.simhash import join_sets
 
@@ -99,7 +99,7 @@ def _class_rows(width: str):
     import numpy as np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1000):
             keys, raws = [], []
             for vector in batch.column("embedding").to_pylist():
                 key = raw = None

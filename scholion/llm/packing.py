@@ -23,8 +23,9 @@ MAX_LENGTH = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 
-#: Entries of a worker's table of chunks; at this number it starts anew.
-KNOWN_CHUNKS = 800_000
+#: Entries of a worker's tables of chunks and of words; at these numbers they start anew.
+KNOWN_CHUNKS = 300_000
+KNOWN_WORDS = 500_000
 
 #: A chunk of these letters and then these marks is encoded as two words.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#*$%&|()-]*)")
@@ -84,7 +85,9 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
         if len(self.chunks) > KNOWN_CHUNKS:
-            self.chunks, self.words = {"": b""}, {"": b""}
+            self.chunks = {"": b""}
+        if len(self.words) > KNOWN_WORDS:
+            self.words = {"": b""}
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         new: set[str] = set()
         for chunks in split:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from scholion.llm.common import written
+from scholion.llm.common import slices, written
 
 #: Labelled documents the list is learned from at most.
 SAMPLE = 20_000
@@ -97,7 +97,7 @@ def quality_counts(docs: DataFrame) -> DataFrame:
     """doc_id and COUNTS for every row; a null text has no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 500):
             made = list(zip(*map(counts_of, batch.column("text").to_pylist()), strict=True)) or [()] * len(COUNTS)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in made)], names=["doc_id", *COUNTS]

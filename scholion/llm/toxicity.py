@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholion.llm.common import written
+from scholion.llm.common import slices, written
 
 #: Bounds of the sample the model is fitted on, and of the model.
 SAMPLE_TOXIC = 4_000
@@ -67,7 +67,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXI
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 200):
             found = [sorted(features_of(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.string()))],
@@ -176,7 +176,7 @@ def grade_documents(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = weights.keys()
-        for batch in batches:
+        for batch in slices(batches, 500):
             out: list[tuple] = []
             for text in batch.column("__text").to_pylist():
                 score = sum(weights[f] for f in sorted(features_of(text) & known)) if known else 0.0

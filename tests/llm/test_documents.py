@@ -94,6 +94,7 @@ def test_chunks_relearned_after_the_table_is_full(monkeypatch):
     texts = [t or "" for _, t, _ in TEXTS]
     first = encode.encode(texts)
     monkeypatch.setattr(packing, "KNOWN_CHUNKS", 2)
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 2)
     assert encode.encode(texts) == first
 
 
