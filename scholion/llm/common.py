@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+#: Rows of whole texts that go to a Python worker at once.
+ARROW_ROWS = 1000
+
 #: A side is broadcast only if its written table is at most this large.
 BROADCAST_BYTES = 8 << 20
 
@@ -30,6 +33,7 @@ def findable(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     findable(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

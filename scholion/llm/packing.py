@@ -24,8 +24,8 @@ END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 
 #: Entries of a worker's tables of chunks and of words; at these numbers they start anew.
-KNOWN_CHUNKS = 300_000
-KNOWN_WORDS = 500_000
+KNOWN_CHUNKS = 250_000
+KNOWN_WORDS = 400_000
 
 #: A chunk of these letters and then these marks is encoded as two words.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#*$%&|()-]*)")
