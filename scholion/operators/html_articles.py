@@ -381,12 +381,18 @@ def html_require_title(articles: DataFrame) -> DataFrame:
     return articles.where(F.coalesce("title", F.lit("")) != "")
 
 
+def id_of_name(doc_id: Column) -> Column:
+    name = F.substring_index(doc_id.cast("string"), "/", -1)
+    number = F.replace(F.replace(name, F.lit("pmc"), F.lit("")), F.lit(".html"), F.lit(""))
+    return F.coalesce(number.try_cast("int"), F.lit(0))
+
+
 def html_articles(payloads: DataFrame, pmc_id: Column | None = None) -> DataFrame:
     """(doc_id, payload) to one article record per page.
 
-    ``pmc_id`` gives the article id from doc_id (by default doc_id itself), as pages do
-    not name their own."""
-    pmc_id = F.col("doc_id").cast("int") if pmc_id is None else pmc_id
+    ``pmc_id`` gives the article id from doc_id, as pages do not name their own. By default
+    it is the number in doc_id, which may be the path of a ``pmc<id>.html`` file; else 0."""
+    pmc_id = id_of_name(F.col("doc_id")) if pmc_id is None else pmc_id
     rows = _group_columns(html_elements(html_scoped(markup_tokens(payloads, "html"))))
     in_body = _is("sec", "heading", "line", "inner")
     rows = rows.withColumn("slot", F.when(in_body, F.col("section_no")).otherwise(0))

@@ -59,7 +59,7 @@ def registry_insert_file(registry: DataFrame, file_ids: DataFrame) -> DataFrame:
 
 
 def is_free() -> Column:
-    return F.col("user").isNull() & ~F.col("scraped")
+    return F.col("user").isNull() & ~F.coalesce("scraped", F.lit(False))
 
 
 def registry_claim(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +24,8 @@ CLAIM_USERS = [f"w{i}" for i in range(8)]
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder for files that a job writes and reads back."""
-    root = checkpoint_root(spark)
-    if "://" in root:
-        import uuid
-
-        return f"{root}/work-{uuid.uuid4()}"
-    return tempfile.mkdtemp(prefix="work-", dir=root)
+    """A new path for files that a job writes and reads back; the writers make the folder."""
+    return f"{checkpoint_root(spark)}/work-{uuid.uuid4()}"
 
 
 def _jats(spark, sf):
@@ -152,10 +147,10 @@ def _src_html(spark, sf):
     return read.select("pmc_id", F.md5("html").alias("html_md5"))
 
 
-def _id_files(spark, sf, form):
-    """Folder with the order keys as id lists, with some lines that are no ids."""
+def _id_files(spark, sf, form, times=1):
+    """Folder with multiples of the order keys as id lists, with some lines that are no ids."""
     folder = work_folder(spark)
-    orders = C.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+    orders = C.table(spark, sf, "orders").select((F.col("o_orderkey") * times).alias("id"))
     if form == "txt":
         line = F.when(F.col("id") % 100 == 7, "x").otherwise(F.col("id").cast("string"))
         orders.select(line.alias("value")).write.mode("overwrite").text(f"{folder}/ids")
@@ -186,8 +181,7 @@ def _sink_json(spark, sf):
 
 def _update_payload(spark, sf):
     best = R.best_version(C.versions(C.table(spark, sf, "documents")))
-    slim = best.withColumn("sections", F.lit(None).cast("map<string,string>"))
-    return writers.sink_update_payload(slim)
+    return writers.sink_update_payload(best)
 
 
 # --- reconciliation ----------------------------------------------------------------
@@ -261,9 +255,8 @@ def _registry_insert(spark, sf):
 
 
 def _registry_insert_file(spark, sf):
-    ids = readers.src_id_list(spark, _id_files(spark, sf, "json"), "json")
-    known = _registry(spark, sf).where("pmc_id % 3 = 0")
-    return G.registry_insert_file(known, ids)
+    ids = readers.src_id_list(spark, _id_files(spark, sf, "json", 2), "json")
+    return G.registry_insert_file(_registry(spark, sf), ids)
 
 
 def _registry_claim(spark, sf):

@@ -288,7 +288,10 @@ def versions(documents: DataFrame) -> DataFrame:
     count = F.ceil(F.size("lines") / LINES_PER_SECTION).cast("int")
     entries = F.transform(
         F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
-        lambda i: F.struct(i.cast("string").alias("k"), F.get("lines", (i - 1) * LINES_PER_SECTION).alias("v")),
+        lambda i: F.struct(
+            i.cast("string").alias("k"),
+            F.array_join(F.slice("lines", (i - 1) * LINES_PER_SECTION + 1, LINES_PER_SECTION), "\n").alias("v"),
+        ),
     )
     return d.select(
         (F.floor(F.col("doc_id") / 3)).cast("int").alias("pmc_id"),
@@ -324,8 +327,10 @@ def claims(labels: DataFrame) -> DataFrame:
 
 
 def extracted(documents: DataFrame) -> DataFrame:
-    """Articles that came out of the claims: one per document of some length."""
-    kept = versions(documents.where("n_chars > 200"))
+    """Articles that came out of the claims: one per document whose payload holds a whole
+    article. The builder makes some payloads blank, cut off or without an article."""
+    whole = jats_payloads(documents).where(F.col("payload").contains("</article>")).select(F.col("doc_id").alias("arrival"))
+    kept = versions(documents).join(whole, "arrival", "left_semi")
     return kept.withColumn("pmc_id", F.col("arrival").cast("int")).withColumn(
         "batch", F.floor(F.col("arrival") / 50).cast("int")
     )

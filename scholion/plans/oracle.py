@@ -130,12 +130,13 @@ versions AS (
 best AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pmc_id
     ORDER BY n_sections DESC, alen DESC, doc_id) AS rn FROM versions) WHERE rn = 1)"""
-MAP_TEXT = """CASE WHEN has_map THEN (SELECT string_agg(k || '=' || ls[(k - 1) * 3 + 1], '|'
+MAP_TEXT = """CASE WHEN has_map THEN (SELECT string_agg(k || '=' || array_to_string(ls[(k - 1) * 3 + 1:k * 3], chr(10)), '|'
     ORDER BY CAST(k AS VARCHAR)) FROM range(1, n_sections + 1) r(k)) END"""
 
 BATCHES = """
 claims AS (SELECT DISTINCT doc_id // 50 AS batch, 'w' || (doc_id // 50 % 8) AS usr, doc_id AS id FROM labels),
-found AS (SELECT doc_id // 50 AS batch, doc_id AS id, doc_id % 5 <> 0 AS has_text FROM documents WHERE n_chars > 200)"""
+found AS (SELECT doc_id // 50 AS batch, doc_id AS id, doc_id % 5 <> 0 AS has_text FROM documents
+  WHERE doc_id % 97 NOT IN (5, 6, 7))"""
 REGISTRY = """
 registry AS (
   SELECT CAST(o_orderkey AS INTEGER) AS pmc_id, o_orderstatus <> 'O' AS scraped,
@@ -224,7 +225,10 @@ def statements() -> dict[str, str]:
       SELECT pmc_id, '{{"pmc_id":' || pmc_id || ',"pm_id":' || doc_id || ',"doi":"' || doi || '","title":"' || source
         || '","journal":"' || source || '","volume":"' || (n_chars % 50) || '","authors":["' || lang || '","' || source
         || '"],"publish_date":"' || strftime(publish_date, '%Y-%m-%dT%H:%M:%S') || '"'
-        || coalesce(',"abstract_text":' || to_json(ls[1]), '') || ',"keywords":["' || lang || '"]}}' AS json
+        || coalesce(',"abstract_text":' || to_json(ls[1]), '') || ',"keywords":["' || lang || '"]'
+        || CASE WHEN has_map THEN ',"sections":{{' || (SELECT string_agg('"' || k || '":'
+             || to_json(array_to_string(ls[(k - 1) * 3 + 1:k * 3], chr(10))), ',' ORDER BY k)
+             FROM range(1, n_sections + 1) r(k)) || '}}' ELSE '' END || '}}' AS json
       FROM best"""
     stats = """SELECT count(*) AS "Total_List", count(*) FILTER (scraped) AS "Total_Scraped",
         count(*) FILTER (success) AS "Total_Success", count(*) FILTER (full_text) AS "Total_Full_Text",
@@ -326,7 +330,7 @@ def statements() -> dict[str, str]:
             FROM docs WHERE coalesce({HTML_TITLE}, '') <> ''"""),
         "distinct_ids": "SELECT DISTINCT l_orderkey AS pmc_id FROM lineitem",
         "drop_failed": """SELECT CAST(doc_id AS INTEGER) AS pmc_id, '10.0/' || doc_id AS doi FROM documents
-            WHERE n_chars > 200 AND doc_id % 4 <> 0""",
+            WHERE doc_id % 97 NOT IN (5, 6, 7) AND doc_id % 4 <> 0""",
         "claimed_success": _plain(BATCHES, "SELECT CAST(id AS INTEGER) AS pmc_id, TRUE AS success FROM claims WHERE id IN (SELECT id FROM found)"),
         "extraction_errors": _plain(BATCHES, """SELECT CAST(id AS INTEGER) AS pmc_id, 'Extraction failed (Xml)' AS error
             FROM claims WHERE id NOT IN (SELECT id FROM found)"""),
@@ -345,8 +349,8 @@ def statements() -> dict[str, str]:
             UNION ALL SELECT DISTINCT CAST(l_orderkey * 2 AS INTEGER), FALSE, CAST(NULL AS TIMESTAMP), FALSE,
               CAST(NULL AS TIMESTAMP), CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP), CAST(NULL AS VARCHAR), FALSE
             FROM lineitem WHERE l_orderkey * 2 NOT IN (SELECT pmc_id FROM registry)"""),
-        "registry_insert_file": """SELECT (o_orderkey // 1000) || '.json' AS filename,
-            count(*) FILTER (o_orderkey % 3 <> 0) AS inserted FROM orders GROUP BY 1""",
+        "registry_insert_file": """SELECT (o_orderkey * 2 // 1000) || '.json' AS filename,
+            count(*) FILTER (o_orderkey * 2 NOT IN (SELECT o_orderkey FROM orders)) AS inserted FROM orders GROUP BY 1""",
         "registry_claim": _plain(REGISTRY, """SELECT pmc_id, 'w' || ((rn - 1) // 100) AS "user", scraped, full_text
             FROM (SELECT *, row_number() OVER (ORDER BY pmc_id) AS rn FROM registry WHERE usr IS NULL AND NOT scraped)
             WHERE rn <= 800"""),

@@ -27,7 +27,11 @@ def write_files(named: DataFrame, folder: str) -> None:
     def write_partition(rows) -> None:
         from pyarrow import fs
 
-        system, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        if "://" in folder:
+            system, root = fs.FileSystem.from_uri(folder)
+        else:  # a plain path, or Hadoop's short form file:/path
+            system, root = fs.LocalFileSystem(), folder.removeprefix("file:")
+        system.create_dir(root, recursive=True)
         for row in rows:
             with system.open_output_stream(f"{root}/{row['name']}") as out:
                 out.write(row["content"].encode("utf-8"))

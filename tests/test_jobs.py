@@ -16,11 +16,12 @@ from scholion.functions.keys import growing_keys, restart_keys
 from scholion.operators import fetch_log as L
 from scholion.operators import reconcile as R
 from scholion.operators import registry as G
+from scholion.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.001"
 LIGHT = [
     n
-    for n in entry.queries()
+    for n in catalog.jobs()
     if not n.startswith(("xml_", "html_", "stream_", "markup_", "src_xml"))
 ]
 
@@ -40,7 +41,8 @@ def test_light_query(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.jobs()) == set(oracle.statements())
+    assert set(catalog.jobs()) <= set(entry.queries()) and set(oracle.statements()) <= set(entry.oracle_sql())
 
 
 def hot_log(spark):
