@@ -38,13 +38,16 @@ def first_element(match: Column) -> Column:
     return F.min(found).over(W.partitionBy("doc_id"))
 
 
-def unit_texts(tokens: DataFrame, units: list[str], markers: list[str], info: list[str]) -> DataFrame:
+def unit_texts(
+    tokens: DataFrame, units: list[str], markers: list[str], info: list[str], whole: str | None = None
+) -> DataFrame:
     """One row per element whose ``kind`` is in ``units`` or ``markers``.
 
     ``tokens`` must carry ``kind`` (null for other elements), ``hidden`` (how many
     hidden elements are open) and ``skip_hidden`` (whether the unit's text leaves the
     hidden elements below it out). Units may nest: a text then counts for each of
-    them. Markers get no text. ``info`` columns are copied from the opening tag.
+    them. Markers get no text. ``info`` columns are copied from the opening tag. Where the
+    info column ``whole`` is set, whole_text is the text with the hidden elements.
     """
     def among(kinds: list[str]) -> str:
         listed = ", ".join(f"'{k}'" for k in kinds)
@@ -74,14 +77,16 @@ def unit_texts(tokens: DataFrame, units: list[str], markers: list[str], info: li
         "(partition by doc_id, level order by pos "
         "rows between unbounded preceding and current row) as unit",
     )
-    left_out = (
-        "level = 0 or (empty and level = own_level) or (unit.skip_hidden and hidden > unit.hidden)"
-    )
+    no_text = "level = 0 or (empty and level = own_level)"
+    left_out = f"{no_text} or (unit.skip_hidden and hidden > unit.hidden)"
+    pieces = {"text": f"if({left_out}, '', text)"}
+    if whole:
+        pieces["whole_text"] = f"if({no_text} or unit.{whole} is null, '', text)"
     return (
-        t.selectExpr("doc_id", "unit", "pos", f"if({left_out}, '', text) as piece")
+        t.selectExpr("doc_id", "unit", "pos", *(f"{piece} as {name}" for name, piece in pieces.items()))
         .groupBy("doc_id", "unit")
-        .agg(F.expr("listagg(piece, '') within group (order by pos)").alias("text"))
-        .select("doc_id", "unit.*", "text")
+        .agg(*(F.expr(f"listagg({name}, '') within group (order by pos)").alias(name) for name in pieces))
+        .select("doc_id", "unit.*", *pieces)
         .drop("skip_hidden", "hidden")
     )
 

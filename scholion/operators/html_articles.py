@@ -32,8 +32,8 @@ from scholion.operators.elements import (
     is_opener,
     ordered,
 )
+from scholion.operators.tokens import attr as attr_of
 from scholion.operators.tokens import (
-    attr,
     before_in_doc,
     markup_tokens,
     running_last,
@@ -65,6 +65,10 @@ META_NAMES = {
 AUTHOR_META = "citation_author"
 
 
+def attr(name: str) -> Column:
+    return attr_of(name, html=True)
+
+
 def _is(*kinds) -> Column:
     return F.col("kind").isin(*kinds)
 

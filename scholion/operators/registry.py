@@ -95,19 +95,27 @@ def registry_apply_results(registry: DataFrame, submits: DataFrame) -> DataFrame
     submitted_at). Unknown ids are added.
 
     When several bundles name an id, the latest one counts."""
-    base = submits.select("user", "submitted_at", "success_dict", "error_dict", "full_text_ids")
-    keys = ("user", "submitted_at")
-    wins = base.select(*keys, F.explode("success_dict").alias("pmc_id", "ok"))
-    fails = base.select(*keys, F.explode("error_dict").alias("pmc_id", "message"))
-    texts = base.select(*keys, F.explode("full_text_ids").alias("pmc_id"))
     no, text = F.lit(None).cast("boolean"), F.lit(None).cast("string")
-    rows = (
-        wins.select(*keys, "pmc_id", "ok", text.alias("message"), no.alias("has_text"))
-        .unionByName(fails.select(*keys, "pmc_id", no.alias("ok"), "message", no.alias("has_text")))
-        .unionByName(
-            texts.select(*keys, "pmc_id", no.alias("ok"), text.alias("message"), F.lit(True).alias("has_text"))
+
+    def entry(pmc_id: Column, ok: Column = no, message: Column = text, has_text: Column = no) -> Column:
+        return F.struct(
+            pmc_id.alias("pmc_id"), ok.alias("ok"), message.alias("message"), has_text.alias("has_text")
+        )
+
+    # One list per bundle, so that whatever makes the bundles runs once.
+    entries = F.concat(
+        *(
+            F.coalesce(found, F.array())
+            for found in (
+                F.transform(F.map_entries("success_dict"), lambda e: entry(e["key"], ok=e["value"])),
+                F.transform(F.map_entries("error_dict"), lambda e: entry(e["key"], message=e["value"])),
+                F.transform("full_text_ids", lambda i: entry(i, has_text=F.lit(True))),
+            )
         )
     )
+    rows = submits.select("user", "submitted_at", F.explode(entries).alias("entry")).select(
+        "user", "submitted_at", "entry.*"
+    )
     latest = F.struct("submitted_at", "user")
 
     def last(column: str) -> Column:

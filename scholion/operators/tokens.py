@@ -14,18 +14,25 @@ from pyspark.sql import functions as F
 
 from scholion.functions.scalars import xml_unescape
 
-ATTRIBUTES = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+"""
+# In XML a quote always opens a value, and no value holds "<".
+XML_ATTRIBUTES = r"""[^<>"']*+(?:"[^"<]*+"[^<>"']*+|'[^'<]*+'[^<>"']*+)*+"""
+# In HTML a quote counts right after "=" only; an unquoted value ends at white space or ">".
+HTML_ATTRIBUTES = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)[^>=]*+)*+"""
 COMMENT = r"<!--.*?-->"
 CDATA = r"<!\[CDATA\[.*?\]\]>"
 INSTRUCTION = r"<\?.*?\?>"
 DOCTYPE = r"<![A-Za-z][^\[>]*+(?:\[[^\]]*+\][^>]*+)?>"
 # The only capture inside the markup: the name.
-TAG = rf"</?([A-Za-z_:][^\s/>]*+){ATTRIBUTES}>"
+NAME = r"</?([A-Za-z_:][^\s/<>]*+)"
+XML_TAG = f"{NAME}{XML_ATTRIBUTES}>"
+HTML_TAG = f"{NAME}{HTML_ATTRIBUTES}>"
+# Text before the first markup item is an item of its own, after a byte order mark.
+LEADING = r"\A\x{FEFF}?+(?=[^<]*+[^<\s])"
 # Script and style hold raw text that must not be read as markup.
 RAW_ELEMENT = r"<(?i:script)\b[^>]*+>.*?</(?i:script)\s*+>|<(?i:style)\b[^>]*+>.*?</(?i:style)\s*+>"
 # Tags come first, as nearly every item is one; script and style must come before them.
-XML_MARKUP = f"{TAG}|{COMMENT}|{CDATA}|{INSTRUCTION}|{DOCTYPE}|<"
-HTML_MARKUP = f"{RAW_ELEMENT}|{TAG}|{COMMENT}|{DOCTYPE}|<"
+XML_MARKUP = f"{XML_TAG}|{COMMENT}|{CDATA}|{INSTRUCTION}|{DOCTYPE}|<|{LEADING}"
+HTML_MARKUP = f"{RAW_ELEMENT}|{HTML_TAG}|{COMMENT}|{DOCTYPE}|<"
 
 UNKNOWN_ENTITY = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
 
@@ -66,16 +73,24 @@ def running_last(c: Column) -> Column:
     return F.last(c, ignorenulls=True).over(in_doc_order())
 
 
-def attr_sql(name: str) -> str:
-    """Raw value of an attribute of the tag at hand, as SQL; null when absent."""
-    pattern = rf"""(?:^|\\s){name}\\s*=\\s*("[^"]*"|\'[^\']*\'|[^\\s"\'>]+)"""
-    value = f"regexp_extract(attrs, '{pattern}', 1)"
-    bare = f"if(v rlike '^[\"\\']', substring(v, 2, length(v) - 2), v)"
-    return f"if(attrs like '%{name}%', transform(array(nullif({value}, '')), v -> {bare})[0], null)"
+VALUE = r"""(?:"[^"]*+"|\x27[^\x27]*+\x27|[^\s"\x27][^\s]*+)"""
+# One attribute with its value, if it has one.
+ATTRIBUTE = rf"[^\s=/]++(?:\s*+=\s*+{VALUE}?+)?+[\s/]*+"
 
 
-def attr(name: str) -> Column:
-    return F.expr(attr_sql(name))
+def attr_sql(name: str, html: bool = False) -> str:
+    """Raw value of an attribute of the tag at hand, as SQL; null when absent. Whole
+    attributes are passed over up to the first of that name, so a value is never read as
+    one. HTML names may be in any case."""
+    case, there = ("(?i)", "lower(attrs)") if html else ("", "attrs")
+    pattern = rf"{case}^[\s/]*+(?:{ATTRIBUTE})*?{name}\s*+=\s*+({VALUE})".replace("\\", "\\\\")
+    found = f"nullif(regexp_extract(attrs, '{pattern}', 1), '')"
+    bare = r"""if(left(v, 1) in ('"', '\''), substring(v, 2, length(v) - 2), v)"""
+    return f"if({there} like '%{name}%', transform(array({found}), v -> {bare})[0], null)"
+
+
+def attr(name: str, html: bool = False) -> Column:
+    return F.expr(attr_sql(name, html))
 
 
 def markup_tokens(payloads: DataFrame, mode: str = "xml") -> DataFrame:

@@ -24,6 +24,7 @@ from scholion.functions.scalars import (
     sentence_gap,
     trim_ws,
     try_int,
+    xml_unescape,
 )
 from scholion.operators.elements import (
     blank_to_null,
@@ -253,7 +254,8 @@ def xml_elements(scoped: DataFrame, groups=tuple(GROUPS)) -> DataFrame:
     """Elements of the asked groups with their normalized text.
 
     Columns: doc_id, pos, end_pos, depth, kind, info (an attribute), flag, rel (open
-    sections in the body), wrap_level, text.
+    sections in the body), wrap_level, text. An element that is part of a table or of the
+    body and of the front matter as well has a row for each.
     """
     t = scoped
     rules = []
@@ -268,29 +270,62 @@ def xml_elements(scoped: DataFrame, groups=tuple(GROUPS)) -> DataFrame:
         rules += _body_rules()
     if "tables" in groups:
         rules += _table_rules()
-    rules += _front_rules(groups)
+    front_rules = _front_rules(groups)
+    both = bool(rules and front_rules)
+    if not both:
+        rules, front_rules = rules + front_rules, []
     # The article itself is always there, so that no article is lost for want of fields.
     rules.append(("article", "start_pos = article.pos", "null", "false"))
 
-    def by_rule(values: list[str], default: str, otherwise: str) -> str:
-        cases = [f"when {i} then {v}" for i, v in enumerate(values) if v != default]
-        return f"case rule {' '.join(cases)} else {otherwise} end" if cases else otherwise
+    def first_rule(rules) -> str:
+        cases = " ".join(f"when {r[1]} then {i}" for i, r in enumerate(rules))
+        return f"case when start_pos is not null then case {cases} end end"
 
-    cases = " ".join(f"when {r[1]} then {i}" for i, r in enumerate(rules))
-    t = t.selectExpr("*", f"case when start_pos is not null then case {cases} end end as rule")
+    def of_rule(rule: str, values: list[str], default: str) -> str:
+        cases = [f"when {i} then {v}" for i, v in enumerate(values) if v != default]
+        return f"case {rule} {' '.join(cases)} else {default} end" if cases else default
+
+    def described(rule: str, rules, prefix: str = "") -> list[str]:
+        return [
+            of_rule(rule, [f"'{r[0]}'" for r in rules], "null") + f" as {prefix}kind",
+            f"cast({of_rule(rule, [r[2] for r in rules], 'null')} as string) as {prefix}info",
+            of_rule(rule, [r[3] for r in rules], "false") + f" as {prefix}flag",
+        ]
+
+    columns = described("rule", rules)
+    t = t.selectExpr("*", f"{first_rule(rules)} as rule")
+    if both:
+        columns += described("front_rule", front_rules, "front_")
+        t = t.selectExpr("*", f"{first_rule(front_rules)} as front_rule")
     t = t.selectExpr(
         "doc_id", "pos", "end_pos", "depth", "is_open", "is_close", "is_selfclosing",
-        "text", "hidden", "wrap_level",
-        by_rule([f"'{r[0]}'" for r in rules], "", "null") + " as kind",
-        f"cast({by_rule([r[2] for r in rules], 'null', 'null')} as string) as info",
-        by_rule([r[3] for r in rules], "false", "false") + " as flag",
+        "text", "hidden", "wrap_level", *columns,
         (SECS_HERE if "sections" in groups else "0L") + " as rel",
-    ).selectExpr(
-        "*", "kind in ('th', 'td') or (kind = 'line' and not flag) as skip_hidden"
     )
+    info = list(INFO)
+    if both:
+        # Alone, the front kind is the kind; next to another one it is carried along.
+        alone = "kind is null"
+        t = t.selectExpr(
+            "* except (kind, info, flag, front_kind)",
+            "coalesce(kind, front_kind) as kind",
+            f"if({alone}, front_info, info) as info",
+            f"if({alone}, front_flag, flag) as flag",
+            f"if({alone}, null, front_kind) as front_kind",
+        )
+        info += ["front_kind", "front_info", "front_flag"]
+    t = t.selectExpr("*", "kind in ('th', 'td') or (kind = 'line' and not flag) as skip_hidden")
     units = [k for g in groups for k in GROUPS[g][0]]
     markers = ["article"] + [k for g in groups for k in GROUPS[g][1]]
-    return unit_texts(t, units, markers, INFO).withColumn("text", normalize_ws(F.col("text")))
+    found = unit_texts(t, units, markers, info, "front_kind" if both else None)
+    if both:
+        one = "struct(kind, info, flag, text)"
+        two = "struct(front_kind as kind, front_info as info, front_flag as flag, whole_text as text)"
+        found = found.selectExpr(
+            "doc_id", "pos", "end_pos", "depth", "rel", "wrap_level",
+            f"inline(if(front_kind is null, array({one}), array({one}, {two})))",
+        )
+    return found.withColumn("text", normalize_ws(F.col("text"))).withColumn("info", xml_unescape(F.col("info")))
 
 
 def _with_parent(elements: DataFrame) -> DataFrame:
