@@ -211,7 +211,10 @@ def _bundles(spark, sf) -> DataFrame:
     batches = claims.select(*keys).distinct()
     articles = _extracted(spark, sf).join(batches, "batch", "left_semi")
     owner = F.concat(F.lit("w"), (F.col("batch") % 8).cast("string"))
-    articles = R.best_version(articles.withColumn("user", owner), "batch", "user")
+    # Four readers follow: the articles are made once, as a table that outlives executors.
+    folder = work_folder(spark)
+    R.best_version(articles.withColumn("user", owner), "batch", "user").write.parquet(folder)
+    articles = spark.read.parquet(folder)
     ids = articles.select(*keys, "pmc_id").distinct()
     claimed = claims.select(*keys, "pmc_id").distinct()
     on = [*keys, "pmc_id"]
