@@ -27,7 +27,7 @@ NAME = r"</?([A-Za-z_:][^\s/<>]*+)"
 XML_TAG = f"{NAME}{XML_ATTRIBUTES}>"
 HTML_TAG = f"{NAME}{HTML_ATTRIBUTES}>"
 # Text before the first markup item is an item of its own, after a byte order mark.
-LEADING = r"\A\x{FEFF}?+(?=[^<]*+[^<\s])"
+LEADING = r"\A\x{FEFF}?+(?=\s*+[^<\s])"
 # Script and style hold raw text that must not be read as markup.
 RAW_ELEMENT = r"<(?i:script)\b[^>]*+>.*?</(?i:script)\s*+>|<(?i:style)\b[^>]*+>.*?</(?i:style)\s*+>"
 # Tags come first, as nearly every item is one; script and style must come before them.
