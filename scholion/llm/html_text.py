@@ -52,13 +52,19 @@ ENDS = {
     "option": (frozenset({"option"}), frozenset({"select"})),
 }
 
+#: A quoted value may hold ">"; if that leaves the tag without an end, the first ">" ends it.
+#: Nothing here is tried twice, so broken markup takes no longer than whole markup.
+IN_TAG = r"""(?:(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|["'=])*+(?=>)|[^>]*+)"""
+#: The groups c1 to c3 say that a comment, a CDATA section or a raw element has no end.
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*[^>]*>|\Z)"
-    r"|</(?P<close>[a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*)>",
+    r"<!--.*?(?:-->|(?P<c1>\Z))|<!\[CDATA\[.*?(?:\]\]>|(?P<c2>\Z))|<[!?][^>]*+>"
+    rf"|<(?P<raw>{'|'.join(RAW)})\b{IN_TAG}>.*?(?:</(?P=raw)\s*+[^>]*+>|(?P<c3>\Z))"
+    r"|</(?P<close>[a-zA-Z][^\s/>]*)[^>]*+>"
+    rf"|<(?P<open>[a-zA-Z][^\s/>]*+)(?P<attrs>{IN_TAG})>",
     re.S | re.I,
 )
+#: What begins a comment or the like after the last ">" reaches to the end.
+TAIL = re.compile(r"<[!?]")
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACES = re.compile(r"\s+")
 DIGITS = re.compile(r"\d+")
@@ -107,10 +113,13 @@ def _opened(name: str, attrs: str, parent: Node) -> Node:
 
 def parse(html: str) -> Node:
     """Block elements as a tree with the text between them; inline markup is dropped, unclosed
-    elements end with their parent."""
+    elements end with their parent. No tag begins after the last ">"; what stands there is text,
+    or belongs to a comment, a CDATA section or a raw element without an end."""
     top = here = Node("", "", False, None)
-    at = 0
-    for m in MARKUP.finditer(html):
+    at, last = 0, html.rfind(">") + 1
+    cut = None
+    for m in MARKUP.finditer(html, 0, last):
+        cut = m["c1"] is not None or m["c2"] is not None or m["c3"] is not None
         if m.start() > at:
             here.kids.append(html[at : m.start()])
         at = m.end()
@@ -153,8 +162,12 @@ def parse(html: str) -> Node:
             here = here.parent
         elif m.group().startswith("<![CDATA["):
             here.kids.append(m.group()[9:].removesuffix("]]>"))
-    if at < len(html):
-        here.kids.append(html[at:])
+    if not (cut and at == last):
+        tail = html[at:]
+        begun = TAIL.search(tail, last - at)
+        here.kids.append(tail[: begun.start()] if begun else tail)
+    elif m["c2"] is not None:
+        here.kids.append(html[last:])
     return top
 
 

@@ -291,3 +291,16 @@ def test_pipeline_stages_on_empty_input(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf).count() == 0
+
+
+def test_broken_markup_is_read_once():
+    """Tags without an end, alone and by the thousand: all text stays, and nothing is tried twice."""
+    for tail in (' a="1"' * 3000, ' a="1' * 3001, " <script" * 3000, ' <b c="d' * 3001, " <!-- e" * 3000, " </i" * 3000):
+        text, _ = html_text.main_text("<p>kept</p><i" + tail, None)
+        assert text.startswith("kept\n<i")
+        assert html_text.main_text("<p>kept</p><i" + tail + "><p>too</p>", None)[0].startswith("kept")
+    for html, text in (
+        ("a<!-- b > c", "a"), ("a<!-- b", "a"), ("<p>x</p><script>y > z", "x"), ("a<![CDATA[b > c", "ab > c"),
+        ("<p title='a>b'>c</p>", "c"), ('<p title="a>b</p>', "b"), ("1 < 2", "1 < 2"), ("a <b", "a <b"),
+    ):
+        assert html_text.main_text(html, None)[0] == text
