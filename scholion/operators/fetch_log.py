@@ -1,9 +1,11 @@
 """Fetch-log statistics that stay parallel when one worker holds most of the log.
 
-A plain window per worker would put a worker's whole log into one task. Here the log is
-range-partitioned by (worker, time), which cuts even a single worker into many chunks of
-even size; windows run per chunk, and what a chunk needs to know about the ones before
-it comes from a small table with one row per worker and chunk.
+A plain window per worker would put a worker's whole log into one task. Here the log is cut
+into chunks of fixed time spans, six hours by default; windows run per worker and chunk, and
+what a chunk needs to know about the ones before it comes from a table with one row per
+worker and chunk. The chunk follows from the time alone, so a recomputed task sees the same
+chunks, nothing is written in between and making a plan starts no job. A worker's calls in a
+span are bounded by the rate it may call at; a denser log takes a shorter span.
 """
 
 from __future__ import annotations
@@ -12,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from scholion.session import checkpointed
+# Span of a chunk.
+CHUNK_S = 6 * 3600
 
 # Pressure of each outcome, in hundredths.
 PRESSURE = {
@@ -23,6 +26,7 @@ PRESSURE = {
     "HttpBan": 200,
     "OtherError": 60,
 }
+# Size of the pressure window, target and limit, pauses, errors in a row, shortest body.
 WINDOW = 30
 TARGET = 8  # hundredths
 GOOD_ENOUGH = 12  # hundredths
@@ -74,19 +78,21 @@ def outcome_of_result(success: Column) -> Column:
 # --- chunks ------------------------------------------------------------------------
 
 
-def chunked(log: DataFrame, chunks: int | None = None) -> DataFrame:
-    """Add ``chunk``: ranges of (worker, ts, event_id), in order. A log that has its chunks
-    already is taken as it is.
+def chunk_at(log: DataFrame, ts: Column, seconds: int) -> Column:
+    """Number of the span that holds ``ts``, whatever the session's time zone."""
+    if log.schema["ts"].dataType.typeName() == "timestamp_ntz":
+        since = (ts - F.expr("timestamp_ntz'1970-01-01 00:00:00'")).cast("interval second")
+        whole = F.floor(since.cast("decimal(18,6)"))
+    else:
+        whole = F.unix_seconds(ts)
+    return F.floor(whole / seconds).cast("long")
 
-    The rows are checkpointed, as range bounds are sampled and two readers must not see
-    different ones."""
+
+def chunked(log: DataFrame, seconds: int = CHUNK_S) -> DataFrame:
+    """Add ``chunk``. A log that has its chunks already is taken as it is."""
     if "chunk" in log.columns:
         return log
-    columns = ("worker", *ORDER)
-    ranged = (
-        log.repartitionByRange(chunks, *columns) if chunks else log.repartitionByRange(*columns)
-    )
-    return checkpointed(ranged.withColumn("chunk", F.spark_partition_id()))
+    return log.withColumn("chunk", chunk_at(log, F.col("ts"), seconds))
 
 
 def _in_chunk(start=W.unboundedPreceding, end=0) -> W:
@@ -105,13 +111,13 @@ def _with_weight(log: DataFrame) -> DataFrame:
     return log.withColumn("weight", F.try_element_at(weights, F.col("outcome")))
 
 
-def rolling_pressure(log: DataFrame, chunks: int | None = None) -> DataFrame:
+def rolling_pressure(log: DataFrame, seconds: int = CHUNK_S) -> DataFrame:
     """Add weight, window_size, pressure and pressure_error: the mean weight of the
     worker's last 30 attempts and its distance to the target.
 
     A chunk takes the last 29 weights before it from the chunks ahead of it; 29 chunk
     rows are enough, as each holds at least one attempt."""
-    rows = _with_weight(chunked(log, chunks))
+    rows = _with_weight(chunked(log, seconds))
     back = WINDOW - 1
     place = F.row_number().over(W.partitionBy("worker", "chunk").orderBy(*ORDER))
     last = W.partitionBy("worker", "chunk").orderBy(*[F.col(c).desc() for c in ORDER])
@@ -154,9 +160,9 @@ def rolling_pressure(log: DataFrame, chunks: int | None = None) -> DataFrame:
     )
 
 
-def best_sustained_delay(log: DataFrame, chunks: int | None = None) -> DataFrame:
+def best_sustained_delay(log: DataFrame, seconds: int = CHUNK_S) -> DataFrame:
     """(worker, best_delay): lowest delay with a full window under low pressure, else 0."""
-    rows = rolling_pressure(log, chunks)
+    rows = rolling_pressure(log, seconds)
     good = (F.col("window_size") >= WINDOW) & F.col("calm")
     lowest = F.min(F.when(good, F.col("delay_ms")))
     return rows.groupBy("worker").agg(F.coalesce(lowest, F.lit(0)).alias("best_delay"))
@@ -165,14 +171,14 @@ def best_sustained_delay(log: DataFrame, chunks: int | None = None) -> DataFrame
 # --- streaks and pauses ------------------------------------------------------------
 
 
-def _streak_rows(log: DataFrame, chunks: int | None) -> DataFrame:
+def _streak_rows(log: DataFrame, seconds: int) -> DataFrame:
     """Add streak and own_pause, and pause_in: the pause the chunk begins with.
 
     A chunk is summed up by its leading failures, its trailing ones and its latest
     pauses. From those the streak and the pause at the start of every chunk follow, so
     the rows themselves are read just twice."""
     window = "(partition by worker, chunk order by ts, event_id rows unbounded preceding)"
-    rows = chunked(log, chunks).selectExpr("*", "outcome <> 'Success' as failed")
+    rows = chunked(log, seconds).selectExpr("*", "outcome <> 'Success' as failed")
     rows = rows.selectExpr(
         "*",
         f"sum(if(failed, 1, 0)) over {window} as failures",
@@ -227,32 +233,32 @@ def _streak_rows(log: DataFrame, chunks: int | None) -> DataFrame:
     )
 
 
-def error_streaks(log: DataFrame, chunks: int | None = None) -> DataFrame:
+def error_streaks(log: DataFrame, seconds: int = CHUNK_S) -> DataFrame:
     """Add streak: failures in a row up to and including the attempt."""
-    return _streak_rows(log, chunks).drop("chunk", "own_pause", "pause_in")
+    return _streak_rows(log, seconds).drop("chunk", "own_pause", "pause_in")
 
 
-def pause_windows(log: DataFrame, chunks: int | None = None) -> DataFrame:
+def pause_windows(log: DataFrame, seconds: int = CHUNK_S) -> DataFrame:
     """Add streak and pause_until: the running end of the worker's pause, never moved
     back."""
-    rows = _streak_rows(log, chunks)
+    rows = _streak_rows(log, seconds)
     until = F.greatest(F.max("own_pause").over(_in_chunk()), F.col("pause_in"))
     return rows.withColumn("pause_until", until).drop("chunk", "own_pause", "pause_in")
 
 
-def paused_attempts(log: DataFrame, chunks: int | None = None) -> DataFrame:
+def paused_attempts(log: DataFrame, seconds: int = CHUNK_S) -> DataFrame:
     """Add streak and is_paused: the attempt came before a pause set by earlier attempts
     was over."""
-    rows = _streak_rows(log, chunks)
+    rows = _streak_rows(log, seconds)
     until = F.greatest(F.max("own_pause").over(_in_chunk(end=-1)), F.col("pause_in"))
     paused = F.coalesce(F.col("ts") < until, F.lit(False))
     return rows.withColumn("is_paused", paused).drop("chunk", "own_pause", "pause_in")
 
 
-def worker_status(log: DataFrame, now: Column | None = None, chunks: int | None = None) -> DataFrame:
+def worker_status(log: DataFrame, now: Column | None = None, seconds: int = CHUNK_S) -> DataFrame:
     """(worker, delay, best_delay, pressure, paused) as of ``now``, by default the time of
     the worker's last attempt."""
-    rows = chunked(log, chunks)
+    rows = chunked(log, seconds)
     latest = F.struct(*ORDER)
     good = (F.col("window_size") >= WINDOW) & F.col("calm")
     status = rolling_pressure(rows).groupBy("worker").agg(
@@ -261,7 +267,7 @@ def worker_status(log: DataFrame, now: Column | None = None, chunks: int | None
         F.max_by("pressure", latest).alias("pressure"),
         F.max("ts").alias("last_ts"),
     )
-    ends = _streak_rows(rows, None).groupBy("worker").agg(F.max("own_pause").alias("pause_until"))
+    ends = _streak_rows(rows, seconds).groupBy("worker").agg(F.max("own_pause").alias("pause_until"))
     now = F.col("last_ts") if now is None else now
     return status.join(ends, "worker").select(
         "worker",
@@ -305,69 +311,60 @@ def fetch_resolution(
 # --- rates -------------------------------------------------------------------------
 
 
+#: What a row of the audit is: a dispatch, the time one second before it, or a dispatch of the
+#: chunk before that the first second of this one still counts.
+CALL, PROBE, EARLIER = 0, 1, 2
+
+
 def rate_gap_audit(
-    log: DataFrame, min_gap_ms: int = 110, cap: int = 3, chunks: int | None = None
+    log: DataFrame, min_gap_ms: int = 110, cap: int = 3, seconds: int = CHUNK_S
 ) -> DataFrame:
     """(worker, event_id, ts, gap_ms, last_second, violation): the gap to the worker's
     previous dispatch, and its dispatches in the second up to this one.
 
     The count is a difference of two running counts: at the dispatch, and one second
-    before it. The latter are probe rows in the same ordered log, so that a busy second
-    is never gathered in one place."""
-    calls = log.select(
-        "worker", "event_id", "ts", F.col("ts").alias("at"), F.lit(1).alias("is_call")
-    )
+    before it. The latter are probe rows in the same chunk, so that a busy second is never
+    gathered in one place. A dispatch in the last second of a chunk goes to the next one
+    as well. The log is exchanged once; beside it goes a row per worker and chunk."""
+    ts = F.col("ts")
     second = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(1))
-    probes = calls.select(
-        "worker", "event_id", (F.col("ts") - second).alias("ts"), "at", F.lit(0).alias("is_call")
+    here, after = chunk_at(log, ts, seconds), chunk_at(log, ts + second, seconds)
+
+    def entry(kind: int, at: Column, chunk: Column) -> Column:
+        return F.struct(chunk.alias("chunk"), at.alias("at"), F.lit(kind).alias("kind"))
+
+    own = F.array(entry(CALL, ts, here), entry(PROBE, ts - second, here))
+    both = F.concat(own, F.array(entry(EARLIER, ts, after)))
+    rows = (
+        log.select("worker", "event_id", "ts", F.explode(F.when(here == after, own).otherwise(both)).alias("e"))
+        .select("worker", "event_id", "ts", "e.*")
+        .withColumn("is_call", F.when(F.col("kind") == PROBE, 0).otherwise(1))
     )
     # A probe sorts after the calls of its own instant, and so does not count them in.
-    order = ("ts", "is_call_last", "event_id")
-    stacked = calls.unionByName(probes).withColumn("is_call_last", 1 - F.col("is_call"))
-    rows = checkpointed(
-        (stacked.repartitionByRange(chunks, "worker", *order) if chunks
-         else stacked.repartitionByRange("worker", *order))
-        .withColumn("chunk", F.spark_partition_id())
-    )
-    w = W.partitionBy("worker", "chunk").orderBy(*order)
-    call_ts = F.when(F.col("is_call") == 1, F.col("ts"))
-    local = rows.select(
+    w = W.partitionBy("worker", "chunk").orderBy("at", F.col("is_call").desc(), "event_id")
+    call_at = F.when(F.col("is_call") == 1, F.col("at"))
+    counted = rows.select(
         "*",
-        F.sum("is_call").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("local_count"),
-        F.max(call_ts).over(w.rowsBetween(W.unboundedPreceding, -1)).alias("local_previous"),
+        F.sum("is_call").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("count"),
+        F.max(call_at).over(w.rowsBetween(W.unboundedPreceding, -1)).alias("before"),
+    ).where(F.col("kind") != EARLIER)
+    is_call = F.col("kind") == CALL
+    paired = counted.groupBy("worker", "chunk", "event_id", "ts").agg(
+        F.sum(F.when(is_call, F.col("count")).otherwise(-F.col("count"))).alias("last_second"),
+        F.max(F.when(is_call, F.col("before"))).alias("in_chunk"),
     )
-    totals = rows.groupBy("worker", "chunk").agg(
-        F.sum("is_call").alias("calls"), F.max(call_ts).alias("last_call")
-    )
-    carries = totals.select(
-        "worker",
-        "chunk",
-        F.coalesce(F.sum("calls").over(_earlier_chunks()), F.lit(0)).alias("calls_before"),
-        F.max("last_call").over(_earlier_chunks()).alias("call_before"),
-    )
-    counted = local.join(carries, ["worker", "chunk"]).select(
-        "worker",
-        "event_id",
-        "at",
-        "is_call",
-        (F.col("local_count") + F.col("calls_before")).alias("count"),
-        F.greatest("local_previous", "call_before").alias("previous"),
-    )
-    paired = counted.groupBy("worker", "event_id", "at").agg(
-        F.sum(F.when(F.col("is_call") == 1, F.col("count")).otherwise(-F.col("count"))).alias(
-            "last_second"
-        ),
-        F.max(F.when(F.col("is_call") == 1, F.col("previous"))).alias("previous"),
-    )
-    micros = F.expr("timestampdiff(MICROSECOND, previous, at)")
-    gap = F.floor(micros / 1000)
-    return paired.select(
-        "worker",
-        "event_id",
-        F.col("at").alias("ts"),
-        gap.alias("gap_ms"),
-        "last_second",
-        (F.coalesce(micros < min_gap_ms * 1000, F.lit(False)) | (F.col("last_second") > cap)).alias(
-            "violation"
-        ),
+    last = log.groupBy("worker", here.alias("chunk")).agg(F.max("ts").alias("last_call"))
+    carried = last.select("worker", "chunk", F.max("last_call").over(_earlier_chunks()).alias("carry"))
+    micros = F.expr("timestampdiff(MICROSECOND, previous, ts)")
+    return (
+        paired.join(carried, ["worker", "chunk"])
+        .withColumn("previous", F.coalesce("in_chunk", "carry"))
+        .select(
+            "worker",
+            "event_id",
+            "ts",
+            F.floor(micros / 1000).alias("gap_ms"),
+            "last_second",
+            (F.coalesce(micros < min_gap_ms * 1000, F.lit(False)) | (F.col("last_second") > cap)).alias("violation"),
+        )
     )

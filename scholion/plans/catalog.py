@@ -174,9 +174,11 @@ def _src_ids(spark, sf):
 def _sink_json(spark, sf):
     folder = work_folder(spark)
     writers.sink_articles_json(C.versions(C.table(spark, sf, "documents")), f"{folder}/articles")
-    schema = "pmc_id int, doi string, title string, authors array<string>, abstract_text string, arrival bigint"
-    back = spark.read.schema(schema).json(f"{folder}/articles")
-    return back.withColumn("authors", F.array_join("authors", "|"))
+    schema = (
+        "pmc_id int, pm_id int, doi string, title string, journal string, volume string, authors array<string>, "
+        "keywords array<string>, abstract_text string, sections map<string,string>, arrival bigint"
+    )
+    return _flat(spark.read.schema(schema).json(f"{folder}/articles"))
 
 
 def _update_payload(spark, sf):
@@ -267,6 +269,11 @@ def _registry_claim(spark, sf):
     return claimed.select("pmc_id", "user", "scraped", "full_text")
 
 
+def _registry_after_claim(spark, sf):
+    registry = _registry(spark, sf)
+    return G.registry_after_claim(registry, G.registry_claim(registry, CLAIM_USERS, 100))
+
+
 def _registry_apply(spark, sf):
     at = F.lit(SUBMITTED_AT).cast("timestamp_ntz")
     return G.registry_apply_results(
@@ -285,6 +292,12 @@ def _web_log(spark, sf):
     return L.classify_html_attempt(_log(spark, sf))
 
 
+def _dense_log(spark, sf):
+    """The log in a two-thousandth of its time."""
+    start = "timestamp_ntz'2024-01-01'"
+    return _log(spark, sf).withColumn("ts", F.expr(f"{start} + (ts - {start}) / 2000"))
+
+
 def _picked(df: DataFrame, *columns) -> DataFrame:
     return df.select("event_id", "worker", *columns)
 
@@ -481,7 +494,9 @@ def jobs() -> dict:
         "batch_running_totals": lambda spark, sf: R.batch_running_totals(_batch_summary(spark, sf), 7),
         "registry_insert": _registry_insert,
         "registry_insert_file": _registry_insert_file,
+        "registry_insert_count": lambda spark, sf: G.registry_insert_count(_registry(spark, sf), _new_ids(spark, sf)),
         "registry_claim": _registry_claim,
+        "registry_after_claim": _registry_after_claim,
         "registry_apply_results": _registry_apply,
         "registry_stats": lambda spark, sf: G.registry_stats(_registry(spark, sf)),
         "classify_xml_attempt": lambda spark, sf: _picked(
@@ -497,10 +512,12 @@ def jobs() -> dict:
         "best_sustained_delay": lambda spark, sf: L.best_sustained_delay(_web_log(spark, sf)),
         "worker_status": lambda spark, sf: L.worker_status(_web_log(spark, sf)),
         "fetch_resolution": _resolution,
-        "rate_gap_audit": lambda spark, sf: L.rate_gap_audit(
-            _log(spark, sf).withColumn("ts", F.expr("timestamp_ntz'2024-01-01' + (ts - timestamp_ntz'2024-01-01') / 2000")),
-            2000, 1,
+        "outcome_of_result": lambda spark, sf: _picked(
+            _log(spark, sf).withColumn("outcome", L.outcome_of_result(F.col("title").isNotNull())), "outcome"
         ),
+        "rate_gap_audit": lambda spark, sf: L.rate_gap_audit(_dense_log(spark, sf), 2000, 1),
+        "rate_gap_audit_live": lambda spark, sf: L.rate_gap_audit(_dense_log(spark, sf), 110, 3),
+        "rate_gap_audit_keyed": lambda spark, sf: L.rate_gap_audit(_dense_log(spark, sf), 110, 10),
         "stream_extract": _stream_extract,
         "stream_best_version": _stream_best,
         "stream_registry_stats": _stream_stats,

@@ -185,6 +185,17 @@ def _plain(cte: str, select: str) -> str:
     return f"WITH {cte.strip()}\n{select.strip()}"
 
 
+def rate_gaps(least_us: int, cap: int) -> str:
+    return _plain(f"""{LOG},
+        calls AS (SELECT worker, event_id, make_timestamp(epoch_us(TIMESTAMP '2024-01-01')
+          + (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01') + 1000) // 2000) AS ts FROM log),
+        gaps AS (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY worker ORDER BY ts, event_id)) AS gap,
+          count(*) OVER (PARTITION BY worker ORDER BY ts RANGE BETWEEN INTERVAL 999999 MICROSECOND PRECEDING
+            AND CURRENT ROW) AS last_second FROM calls)""", f"""
+        SELECT worker, event_id, ts, gap // 1000 AS gap_ms, last_second,
+          coalesce(gap < {least_us}, FALSE) OR last_second > {cap} AS violation FROM gaps""")
+
+
 def statements() -> dict[str, str]:
     xml_article = f"""
       SELECT g.doc_id, CAST(1000000 + g.doc_id AS INTEGER) AS pmc_id, CAST(g.doc_id AS INTEGER) AS pm_id,
@@ -241,8 +252,9 @@ def statements() -> dict[str, str]:
         "src_id_list": """SELECT 'txt' AS form, CAST(o_orderkey AS INTEGER) AS pmc_id FROM orders
             WHERE o_orderkey % 100 <> 7
             UNION ALL SELECT 'json', CAST(o_orderkey AS INTEGER) FROM orders""",
-        "sink_articles_json": _plain(VERSIONS, """SELECT pmc_id, doi, source AS title, lang || '|' || source AS authors,
-            ls[1] AS abstract_text, doc_id AS arrival FROM versions"""),
+        "sink_articles_json": _plain(VERSIONS, f"""SELECT pmc_id, CAST(doc_id AS INTEGER) AS pm_id, doi,
+            source AS title, source AS journal, CAST(n_chars % 50 AS VARCHAR) AS volume, lang || '|' || source AS authors,
+            lang AS keywords, ls[1] AS abstract_text, {MAP_TEXT} AS sections, doc_id AS arrival FROM versions"""),
         "sink_update_payload": _plain(VERSIONS, wire),
         "submit_bundle": _plain(BATCHES, """
             SELECT b.usr AS "user", CAST(b.batch AS INTEGER) AS batch, count(f.id) AS n_articles,
@@ -349,6 +361,13 @@ def statements() -> dict[str, str]:
             UNION ALL SELECT DISTINCT CAST(l_orderkey * 2 AS INTEGER), FALSE, CAST(NULL AS TIMESTAMP), FALSE,
               CAST(NULL AS TIMESTAMP), CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP), CAST(NULL AS VARCHAR), FALSE
             FROM lineitem WHERE l_orderkey * 2 NOT IN (SELECT pmc_id FROM registry)"""),
+        "registry_insert_count": """SELECT count(DISTINCT l_orderkey) AS inserted FROM lineitem
+            WHERE l_orderkey * 2 NOT IN (SELECT o_orderkey FROM orders)""",
+        "registry_after_claim": _plain(f"""{REGISTRY},
+            first AS (SELECT pmc_id, row_number() OVER (ORDER BY pmc_id) AS rn FROM registry WHERE usr IS NULL AND NOT scraped)""", """
+            SELECT r.pmc_id, scraped, scraped_at, success, success_at, error, error_at,
+              CASE WHEN rn <= 800 THEN 'w' || ((rn - 1) // 100) ELSE usr END AS "user", full_text
+            FROM registry r LEFT JOIN first f ON f.pmc_id = r.pmc_id"""),
         "registry_insert_file": """SELECT (o_orderkey * 2 // 1000) || '.json' AS filename,
             count(*) FILTER (o_orderkey * 2 NOT IN (SELECT o_orderkey FROM orders)) AS inserted FROM orders GROUP BY 1""",
         "registry_claim": _plain(REGISTRY, """SELECT pmc_id, 'w' || ((rn - 1) // 100) AS "user", scraped, full_text
@@ -394,14 +413,11 @@ def statements() -> dict[str, str]:
             SELECT e.pmc_id, CAST(attempts AS INTEGER) AS attempts, CAST(attempts - 1 AS INTEGER) AS retries,
               CASE WHEN method = 'Web' THEN web ELSE xml END AS final_outcome, method
             FROM ends e JOIN tries t ON t.pmc_id = e.pmc_id AND t.attempt = e.attempts"""),
-        "rate_gap_audit": _plain(f"""{LOG},
-            calls AS (SELECT worker, event_id, make_timestamp(epoch_us(TIMESTAMP '2024-01-01')
-              + (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01') + 1000) // 2000) AS ts FROM log),
-            gaps AS (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY worker ORDER BY ts, event_id)) AS gap,
-              count(*) OVER (PARTITION BY worker ORDER BY ts RANGE BETWEEN INTERVAL 999999 MICROSECOND PRECEDING
-                AND CURRENT ROW) AS last_second FROM calls)""", """
-            SELECT worker, event_id, ts, gap // 1000 AS gap_ms, last_second,
-              coalesce(gap < 2000000, FALSE) OR last_second > 1 AS violation FROM gaps"""),
+        "outcome_of_result": _plain(LOG, """SELECT event_id, worker,
+            CASE WHEN titled THEN 'Success' ELSE 'OtherError' END AS outcome FROM log"""),
+        "rate_gap_audit": rate_gaps(2_000_000, 1),
+        "rate_gap_audit_live": rate_gaps(110_000, 3),
+        "rate_gap_audit_keyed": rate_gaps(110_000, 10),
         "stream_extract": _plain(DOCS, f"""
             SELECT doc_id, CAST(1000000 + doc_id AS INTEGER) AS pmc_id, ls[1] AS title, {null_text} AS error
             FROM docs WHERE doc_id % 97 NOT IN (5, 6, 7)

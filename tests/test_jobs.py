@@ -79,10 +79,10 @@ def test_chunked_windows_on_a_hot_worker(spark):
                 pause = until if pause is None else max(pause, until)
             last = [L.PRESSURE[r[3]] for r in mine[max(0, i - 29) : i + 1]]
             want[event] = (streak, pause, paused, sum(last) / (100 * len(last)))
-    for chunks in (1, 40):
-        got = {r["event_id"]: r for r in L.pause_windows(log, chunks).collect()}
-        paused = {r["event_id"]: r["is_paused"] for r in L.paused_attempts(log, chunks).collect()}
-        pressure = {r["event_id"]: r["pressure"] for r in L.rolling_pressure(log, chunks).collect()}
+    for seconds in (3600, 5):
+        got = {r["event_id"]: r for r in L.pause_windows(log, seconds).collect()}
+        paused = {r["event_id"]: r["is_paused"] for r in L.paused_attempts(log, seconds).collect()}
+        pressure = {r["event_id"]: r["pressure"] for r in L.rolling_pressure(log, seconds).collect()}
         for event, (streak, until, is_paused, mean) in want.items():
             assert (got[event]["streak"], got[event]["pause_until"]) == (streak, until)
             assert paused[event] == is_paused
@@ -97,7 +97,11 @@ def test_rate_audit_on_a_hot_worker(spark):
             count = sum(1 for s in mine[: i + 1] if s[2] > r[2] - dt.timedelta(seconds=1))
             gap = None if i == 0 else (r[2] - mine[i - 1][2]) // dt.timedelta(milliseconds=1)
             want[r[1]] = (gap, count)
-    got = L.rate_gap_audit(log, chunks=30).collect()
+    for seconds in (1, 7, 3600):
+        got = L.rate_gap_audit(log, seconds=seconds).collect()
+        assert {r["event_id"]: (r["gap_ms"], r["last_second"]) for r in got} == want
+    zoned = log.withColumn("ts", F.col("ts").cast("timestamp"))
+    got = L.rate_gap_audit(zoned, seconds=7).collect()
     assert {r["event_id"]: (r["gap_ms"], r["last_second"]) for r in got} == want
 
 
