@@ -38,6 +38,8 @@ AWAY_WORDS = frozenset(
     "social related recommended recommendations teaser teasers comment comments commentlist respond reply replies "
     "discussion disqus reader-comments form search searchbox skip-link print-only hidden sr-only copyright legal disclaimer".split()
 )
+#: Names of page feet; outside the main container only, as a foot inside it may hold notes.
+FOOT_NAMES = frozenset("foot page-foot site-foot".split())
 CLOSES_P = BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "li", "dt", "dd", "legend", "summary", "figcaption"}
 #: An element that, when it opens, ends an open one of these, up to the named holder.
 ENDS = {
@@ -71,15 +73,25 @@ DIGITS = re.compile(r"\d+")
 #: A page's own best container is kept if the host's path names less than this share of its text.
 LEAST_SHARE = 0.5
 ENOUGH = 0.7
+#: Beside links, plain text shorter than this is a label; a copyright line is shorter than that.
+LABEL = 40
+COPYRIGHT = 200
+
+
+class Link(str):
+    """Text of a link."""
+
+    __slots__ = ()
 
 
 class Node:
-    __slots__ = ("away", "depth", "kids", "mass", "name", "parent", "step")
+    __slots__ = ("away", "depth", "foot", "kids", "mass", "name", "parent", "step")
 
     def __init__(self, name: str, step: str, away: bool, parent: Node | None):
         self.name, self.step, self.away, self.parent = name, step, away, parent
         self.kids: list = []  # nodes and pieces of text, in page order
         self.mass = 0
+        self.foot = False
         self.depth = parent.depth + 1 if parent else 0
 
     def path(self) -> str:
@@ -94,10 +106,11 @@ def _opened(name: str, attrs: str, parent: Node) -> Node:
     """The node of a start tag: its step of the path and whether it holds no main text."""
     values = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attrs)} if attrs.strip("/ \n") else {}
     classes = values.get("class", "").lower().split()
-    away = name in AWAY
+    away, foot = name in AWAY, False
     if values and not away and name not in ("html", "body"):
         names = [*classes, values.get("id", "").lower()]
         words = {w for n in names for w in (n, *re.split(r"[-_:\d]+", n))}
+        foot = not FOOT_NAMES.isdisjoint(names)
         style = values.get("style", "").replace(" ", "").lower()
         away = (
             bool(words & AWAY_WORDS) and not (name in ("article", "main") or words & {"article", "post", "entry", "story"} and "content" in words)
@@ -108,22 +121,31 @@ def _opened(name: str, attrs: str, parent: Node) -> Node:
             or "visibility:hidden" in style
         )
     step = name + "".join("." + DIGITS.sub("#", c) for c in sorted(set(classes)))
-    return Node(name, step, away, parent)
+    node = Node(name, step, away, parent)
+    node.foot = foot
+    return node
 
 
 def parse(html: str) -> Node:
     """Block elements as a tree with the text between them; inline markup is dropped, unclosed
     elements end with their parent. No tag begins after the last ">"; what stands there is text,
-    or belongs to a comment, a CDATA section or a raw element without an end."""
+    or belongs to a comment, a CDATA section or a raw element without an end. A link ends at the
+    latest where a block begins or ends."""
     top = here = Node("", "", False, None)
     at, last = 0, html.rfind(">") + 1
     cut = None
+    link = False
     for m in MARKUP.finditer(html, 0, last):
         cut = m["c1"] is not None or m["c2"] is not None or m["c3"] is not None
         if m.start() > at:
-            here.kids.append(html[at : m.start()])
+            piece = html[at : m.start()]
+            here.kids.append(Link(piece) if link else piece)
         at = m.end()
         name = (m["open"] or m["close"] or "").lower()
+        if name == "a":
+            link = m["open"] is not None and "href" in m["attrs"].lower()
+        elif name in BLOCKS:
+            link = False
         if m["close"] and name in BLOCKS or m["close"] and name in AWAY:
             node = here
             while node.parent is not None and node.name != name:
@@ -225,22 +247,90 @@ def mark_page_headers(node: Node) -> None:
                 stack.append((k, inside))
 
 
-def best_container(containers: list[Node]) -> Node | None:
-    """The deepest container that holds most of the page's main text; inside an article or main
-    element that holds enough, the outermost such element."""
-    if not containers:
-        return None
-    total = max(c.mass for c in containers)
+def marked_container(containers: list[Node]) -> Node | None:
+    """The article or main element that holds enough of the page's main text, if there is one."""
+    total = max((c.mass for c in containers), default=0)
     marked = [c for c in containers if c.name in ("article", "main") or c.step.startswith("article") or c.step.startswith("main")]
     articles = [c for c in marked if c.name == "article"] or marked
     if articles:
         best = max(articles, key=lambda c: c.mass)
         if best.mass >= 0.25 * total and sum(a.mass for a in articles if a is not best and a.mass >= 0.5 * best.mass) == 0:
             return best
+    return None
+
+
+def best_container(containers: list[Node]) -> Node | None:
+    """The deepest container that holds most of the page's main text; inside an article or main
+    element that holds enough, the outermost such element."""
+    if not containers:
+        return None
+    marked = marked_container(containers)
+    if marked is not None:
+        return marked
+    total = max(c.mass for c in containers)
     enough = [c for c in containers if c.mass >= ENOUGH * total]
     return min(enough, key=lambda c: (c.mass, -c.depth))
 
 
+def parts(node: Node) -> Iterator[Node | list[str]]:
+    """The blocks right below a node and the runs of text between them, in page order."""
+    run: list[str] = []
+    for k in node.kids:
+        if isinstance(k, str):
+            run.append(k)
+        elif k.name in BLOCKS or k.name in AWAY:
+            if run:
+                yield run
+                run = []
+            yield k
+    if run:
+        yield run
+
+
+def holds_text(part: Node | list[str]) -> bool:
+    """Whether a part beside the main container is more than boilerplate: links with their
+    labels, a page's foot or a copyright line. A linked headline is text."""
+    total = links = 0
+    stack: list = [part]
+    while stack:
+        p = stack.pop()
+        if isinstance(p, list):
+            text = SPACES.sub(" ", unescape("".join(p))).strip()
+            if not text or text[0] == "©" and len(text) < COPYRIGHT:
+                continue
+            linked = sum(len(SPACES.sub(" ", unescape(k)).strip()) for k in p if isinstance(k, Link))
+            if len(text) - linked >= LABEL:
+                return True
+            total += len(text)
+            links += linked
+        elif p.mass and not p.away and not p.foot:
+            if p.name in ("h1", "h2") and text_of(p):
+                return True
+            stack += parts(p)
+    return 2 * links < total
+
+
+def with_siblings(node: Node) -> Node:
+    """The nearest ancestor that holds all text beside the container, too; the boilerplate on
+    the way there is put away."""
+    whole = node
+    while node.parent is not None:
+        above = node.parent
+        kids: list = []
+        for part in parts(above):
+            if part is not node:
+                if holds_text(part):
+                    whole = above
+                elif isinstance(part, Node):
+                    part.away = True
+                else:
+                    continue
+            kids += part if isinstance(part, list) else [part]
+        above.kids = kids
+        node = above
+    return whole
+
+
 def text_of(node: Node) -> str:
     """Blocks of the container in page order, one to a line."""
     blocks: list[str] = []
@@ -279,7 +369,8 @@ def page_containers(html: str) -> tuple[Node | None, list[Node]]:
 
 
 def main_text(html: str, path: str | None) -> tuple[str, str]:
-    """The main text and the path it came from."""
+    """The main text and the path it came from. Without an article or main element, text blocks
+    beside the container are main text as well."""
     best, containers = page_containers(html)
     if best is None:
         return "", ""
@@ -290,6 +381,8 @@ def main_text(html: str, path: str | None) -> tuple[str, str]:
         chosen = max(same, key=lambda c: c.mass)
         if chosen.mass >= LEAST_SHARE * best.mass:
             best = chosen
+    if marked_container(containers) is None:
+        best = with_siblings(best)
     return text_of(best), best.path()
 
 

@@ -99,6 +99,28 @@ def test_pages(spark):
     assert html_text.extract_pages(docs.limit(0)).count() == 0
 
 
+def test_text_beside_the_container_is_kept():
+    lead = "<div class=lead><h1>Headline</h1><p>The lead tells what this is about.</p></div>"
+    body = "<div class=body><p>%s</p><p>Last.</p></div>" % ("Words of the body. " * 40).strip()
+    more = "<div class=more>Bare<br>words.</div>"
+    want = "Headline\nThe lead tells what this is about.\n" + ("Words of the body. " * 40).strip() + "\nLast.\nBare words."
+    links = "<div class=x><p>Read on:</p><ul><li><a href=/1>One more page</a><li><a href=/2>Another page</a></ul></div>"
+    foot = "<div class=foot>Imprint</div><div class=end>&copy; 2024 Somebody <a href=/t>Terms</a></div>"
+    page = f"<html><body><div class=menu>Menu</div><div class=wrap>{links}{lead}{body}{more}</div>{links}{foot}</body></html>"
+    for path in (None, "html>body>div.wrap>div.body", "html>body"):
+        text, found = html_text.main_text(page, path)
+        if path != "html>body":
+            assert (text, found) == (want, "html>body>div.wrap")
+        assert want in text
+    bare = f"<body>a<br>b {lead}{body}<a href=/1>Home</a> | <a href=/2>Abroad</a></body>"
+    assert html_text.main_text(bare, None)[0] == "a b\n" + want.removesuffix("\nBare words.")
+    linked = f"<body><div><h2><a href=/self>Headline</a></h2></div>{body}"
+    assert html_text.main_text(linked, None)[0].startswith("Headline\nWords")
+    assert html_text.main_text(f"<body>{body}" + "<div>" * 3000 + "<p>deep", None)[0].endswith("Last.\ndeep")
+    alone = f"<body>{body}{links}<p>&nbsp;</p></body>"
+    assert html_text.main_text(alone, None)[1] == "body>div.body"
+
+
 def test_given_pages(spark):
     """The given pages are an article between menus and adverts: read with plain patterns."""
     import html
