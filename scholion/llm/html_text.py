@@ -331,6 +331,24 @@ def with_siblings(node: Node) -> Node:
     return whole
 
 
+def leaves_text_out(chosen: Node, best: Node) -> bool:
+    """Whether the best container holds text that is not boilerplate outside the chosen one."""
+    node = chosen
+    while node.parent is not None and node is not best:
+        node = node.parent
+    if node is not best:
+        above = best
+        while above.parent is not None and above is not chosen:
+            above = above.parent
+        return above is not chosen and holds_text(best)
+    node = chosen
+    while node is not best:
+        if any(part is not node and holds_text(part) for part in parts(node.parent)):
+            return True
+        node = node.parent
+    return False
+
+
 def text_of(node: Node) -> str:
     """Blocks of the container in page order, one to a line."""
     blocks: list[str] = []
@@ -379,7 +397,7 @@ def main_text(html: str, path: str | None) -> tuple[str, str]:
     same = [c for c in likely if c is not best and c.path() == path]
     if same and best.path() != path:
         chosen = max(same, key=lambda c: c.mass)
-        if chosen.mass >= LEAST_SHARE * best.mass:
+        if chosen.mass >= LEAST_SHARE * best.mass and not leaves_text_out(chosen, best):
             best = chosen
     if marked_container(containers) is None:
         best = with_siblings(best)
@@ -423,7 +441,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     Null and empty pages, and pages of markup alone, have empty text. Pages without a host vote
     together. A page on which the winning path names less than half of the text of its own best
-    container is extracted from the latter. Repeated rows are pages of their own; an empty
+    container, or leaves out some that is not boilerplate, is extracted from the latter. Repeated rows are pages of their own; an empty
     table gives no rows; extra columns are ignored. Pages are read twice and never exchanged
     while the table of hosts is small; beyond that they are joined with it by host, where
     adaptive execution splits large hosts.

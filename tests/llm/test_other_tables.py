@@ -121,6 +121,24 @@ def test_text_beside_the_container_is_kept():
     assert html_text.main_text(alone, None)[1] == "body>div.body"
 
 
+def test_host_path_leaves_no_text_out(spark):
+    words = ("Words of the body. " * 12).strip()
+    most = f"<body><article><div class=text><p>{words}</p></div></article></body>"
+    nested = most.replace("<article>", "<div>").replace("</article>", "</div>")  # votes for div.text
+    few = "<body><%s><h1>Head</h1><div class=text><p>{0}</p></div><p>Not in the text block.</p></%s></body>".replace("{0}", words)
+    path = "body>article>div.text"
+    for page, won in ((few % ("article", "article"), path), (few % ("div", "div"), "body>div>div.text")):
+        assert html_text.main_text(page, won)[0] == f"Head\n{words}\nNot in the text block."
+    links = "<ul><li><a href=/1>One more page</a><li><a href=/2>Another page</a></ul>"
+    assert html_text.main_text(most.replace("<article>", "<article>" + links), path) == (words, path)
+    apart = f"<body><article><p>{words}</p></article><div class=text><p>{words} Other.</p></div></body>"
+    assert html_text.main_text(apart, "body>div.text") == (words, "body>article")
+    assert html_text.main_text(apart, "body") == (f"{words}\n{words} Other.", "body")
+    rows = [(i, "http://a.example/", nested) for i in range(3)] + [(3, "http://a.example/", few % ("div", "div"))]
+    got = html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).where("page_id = 3").first()
+    assert got.text == f"Head\n{words}\nNot in the text block."
+
+
 def test_given_pages(spark):
     """The given pages are an article between menus and adverts: read with plain patterns."""
     import html
