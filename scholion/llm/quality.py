@@ -180,20 +180,22 @@ def learn_list(x, bad, fold) -> Rules:
 
     rules: list[tuple[Condition, ...]] = []
     left = np.ones(len(x), bool)
-    while len(rules) < MOST_RULES and (bad & left).sum() >= LEAST_COVER:
-        grow, prune = left & (fold < 2), left & (fold == 2)
+    aside = np.zeros(len(x), bool)  # documents of rules that are no good; they still count against others
+    while len(rules) < MOST_RULES and (bad & left & ~aside).sum() >= LEAST_COVER:
+        grow, prune = left & ~aside & (fold < 2), left & (fold == 2)
         cuts = [np.unique(np.quantile(x[grow, f], np.linspace(0.002, 0.998, CUTS))) if grow.any() else [] for f in range(len(FEATURES))]
         bad_grow = bad[grow]
         if bad_grow.any():  # the bad documents' own quantiles find thresholds of rare kinds
             cuts = [np.union1d(c, np.quantile(x[grow][bad_grow, f], np.linspace(0, 1, CUTS))) for f, c in enumerate(cuts)]
-        rule = _grown(x[grow], bad_grow, cuts)
+        grown = rule = _grown(x[grow], bad_grow, cuts)
         if not rule:
             break
         if bad[prune].any():
             rule = _pruned(rule, x[prune], bad[prune])
         hit = _covered(x, rule) & left
         if (bad & hit).sum() < LEAST_COVER or (bad & hit).sum() < LEAST_PRECISION * hit.sum():
-            break
+            aside |= _covered(x, grown) & left
+            continue
         rules.append(rule)
         left &= ~hit
     return tuple(rules)

@@ -405,6 +405,20 @@ def test_held_out_labels(spark):
     assert sum(r.kept == (r.label == 1) for r in rows) >= 0.95 * len(rows)
 
 
+def test_covering_goes_on_after_a_rule_that_is_no_good():
+    import numpy as np
+
+    x = np.full((930, len(quality.FEATURES)), 0.5)
+    bad = np.zeros(930, bool)
+    upper, digits = quality.FEATURES.index("upper_share"), quality.FEATURES.index("digit_share")
+    x[:300, upper], bad[:300] = 0.9, np.arange(300) % 5 < 3  # six in ten are bad and look like the others
+    x[300:330, digits], bad[300:330] = 0.99, True
+    rules = quality.learn_list(x, bad, np.arange(930) // 5 % 3)
+    covered = np.any([quality._covered(x, r) for r in rules], axis=0)
+    assert len(rules) == 1 and list(np.flatnonzero(covered)) == list(range(300, 330))
+    assert quality.learn_list(x[:300], bad[:300], np.arange(300) // 5 % 3) == ()
+
+
 def test_no_documents_and_no_labels(none, docs, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert quality.quality_rules(none, labels).count() == 0
