@@ -16,6 +16,9 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 #: Rows of whole texts that go to a Python worker at once.
 ARROW_ROWS = 1000
 
+#: Bytes of a batch that goes to a Python worker, but for its last row.
+ARROW_BYTES = 32 << 20
+
 #: A side is broadcast only if its written table is at most this large.
 BROADCAST_BYTES = 8 << 20
 
@@ -37,6 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def byte_bounded(spark: SparkSession) -> None:
+    """Batches to Python workers end at a number of bytes too, so a thousand very long texts
+    are not held at once. The setting holds for the session, as for any Arrow operator."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new path below the folder that the cluster names. Only Spark's writers make it.
     A local session that names none, as in tests, gets one folder of its own."""

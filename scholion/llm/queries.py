@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholion.llm import chat, html_text, lattice, mixing, packing, quality, secret_scan, sharding, simhash, toxicity
+from scholion.llm import (
+    chat,
+    divergence,
+    fill_in_middle,
+    html_text,
+    lattice,
+    mixing,
+    packing,
+    quality,
+    secret_scan,
+    sharding,
+    simhash,
+    toxicity,
+    warc,
+)
 from scholion.llm.common import table
 
 
@@ -86,10 +100,35 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(table(spark, sf, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf, "documents"))
+
+
+def op13_warc(spark: SparkSession, sf: str) -> DataFrame:
+    read = warc.pages_through_archives(table(spark, sf, "pages"))
+    return read.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to_page").alias("refers_to")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing, op2_toxicity, op3_html_extraction, op4_chat_formatting, op5_mixing, op6_embedding_dedup,
-        op7_simhash_dedup, op8_sharding, op9_secret_scan, op10_quality_rules,
+        op7_simhash_dedup, op8_sharding, op9_secret_scan, op10_quality_rules, op11_fill_in_middle, op12_source_divergence,
+        op13_warc,
     )
 }
