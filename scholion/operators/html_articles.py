@@ -1,7 +1,8 @@
 """HTML articles from the token table: the same stages as for JATS.
 
-HTML needs repair rather than rejection (see ``markup_tokens``). Units do not nest here:
-within one group an element of interest ends before the next one starts.
+HTML needs repair rather than rejection: the tokens of a page are a tree, whatever ends its tags
+leave out (see ``markup_tokens``). Units do not nest here: within one group an element of
+interest ends before the next one starts.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from scholion.operators.elements import (
     inside,
     is_opener,
     ordered,
+    unit_texts,
 )
 from scholion.operators.tokens import attr as attr_of
 from scholion.operators.tokens import (
@@ -88,6 +90,7 @@ def html_scoped(tokens: DataFrame) -> DataFrame:
     paired = F.col("start_pos").isNotNull()
     t = tokens.select(
         "*",
+        first_element(F.col("tag") == "h1").alias("h1"),
         first_element(attr("id") == "abstract1").alias("abs_by_id"),
         first_element(_section_class("abstract")).alias("abs_by_class"),
         first_element(_is_section() & (attr("class") == BODY_CLASS)).alias("body"),
@@ -142,12 +145,14 @@ GROUPS = ("title", "meta", "abstract", "keywords", "sections")
 
 
 def html_elements(scoped: DataFrame, groups=GROUPS) -> DataFrame:
-    """Elements of interest with their raw text: doc_id, kind, pos, name, content, ctx
-    (child section, nested section), text. A ``doc`` row stands for the page itself."""
+    """Elements of interest with their raw text: doc_id, kind, pos, end_pos (of keyword sections),
+    name, content, ctx (child section, nested section), text. A ``doc`` row stands for the page
+    itself."""
     opens = is_opener() & F.col("end_pos").isNotNull()
     units = []
     if "title" in groups:
-        units.append(F.when(opens & (F.col("tag") == "h1"), "title"))
+        # only the first one, so that one nested in it is part of its text
+        units.append(F.when(opens & (F.col("pos") == F.col("h1.pos")), "title"))
     if {"abstract", "keywords"} & set(groups):
         p = opens & (F.col("tag") == "p")
         in_abs = inside("abs") & (F.col("kwd_level") == 0) & (F.col("fn_level") == 0)
@@ -172,19 +177,19 @@ def html_elements(scoped: DataFrame, groups=GROUPS) -> DataFrame:
     owns = lambda u: F.when(
         (F.col("pos") < u["end_pos"]), F.col("text")
     ).otherwise("")
-    no_text = F.lit(None).cast("string")
+    no_text, no_end = F.lit(None).cast("string"), F.lit(None).cast("int")
     entries = [
         F.when(h.isNotNull(), F.struct(
-            h["kind"].alias("kind"), h["pos"].alias("at"), h["ctx"].alias("ctx"),
+            h["kind"].alias("kind"), h["pos"].alias("at"), no_end.alias("end_pos"), h["ctx"].alias("ctx"),
             no_text.alias("name"), no_text.alias("content"), owns(h).alias("piece"),
         ))
         for h in held
     ]
     no_ctx = F.lit(None).cast("struct<child:int,nested:int>")
 
-    def marker(match: Column, kind: str, name=no_text, content=no_text) -> Column:
+    def marker(match: Column, kind: str, name=no_text, content=no_text, end=no_end) -> Column:
         return F.when(match, F.struct(
-            F.lit(kind).alias("kind"), F.col("pos").alias("at"), no_ctx.alias("ctx"),
+            F.lit(kind).alias("kind"), F.col("pos").alias("at"), end.alias("end_pos"), no_ctx.alias("ctx"),
             name.alias("name"), content.alias("content"), F.lit("").alias("piece"),
         ))
 
@@ -194,7 +199,7 @@ def html_elements(scoped: DataFrame, groups=GROUPS) -> DataFrame:
         content = F.coalesce(attr("content"), F.lit(""))
         entries.append(marker(named, "meta", attr("name"), content))
     if "keywords" in groups:
-        entries.append(marker(opens & _section_class("kwd"), "kwd_section"))
+        entries.append(marker(opens & _section_class("kwd"), "kwd_section", end=F.col("end_pos")))
     if "sections" in groups:
         whole = opens & (F.col("pos") == F.col("body.pos"))
         entries.append(marker(whole, "body"))
@@ -204,7 +209,7 @@ def html_elements(scoped: DataFrame, groups=GROUPS) -> DataFrame:
     spread = t.select("doc_id", "pos", F.explode(F.array_compact(F.array(*entries))).alias("e"))
     return (
         spread.select("doc_id", "pos", "e.*")
-        .groupBy("doc_id", "kind", "at", "ctx", "name", "content")
+        .groupBy("doc_id", "kind", "at", "end_pos", "ctx", "name", "content")
         .agg(F.expr("listagg(piece, '') within group (order by pos)").alias("text"))
         .withColumnRenamed("at", "pos")
     )
@@ -264,9 +269,15 @@ def _abstract_aggs() -> dict[str, Column]:
 
 
 def _keyword_aggs() -> dict[str, Column]:
+    """Section by section, with all paragraphs below it: one that lies in several keyword sections
+    counts for each of them."""
     words = split_keywords(strip_texts(trim_ws(html_unescape(F.col("text"))), KEYWORD_LEADS))
-    found = F.flatten(collected(_is("kwd_p"), words))
-    return {"keywords": F.when(F.count(F.when(_is("kwd_section"), 1)) > 0, found)}
+    within = lambda s, p: (p["pos"] > s["pos"]) & (p["pos"] < s["end_pos"])
+    sections = ordered(_is("kwd_section"), "end_pos")
+    paragraphs = ordered(_is("kwd_p"), words.alias("words"))
+    found = F.transform(sections, lambda s: F.filter(paragraphs, lambda p: within(s, p)))
+    listed = F.flatten(F.transform(F.flatten(found), lambda p: p["words"]))
+    return {"keywords": F.when(F.count(F.when(_is("kwd_section"), 1)) > 0, listed)}
 
 
 def _section_aggs() -> dict[str, Column]:
@@ -380,6 +391,19 @@ def html_full_text_fallback(tokens: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.lit("full_text").alias("key"), F.lit("").alias("text"))
 
 
+def html_element_texts(tokens: DataFrame, *tags: str) -> DataFrame:
+    """(doc_id, pos, tag, text): every element of these names with all text below it, in page order.
+    An element that lies in another one counts for both."""
+    named = tokens.select(
+        "*",
+        F.when(F.col("tag").isin(*tags), F.col("tag")).alias("kind"),
+        F.lit(0).alias("hidden"),
+        F.lit(False).alias("skip_hidden"),
+    )
+    found = unit_texts(named, list(tags), [], [])
+    return found.select("doc_id", "pos", F.col("kind").alias("tag"), "text")
+
+
 def html_require_title(articles: DataFrame) -> DataFrame:
     """Keep records with a title; the others count as failures."""
     return articles.where(F.coalesce("title", F.lit("")) != "")

@@ -42,14 +42,25 @@ VOID_TAGS = (
     "link", "meta", "param", "source", "track", "wbr",
 )
 
-# HTML elements whose start or end closes an open paragraph.
-P_ENDERS = (
-    "p", "section", "article", "aside", "header", "footer", "main", "nav", "div",
-    "body", "html", "ul", "ol", "dl", "table", "figure", "blockquote", "pre", "form",
-    "hr", "h1", "h2", "h3", "h4", "h5", "h6",
+# HTML elements that an opening tag closes when its own end was left out, each with
+# the elements that keep it open from outside: a list inside an item starts items of its own.
+IMPLIED_ENDS = (
+    (("li",), ("li",), ("ul", "ol", "menu")),
+    (("td", "th"), ("td", "th"), ("tr", "table")),
+    (("tr",), ("tr", "td", "th"), ("table",)),
+    (("thead", "tbody", "tfoot"), ("thead", "tbody", "tfoot", "tr", "td", "th"), ("table",)),
+    (("dd", "dt"), ("dd", "dt"), ("dl",)),
+    (("option",), ("option",), ("select",)),
+    ((
+        "p", "section", "article", "aside", "header", "footer", "main", "nav", "div",
+        "body", "html", "ul", "ol", "dl", "table", "figure", "blockquote", "pre", "form",
+        "hr", "h1", "h2", "h3", "h4", "h5", "h6",
+    ), ("p",), ("table", "td", "th", "caption", "button", "object")),
 )
-# HTML elements whose end alone closes an open paragraph inside them.
-P_CONTAINERS = ("li", "td", "th", "dd", "dt", "figcaption")
+
+# Tags that are folded at once. Results are appended to a list of this length, so that time
+# grows with the number of tags and not with its square.
+FOLD_BLOCK = 256
 
 
 def in_doc_order() -> W:
@@ -102,40 +113,50 @@ def markup_tokens(payloads: DataFrame, mode: str = "xml") -> DataFrame:
     close tag, on opening and self-closing tags), start_pos (position of the element's
     opening tag, on all tags) and bad (the token breaks well-formedness). A closing tag
     carries the attributes of its opening tag. HTML text is left undecoded.
+
+    HTML is repaired, not rejected. Every element has an end: where a tag ends it, where a tag
+    implies its end (see ``IMPLIED_ENDS``), where an element around it ends, or at the end of
+    the page. Ends that no tag marks become closing tokens of their own without text, so the
+    tokens of a page are a tree. A closing tag that closes nothing is bad, and no tag.
     """
-    items = _split(payloads, mode)
-    return _xml_structure(items) if mode == "xml" else _html_structure(items)
+    return _xml_structure(_split(payloads)) if mode == "xml" else _html_structure(payloads)
 
 
-def _split(payloads: DataFrame, mode: str) -> DataFrame:
-    """Markup items with name and following text. The payload is scanned once per part;
-    that is far cheaper than matching every exploded item again. Blank payloads have no
-    items; they are not filtered out first, because a filter would be pushed below
-    whatever builds the payload and make Spark build it twice."""
+def _parts(payloads: DataFrame, mode: str) -> DataFrame:
+    """(doc_id, markup, qname, rest): arrays of markup items, their names and the text after each.
+    The payload is scanned once per part; that is far cheaper than matching every exploded item
+    again. Blank payloads have no items; they are not filtered out first, because a filter would be
+    pushed below whatever builds the payload and make Spark build it twice."""
     markup = XML_MARKUP if mode == "xml" else HTML_MARKUP
     pattern = F.lit(f"(?s)({markup})([^<]*+)")
     parts = [
         F.regexp_extract_all("payload", pattern, F.lit(group)).alias(name)
         for group, name in ((1, "markup"), (2, "qname"), (3, "rest"))
     ]
+    return payloads.select("doc_id", "payload").repartition("doc_id").select("doc_id", *parts)
+
+
+def _attrs() -> Column:
+    """What a tag holds between its name and its end."""
+    tail = F.when(F.col("markup").endswith("/>"), 2).otherwise(1)
+    return F.substring(
+        F.col("markup"),
+        F.length("qname") + 2,
+        F.length("markup") - F.length("qname") - 1 - tail,
+    )
+
+
+def _split(payloads: DataFrame) -> DataFrame:
+    """XML markup items with name and following text."""
     items = (
-        payloads.select("doc_id", "payload")
-        .repartition("doc_id")
-        .select("doc_id", F.posexplode(F.arrays_zip(*parts)).alias("pos", "item"))
+        _parts(payloads, "xml")
+        .select("doc_id", F.posexplode(F.arrays_zip("markup", "qname", "rest")).alias("pos", "item"))
         .select("doc_id", "pos", "item.*")
     )
     tag = F.lower(F.substring_index("qname", ":", -1))
     closes = (F.col("qname") != "") & F.col("markup").startswith("</")
     opens = (F.col("qname") != "") & ~closes
     ends = F.col("markup").endswith("/>")
-    tail = F.when(ends, 2).otherwise(1)
-    attrs = F.substring(
-        F.col("markup"),
-        F.length("qname") + 2,
-        F.length("markup") - F.length("qname") - 1 - tail,
-    )
-    if mode == "html":
-        ends = ends | tag.isin(*VOID_TAGS)
     return items.select(
         "doc_id",
         "pos",
@@ -144,7 +165,7 @@ def _split(payloads: DataFrame, mode: str) -> DataFrame:
         (opens & ends).alias("is_selfclosing"),
         "qname",
         tag.alias("tag"),
-        F.when(opens, attrs).alias("attrs"),
+        F.when(opens, _attrs()).alias("attrs"),
         "markup",
         "rest",
     )
@@ -199,71 +220,126 @@ def _xml_structure(items: DataFrame) -> DataFrame:
     )
 
 
-def _html_structure(items: DataFrame) -> DataFrame:
-    """HTML is repaired, not rejected: a tag without a partner of its own name has no
-    extent, and a paragraph ends at the next block boundary."""
-    is_p = F.col("tag") == "p"
-    by_name = W.partitionBy("doc_id", "tag").orderBy("pos")
-    step = F.when(F.col("is_open"), 1).when(F.col("is_close"), -1).otherwise(0)
-    level = F.sum(step).over(by_name.rowsBetween(W.unboundedPreceding, 0))
-    named = items.select(
-        "*", (level + F.when(F.col("is_close"), 1).otherwise(0)).alias("name_level")
-    )
-    pairable = F.col("is_open") | F.col("is_close")
-    w = W.partitionBy("doc_id", "tag", F.when(pairable, F.col("name_level"))).orderBy("pos")
-    nxt = F.lead(F.when(F.col("is_close"), F.col("pos"))).over(w)
-    prv = F.lag(F.when(F.col("is_open"), F.struct("pos", "attrs"))).over(w)
-    partner = named.select(
-        "*",
-        F.when(is_p, None)
-        .when(F.col("is_open"), nxt)
-        .when(F.col("is_close"), prv["pos"])
-        .alias("partner"),
-        F.when(F.col("is_close"), prv["attrs"]).alias("opener_attrs"),
-    )
-    opens = F.col("is_open") | F.col("is_selfclosing")
-    ender = (F.col("tag").isin(*P_ENDERS) & (opens | F.col("is_close"))) | (
-        F.col("tag").isin(*P_CONTAINERS) & F.col("is_close")
-    )
-    p_open = is_p & F.col("is_open")
-    marked = partner.select(
-        "*",
-        F.when(ender, F.col("pos")).alias("p_ender"),
-        F.when(p_open, 1).when(ender, 0).alias("p_mark"),
-        F.when(F.col("partner").isNotNull(), step).otherwise(0).alias("step"),
+# What an entry of the repaired page is.
+NO_TAG, OPEN, SELFCLOSING, CLOSE, IMPLIED_CLOSE = range(5)
+
+ENTRY = "array<struct<pos:int, kind:int, src:int, own:int, other:int, depth:int>>"
+
+
+def _listed(names) -> str:
+    return ", ".join(f"'{n}'" for n in names)
+
+
+def _nearest(names) -> str:
+    """Place of the innermost open element of these names, from 1; 0 if none is open."""
+    if len(names) == 1:
+        return f"array_position(s.names, '{names[0]}')"
+    places = f"transform(array({_listed(names)}), n -> array_position(s.names, n))"
+    return f"coalesce(array_min(filter({places}, x -> x > 0)), 0)"
+
+
+def _outermost_before(closed, keepers) -> str:
+    """How many open elements end: up to the outermost of the closed names that lies inside all
+    keepers."""
+    inner = f"if({_nearest(keepers)} = 0, s.names, slice(s.names, 1, cast({_nearest(keepers)} as int) - 1))"
+    if len(closed) == 1:
+        # one of a kind is open at most, as each new one ends the one before
+        return f"array_position({inner}, '{closed[0]}')"
+    within = f"transform({inner}, (n, i) -> if(n in ({_listed(closed)}), i + 1, 0))"
+    return f"coalesce(array_max({within}), 0)"
+
+
+def _entry(pos: str, kind: int, src: str, own: str, other: str, depth: str) -> str:
+    return (
+        f"named_struct('pos', cast({pos} as int), 'kind', {kind}, 'src', cast({src} as int), "
+        f"'own', cast({own} as int), 'other', cast({other} as int), 'depth', cast({depth} as int))"
     )
-    p_state = F.last("p_mark", ignorenulls=True).over(in_doc_order())
-    done = marked.select(
-        "*",
-        F.sum("step").over(in_doc_order()).alias("level"),
-        F.coalesce(p_state, F.lit(0)).alias("p_state"),
-        F.expr("lead(p_ender, 1) ignore nulls over (partition by doc_id order by pos)").alias("p_end"),
-        F.max("pos").over(W.partitionBy("doc_id")).alias("last_pos"),
+
+
+def _ended(count: str, size: str) -> str:
+    """Entries of the innermost ``count`` open elements that end here without a tag: a closing
+    token for each, from the inside out, and their opening tags, which were kept until now."""
+    ended = f"slice(s.opened, 1, cast({count} as int))"
+    closes = f"transform({ended}, (o, j) -> {_entry('s.n + j', IMPLIED_CLOSE, '-1', 'o.src', 'o.pos', f'{size} - j')})"
+    opens = f"transform({ended}, (o, j) -> {_entry('o.pos', OPEN, 'o.src', 'o.src', 's.n + j', f'{size} - j')})"
+    return f"concat({closes}, {opens})"
+
+
+def _fold_step() -> str:
+    """The state after tag ``t`` (i, kind, name). ``s`` holds n (the next position), names and
+    opened (open elements, innermost first) and done (entries)."""
+    implied = " ".join(
+        f"when t.kind < {CLOSE} and t.name in ({_listed(tags)}) then {_outermost_before(closed, keepers)}"
+        for tags, closed, keepers in IMPLIED_ENDS
     )
-    ends = (
-        F.when(F.col("is_selfclosing"), F.col("pos"))
-        .when(p_open, F.coalesce(F.col("p_end"), F.col("last_pos") + 1))
-        .when(F.col("is_open"), F.col("partner"))
+    ends = f"case when t.kind = {CLOSE} then array_position(s.names, t.name) when t.kind = {NO_TAG} then 0 {implied} else 0 end"
+    size = "size(s.opened)"
+    # at closing tags the last element ends by a tag of its own
+    silent = f"if(t.kind = {CLOSE} and p > 0, p - 1, p)"
+    match = "element_at(s.opened, cast(p as int))"
+    here = f"s.n + {silent}"
+    own = f"""case
+        when t.kind = {OPEN} then array()
+        when t.kind = {SELFCLOSING} then array({_entry(here, SELFCLOSING, 't.i', 't.i', here, f'{size} - p + 1')})
+        when t.kind = {CLOSE} and p > 0 then array(
+            {_entry(here, CLOSE, 't.i', f'{match}.src', f'{match}.pos', f'{size} - p + 1')},
+            {_entry(f'{match}.pos', OPEN, f'{match}.src', f'{match}.src', here, f'{size} - p + 1')})
+        else array({_entry(here, NO_TAG, 't.i', '-1', 'null', size)}) end"""
+    left = "slice(s.{0}, cast(p as int) + 1, size(s.opened))"
+    pushed = f"array(named_struct('pos', cast({here} as int), 'src', t.i))"
+    state = f"""named_struct(
+        'n', cast({here} + 1 as int),
+        'names', case when t.kind = {OPEN} then concat(array(t.name), {left.format('names')})
+                      when p > 0 then {left.format('names')} else s.names end,
+        'opened', case when t.kind = {OPEN} then concat({pushed}, {left.format('opened')})
+                       when p > 0 then {left.format('opened')} else s.opened end,
+        'done', concat(s.done, if({silent} > 0, {_ended(silent, size)}, cast(array() as {ENTRY})), cast({own} as {ENTRY})))"""
+    return f"transform(array({ends}), p -> {state})[0]"
+
+
+def _tree() -> str:
+    """Entries of the page ``d`` (m, q: markup and names) in the order of the repaired page."""
+    kind = (
+        f"case when q = '' then {NO_TAG} when startswith(d.m[i], '</') then {CLOSE} "
+        f"when endswith(d.m[i], '/>') or lower(substring_index(q, ':', -1)) in ({_listed(VOID_TAGS)}) then {SELFCLOSING} else {OPEN} end"
     )
-    paired_close = F.col("is_close") & F.col("partner").isNotNull()
-    own = F.when(paired_close | F.col("is_selfclosing"), 1).otherwise(0)
-    return done.select(
+    tags = f"transform(d.q, (q, i) -> named_struct('i', i, 'kind', {kind}, 'name', lower(substring_index(q, ':', -1))))"
+    blocks = f"transform(sequence(0, size(d.q) div {FOLD_BLOCK}), b -> slice(tags, cast(b as int) * {FOLD_BLOCK} + 1, {FOLD_BLOCK}))"
+    names, opened = "cast(array() as array<string>)", "cast(array() as array<struct<pos:int, src:int>>)"
+    inner = f"""aggregate(block, named_struct('n', g.n, 'names', g.names, 'opened', g.opened, 'done', cast(array() as {ENTRY})),
+        (s, t) -> {_fold_step()})"""
+    folded = f"""aggregate({blocks},
+        named_struct('n', 0, 'names', {names}, 'opened', {opened}, 'done', cast(array() as array<{ENTRY}>)),
+        (g, block) -> transform(array({inner}), r -> named_struct(
+            'n', r.n, 'names', r.names, 'opened', r.opened, 'done', concat(g.done, array(r.done))))[0],
+        s -> concat(flatten(s.done), {_ended('size(s.opened)', 'size(s.opened)')}))"""
+    return f"sort_array(transform(array({tags}), tags -> {folded})[0])"
+
+
+def _html_structure(payloads: DataFrame) -> DataFrame:
+    """The page as a tree, by a fold over its tags that keeps the open elements. The arrays are
+    bound once, so that no lambda holds the scan of the payload."""
+    shown = """transform(entries, e -> named_struct('pos', e.pos, 'kind', e.kind, 'other', e.other, 'depth', e.depth,
+        'qname', get(d.q, if(e.own >= 0, e.own, e.src)), 'markup', get(d.m, if(e.own >= 0, e.own, e.src)),
+        'rest', if(e.src >= 0, get(d.r, e.src), '')))"""
+    rows = f"""transform(array(named_struct('m', markup, 'q', qname, 'r', rest)), d ->
+        transform(array({_tree()}), entries -> {shown})[0])[0]"""
+    t = _parts(payloads, "html").select("doc_id", F.explode(F.expr(rows)).alias("e")).select("doc_id", "e.*")
+    is_tag = F.col("kind") != NO_TAG
+    opens = F.col("kind").isin(OPEN, SELFCLOSING)
+    stray = (F.col("markup") == "<") | ((F.col("kind") == NO_TAG) & (F.col("qname") != ""))
+    return t.select(
         "doc_id",
         "pos",
-        "is_open",
-        "is_close",
-        "is_selfclosing",
+        (F.col("kind") == OPEN).alias("is_open"),
+        F.col("kind").isin(CLOSE, IMPLIED_CLOSE).alias("is_close"),
+        (F.col("kind") == SELFCLOSING).alias("is_selfclosing"),
         "qname",
-        "tag",
-        F.coalesce("attrs", "opener_attrs").alias("attrs"),
-        F.when(F.col("markup") == "<", F.concat("markup", "rest"))
-        .otherwise(F.col("rest"))
-        .alias("text"),
-        (F.col("level") + F.col("p_state") + own).cast("long").alias("depth"),
-        ends.alias("end_pos"),
-        F.when(paired_close, F.col("partner"))
-        .when(opens & ends.isNotNull(), F.col("pos"))
-        .alias("start_pos"),
-        (F.col("markup") == "<").alias("bad"),
+        F.when(is_tag, F.lower(F.substring_index("qname", ":", -1))).otherwise("").alias("tag"),
+        F.when(is_tag, _attrs()).alias("attrs"),
+        F.when(F.col("markup") == "<", F.concat("markup", "rest")).otherwise(F.col("rest")).alias("text"),
+        F.col("depth").cast("long").alias("depth"),
+        F.when(opens, F.col("other")).alias("end_pos"),
+        F.when(opens, F.col("pos")).when(is_tag, F.col("other")).alias("start_pos"),
+        stray.alias("bad"),
     )
-

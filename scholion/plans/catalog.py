@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scholion.functions import scalars as S
@@ -108,11 +109,25 @@ def _fallback_payloads(spark, sf, mode):
     return d.select("doc_id", doc.alias("payload"))
 
 
-def _pages_title(spark, sf):
+def _page_tokens(spark, sf):
     pages = C.table(spark, sf, "pages").select(
         F.col("page_id").alias("doc_id"), F.col("html").alias("payload")
     )
-    return H.html_title(markup_tokens(pages, "html"))
+    return markup_tokens(pages, "html")
+
+
+def _pages_title(spark, sf):
+    return H.html_title(_page_tokens(spark, sf))
+
+
+#: Elements whose texts are listed; some of the given pages leave the ends of p and b out.
+PAGE_TAGS = ("h1", "p", "b", "li", "article", "footer")
+
+
+def _pages_texts(spark, sf):
+    found = H.html_element_texts(_page_tokens(spark, sf), *PAGE_TAGS)
+    place = W.partitionBy("doc_id", "tag").orderBy("pos")
+    return found.select("doc_id", "tag", F.row_number().over(place).alias("ord"), F.md5("text").alias("text_md5"))
 
 
 # --- files -------------------------------------------------------------------------
@@ -470,6 +485,7 @@ def jobs() -> dict:
         "xml_articles": lambda spark, sf: _flat(X.xml_articles(_jats(spark, sf))),
         **{k: _on_html(v) for k, v in html.items()},
         "html_pages_title": _pages_title,
+        "html_pages_texts": _pages_texts,
         "html_full_text_fallback": lambda spark, sf: H.html_full_text_fallback(
             markup_tokens(_fallback_payloads(spark, sf, "html"), "html")
         ),

@@ -336,6 +336,17 @@ def statements() -> dict[str, str]:
         "html_pages_title": rf"""SELECT page_id AS doc_id, CASE WHEN html LIKE '%<h1%' THEN
             {trimmed("regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')")}
             END AS value FROM pages""",
+        "html_pages_texts": r"""WITH plain AS (
+              SELECT page_id, regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g') AS html FROM pages),
+            texts AS (
+              SELECT page_id, 'h1' AS tag, regexp_extract_all(html, '(?s)<h1[^>]*>(.*?)</h1>', 1) AS found FROM plain
+              UNION ALL SELECT page_id, 'p', regexp_extract_all(html, '<p>(?:<b>)?([^<]*)', 1) FROM plain
+              UNION ALL SELECT page_id, 'b', regexp_extract_all(html, '<b>([^<]*)', 1) FROM plain
+              UNION ALL SELECT page_id, 'li', regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1) FROM plain
+              UNION ALL SELECT page_id, 'article', regexp_extract_all(html, '(?s)<article>(.*?)</article>', 1) FROM plain
+              UNION ALL SELECT page_id, 'footer', regexp_extract_all(html, '(?s)<footer>(.*?)</footer>', 1) FROM plain)
+            SELECT page_id AS doc_id, tag, CAST(ord AS INTEGER) AS ord, md5(regexp_replace(text, '<[^>]*>', '', 'g')) AS text_md5
+            FROM texts, unnest(found) WITH ORDINALITY AS u(text, ord)""",
         "html_full_text_fallback": "SELECT doc_id, 'full_text' AS key, '' AS text FROM documents WHERE doc_id % 2 = 0",
         "html_articles": _plain(HTML_SECTIONS, html_article),
         "html_require_title": _plain(DOCS, f"""SELECT doc_id, CAST(doc_id AS INTEGER) AS pmc_id, {HTML_TITLE} AS title
