@@ -119,12 +119,12 @@ def markup_tokens(payloads: DataFrame, mode: str = "xml") -> DataFrame:
     the page. Ends that no tag marks become closing tokens of their own without text, so the
     tokens of a page are a tree. A closing tag that closes nothing is bad, and no tag.
     """
-    return _xml_structure(_split(payloads)) if mode == "xml" else _html_structure(payloads)
+    return _xml_structure(payloads) if mode == "xml" else _html_structure(payloads)
 
 
-def _parts(payloads: DataFrame, mode: str) -> DataFrame:
-    """(doc_id, markup, qname, rest): arrays of markup items, their names and the text after each.
-    The payload is scanned once per part; that is far cheaper than matching every exploded item
+def _parts(payloads: DataFrame, mode: str, *keys: str) -> DataFrame:
+    """(keys, markup, qname, rest): arrays of markup items, their names and the text after each,
+    dealt by the keys (doc_id if none are given). The payload is scanned once per part; that is far cheaper than matching every exploded item
     again. Blank payloads have no items; they are not filtered out first, because a filter would be
     pushed below whatever builds the payload and make Spark build it twice."""
     markup = XML_MARKUP if mode == "xml" else HTML_MARKUP
@@ -133,7 +133,8 @@ def _parts(payloads: DataFrame, mode: str) -> DataFrame:
         F.regexp_extract_all("payload", pattern, F.lit(group)).alias(name)
         for group, name in ((1, "markup"), (2, "qname"), (3, "rest"))
     ]
-    return payloads.select("doc_id", "payload").repartition("doc_id").select("doc_id", *parts)
+    keys = keys or ("doc_id",)
+    return payloads.select(*keys, "payload").repartition(*keys).select(*keys, *parts)
 
 
 def _attrs() -> Column:
@@ -146,53 +147,51 @@ def _attrs() -> Column:
     )
 
 
-def _split(payloads: DataFrame) -> DataFrame:
-    """XML markup items with name and following text."""
-    items = (
-        _parts(payloads, "xml")
-        .select("doc_id", F.posexplode(F.arrays_zip("markup", "qname", "rest")).alias("pos", "item"))
-        .select("doc_id", "pos", "item.*")
-    )
-    tag = F.lower(F.substring_index("qname", ":", -1))
+def _xml_items(items: DataFrame, *keys: str) -> DataFrame:
+    """(keys, markup, qname, rest) to XML items with decoded text, kind of tag and the step of the
+    depth. ``stray`` marks what breaks well-formedness by itself."""
     closes = (F.col("qname") != "") & F.col("markup").startswith("</")
     opens = (F.col("qname") != "") & ~closes
     ends = F.col("markup").endswith("/>")
+    # White space in the sense of XML: a no-break space is text.
+    shown = F.btrim("rest", F.lit(" \t\r\n")) != ""
+    rest = F.when(shown, xml_unescape(F.col("rest"))).otherwise("")
+    is_cdata = F.col("markup").startswith("<![CDATA[")
+    inner = F.expr("substring(markup, 10, length(markup) - 12)")
+    # Text nodes of white space only do not exist in the document model.
+    text = F.concat(F.when(is_cdata, inner).otherwise(""), rest)
+    unknown = F.col("rest").contains("&") & F.col("rest").rlike(UNKNOWN_ENTITY)
     return items.select(
-        "doc_id",
-        "pos",
+        *keys,
         (opens & ~ends).alias("is_open"),
         closes.alias("is_close"),
         (opens & ends).alias("is_selfclosing"),
         "qname",
-        tag.alias("tag"),
+        F.lower(F.substring_index("qname", ":", -1)).alias("tag"),
         F.when(opens, _attrs()).alias("attrs"),
-        "markup",
-        "rest",
+        text.alias("text"),
+        ((F.col("markup") == "<") | unknown).alias("stray"),
+        F.when(opens & ~ends, 1).when(closes, -1).otherwise(0).alias("step"),
     )
 
 
-def _xml_structure(items: DataFrame) -> DataFrame:
-    # White space in the sense of XML: a no-break space is text.
-    shown = F.btrim("rest", F.lit(" \t\r\n")) != ""
-    rest = F.when(shown, xml_unescape(F.col("rest"))).otherwise("")
-    is_cdata = F.col("markup").startswith("<![CDATA[")
-    inner = F.expr("substring(markup, 10, length(markup) - 12)")
-    # Text nodes of white space only do not exist in the document model.
-    text = F.concat(F.when(is_cdata, inner).otherwise(""), rest)
-    unknown = F.col("rest").contains("&") & F.col("rest").rlike(UNKNOWN_ENTITY)
-    bad = (F.col("markup") == "<") | unknown
-    step = F.when(F.col("is_open"), 1).when(F.col("is_close"), -1).otherwise(0)
-    leveled = items.select(
-        "*", text.alias("text"), bad.alias("stray"), F.sum(step).over(in_doc_order()).alias("level")
-    ).drop("rest", "markup")
-    own = F.col("level") + F.when(F.col("is_close") | F.col("is_selfclosing"), 1).otherwise(0)
-    leveled = leveled.withColumn("depth", own)
-    # Opening and closing tags of one depth alternate, so neighbours are partners.
+def _own_level() -> Column:
+    """Depth of the element that a tag opens or closes, from the level after it."""
+    return F.col("level") + F.when(F.col("is_close") | F.col("is_selfclosing"), 1).otherwise(0)
+
+
+def _with_neighbours(items: DataFrame, *keys: str) -> DataFrame:
+    """Add nxt and prv: opening and closing tags of one depth alternate, so neighbours are
+    partners."""
     pairable = F.col("is_open") | F.col("is_close")
-    w = W.partitionBy("doc_id", F.when(pairable, F.col("depth"))).orderBy("pos")
+    w = W.partitionBy(*keys, F.when(pairable, F.col("depth"))).orderBy("pos")
     other = F.when(F.col("is_open"), F.lead(F.struct("pos", "qname", "is_close")).over(w))
     back = F.when(F.col("is_close"), F.lag(F.struct("pos", "qname", "is_open", "attrs")).over(w))
-    paired = leveled.select("*", other.alias("nxt"), back.alias("prv"))
+    return items.select("*", other.alias("nxt"), back.alias("prv"))
+
+
+def _xml_tokens(paired: DataFrame) -> DataFrame:
+    """Items with level, depth, nxt and prv to the columns of the token table."""
     has_end = F.coalesce(F.expr("nxt.is_close and nxt.qname = qname"), F.lit(False))
     has_start = F.coalesce(F.expr("prv.is_open and prv.qname = qname"), F.lit(False))
     unpaired = (
@@ -220,6 +219,105 @@ def _xml_structure(items: DataFrame) -> DataFrame:
     )
 
 
+def _exploded(parts: DataFrame, *keys: str) -> DataFrame:
+    found = F.posexplode(F.arrays_zip("markup", "qname", "rest")).alias("pos", "item")
+    return parts.select(*keys, found).select(*keys, "pos", "item.*")
+
+
+def _xml_structure(payloads: DataFrame) -> DataFrame:
+    items = _xml_items(_exploded(_parts(payloads, "xml"), "doc_id"), "doc_id", "pos")
+    leveled = items.select("*", F.sum("step").over(in_doc_order()).alias("level"))
+    return _xml_tokens(_with_neighbours(leveled.withColumn("depth", _own_level()), "doc_id"))
+
+
+# --- very large documents ----------------------------------------------------------
+
+# What may hold "<" without beginning a tag; outside of these a document can be cut at any "<".
+SPECIAL = f"{COMMENT}|{CDATA}|{INSTRUCTION}|{DOCTYPE}"
+SPECIAL_START = r"<!--|<!\[CDATA\[|<\?|<![A-Za-z]"
+# Where comments, character data and instructions end.
+SPECIAL_ENDS = {"<!--": "-->", "<![CDATA[": "]]>", "<?": "?>"}
+
+
+def _ranges(payload: str, size: int) -> str:
+    """The payload as an array of ranges of about ``size`` characters, each from one "<" that begins
+    an item to the next such. Pieces are cut before any "<"; a fold over them knows whether a
+    piece ends inside a comment or the like, and joins it with the next one if so."""
+    quoted = lambda pattern: pattern.replace("\\", "\\\\")
+    pieces = f"regexp_extract_all({payload}, '(?s).{{1,{size}}}[^<]*+', 0)"
+    ended = " ".join(
+        f"when '{start}' then if(contains(p, '{end}'), substr(p, locate('{end}', p) + {len(end)}), null)"
+        for start, end in SPECIAL_ENDS.items()
+    )
+    # A document type has no simple end; it is read again together with what follows.
+    scanned = f"case s.open when '' then p {ended} else concat(s.held, p) end"
+    plain = f"regexp_replace(left_over, '(?s){quoted(SPECIAL)}', ' ')"
+    may_start = "contains(left_over, '<!') or contains(left_over, '<?')"
+    open_now = f"""case when left_over is null then s.open
+        when {may_start} then regexp_extract({plain}, '{quoted(SPECIAL_START)}', 0) else '' end"""
+    state = """named_struct('open', open_now, 'held', if(open_now = '', '', concat(s.held, p)),
+        'done', if(open_now = '', concat(s.done, array(concat(s.held, p))), s.done))"""
+    step = f"transform(array({scanned}), left_over -> transform(array({open_now}), open_now -> {state})[0])[0]"
+    start = "named_struct('open', '', 'held', '', 'done', cast(array() as array<string>))"
+    return f"aggregate({pieces}, {start}, (s, p) -> {step}, s -> if(s.held = '', s.done, concat(s.done, array(s.held))))"
+
+
+def large_markup_tokens(payloads: DataFrame, range_size: int = 1 << 20) -> DataFrame:
+    """``markup_tokens`` of XML payloads of which a single one is too much for a task.
+
+    A payload is cut into ranges in the task that reads it, by one scan; ranges are then dealt by
+    document *and* range, and no window, group or join holds more than a range's tokens of a
+    document. A range's positions and levels are running sums inside it plus the sum over all
+    ranges before, from a table of one row per range. Of the tags of one depth that a range holds
+    only the first can have its partner before and only the last after the range; those few are
+    paired among themselves. The rows equal those of ``markup_tokens``; a null or blank payload
+    has none. A comment or character data longer than a range makes its range as long.
+    """
+    here = ("doc_id", "range")
+    cut = payloads.select("doc_id", F.posexplode(F.expr(_ranges("payload", range_size))).alias("range", "payload"))
+    parts = _parts(cut, "xml", *here)
+    local = _xml_items(_exploded(parts, *here), *here, "pos")
+    in_range = W.partitionBy(*here).orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    local = local.select("*", F.sum("step").over(in_range).alias("level"))
+    local = _with_neighbours(local.withColumn("depth", _own_level()), *here)
+
+    earlier = W.partitionBy("doc_id").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    bases = (
+        local.groupBy(*here)
+        .agg(F.count("*").alias("n"), F.sum("step").alias("rise"))
+        .select(*here, before("n").cast("int").alias("base_pos"), before("rise").alias("base_level"))
+    )
+    alone = (F.col("is_open") & F.col("nxt").isNull()) | (F.col("is_close") & F.col("prv").isNull())
+    few = local.where(alone).select(*here, "pos", "depth", "qname", "is_open", "is_close", "attrs").join(bases, [*here])
+    few = few.select(
+        *here,
+        F.col("pos").alias("at"),
+        (F.col("pos") + F.col("base_pos")).alias("pos"),
+        (F.col("depth") + F.col("base_level")).alias("depth"),
+        "qname", "is_open", "is_close", "attrs",
+    )
+    met = _with_neighbours(few, "doc_id").groupBy(*here).agg(F.collect_list(F.struct("at", "nxt", "prv")).alias("met"))
+    carried = bases.join(met, [*here], "left")
+    # One row per range meets the range's tokens, where they already are.
+    far = "filter(met, m -> m.at = pos)[0]"
+    moved = local.join(carried, [*here]).selectExpr(
+        "*",
+        f"if(is_open and nxt is null, {far}.nxt, named_struct('pos', nxt.pos + base_pos, 'qname', nxt.qname, 'is_close', nxt.is_close)) as far_nxt",
+        f"""if(is_close and prv is null, {far}.prv,
+            named_struct('pos', prv.pos + base_pos, 'qname', prv.qname, 'is_open', prv.is_open, 'attrs', prv.attrs)) as far_prv""",
+    )
+    return _xml_tokens(
+        moved.selectExpr(
+            "* except (pos, level, depth, nxt, prv, far_nxt, far_prv, met, base_pos, base_level)",
+            "pos + base_pos as pos", "level + base_level as level", "depth + base_level as depth",
+            "far_nxt as nxt", "far_prv as prv",
+        )
+    )
+
+
+# --- HTML --------------------------------------------------------------------------
+
 # What an entry of the repaired page is.
 NO_TAG, OPEN, SELFCLOSING, CLOSE, IMPLIED_CLOSE = range(5)
 
