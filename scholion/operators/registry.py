@@ -6,10 +6,12 @@ points (what counts as free, which ids go first) are parameters.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from scholion.streaming import snapshot
+
 REGISTRY_SCHEMA = (
     "pmc_id int, scraped boolean, scraped_at timestamp_ntz, success boolean, "
     "success_at timestamp_ntz, error string, error_at timestamp_ntz, user string, "
@@ -17,7 +19,8 @@ REGISTRY_SCHEMA = (
 )
 
 
-def _new_rows(ids: DataFrame) -> DataFrame:
+def new_rows(ids: DataFrame) -> DataFrame:
+    """Free registry rows for ids."""
     at, text = F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("string")
     no = F.lit(False)
     return ids.select(
@@ -36,7 +39,7 @@ def new_ids(registry: DataFrame, ids: DataFrame) -> DataFrame:
 
 def registry_insert(registry: DataFrame, ids: DataFrame) -> DataFrame:
     """New registry with the unknown ids added under default flags."""
-    return registry.unionByName(_new_rows(new_ids(registry, ids)))
+    return registry.unionByName(new_rows(new_ids(registry, ids)))
 
 
 def registry_insert_count(registry: DataFrame, ids: DataFrame) -> DataFrame:
@@ -90,9 +93,9 @@ def registry_after_claim(registry: DataFrame, claimed: DataFrame) -> DataFrame:
     )
 
 
-def registry_apply_results(registry: DataFrame, submits: DataFrame) -> DataFrame:
-    """New registry after submit bundles (user, success_dict, error_dict, full_text_ids,
-    submitted_at). Unknown ids are added.
+def submitted_results(submits: DataFrame) -> DataFrame:
+    """(pmc_id, ok, message, has_text, by): what submit bundles (user, success_dict, error_dict,
+    full_text_ids, submitted_at) say about each id; ``by`` names the latest bundle.
 
     When several bundles name an id, the latest one counts."""
     no, text = F.lit(None).cast("boolean"), F.lit(None).cast("string")
@@ -121,12 +124,41 @@ def registry_apply_results(registry: DataFrame, submits: DataFrame) -> DataFrame
     def last(column: str) -> Column:
         return F.max_by(column, F.when(F.col(column).isNotNull(), latest))
 
-    news = rows.groupBy("pmc_id").agg(
+    return rows.groupBy("pmc_id").agg(
         last("ok").alias("ok"),
         last("message").alias("message"),
         F.max("has_text").alias("has_text"),
         F.max(latest).alias("by"),
     )
+
+
+def registry_apply_results(registry: DataFrame, submits: DataFrame) -> DataFrame:
+    """New registry after submit bundles (see ``submitted_results``). Unknown ids are added."""
+    return _with_results(registry, submitted_results(submits))
+
+
+def registry_upsert(spark: SparkSession, path: str, submits: DataFrame, batch_id: int, bucket_size: int = 100_000) -> None:
+    """The same on a stored registry (see ``store_registry``): only the buckets of neighbouring ids
+    that the bundles name are read, joined and written; the files of all others stay."""
+    changes = f"{path}/changes/batch_id={batch_id}"
+    submitted_results(submits).write.mode("overwrite").parquet(changes)
+    news = spark.read.parquet(changes)
+    empty = spark.createDataFrame([], REGISTRY_SCHEMA)
+    merge = lambda old, new: _with_results(empty if old is None else old, new)
+    snapshot.merge_batch(news, path, batch_id, snapshot.by_range("pmc_id", bucket_size), merge)
+
+
+def store_registry(registry: DataFrame, path: str, bucket_size: int = 100_000) -> None:
+    """Write a registry in buckets of neighbouring ids, as batch 0 of a new table."""
+    snapshot.merge_batch(registry, path, 0, snapshot.by_range("pmc_id", bucket_size), lambda _, rows: rows)
+
+
+def stored_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The registry as it is now."""
+    return snapshot.current(spark, path).drop("bucket")
+
+
+def _with_results(registry: DataFrame, news: DataFrame) -> DataFrame:
     at = F.col("by.submitted_at")
     won = F.coalesce("ok", F.lit(False))
     known = F.col("by").isNotNull()

@@ -296,6 +296,18 @@ def _registry_apply(spark, sf):
     )
 
 
+def _registry_upsert(spark, sf):
+    """Bundles in two rounds, by the user, on a stored registry."""
+    folder = work_folder(spark)
+    G.store_registry(_registry(spark, sf), folder, 1000)
+    at = F.lit(SUBMITTED_AT).cast("timestamp_ntz")
+    bundles = _bundles(spark, sf).withColumn("submitted_at", at)
+    for batch_id, even in ((1, True), (2, False)):
+        part = bundles.where((F.substring("user", 2, 9).cast("int") % 2 == 0) == even)
+        G.registry_upsert(spark, folder, part, batch_id, 1000)
+    return G.stored_registry(spark, folder)
+
+
 # --- fetch log ---------------------------------------------------------------------
 
 
@@ -356,6 +368,29 @@ def _stream_best(spark, sf):
     return best.select("pmc_id", "arrival", "doi", R.section_count().alias("n_sections"))
 
 
+def _arriving_registry(spark, sf):
+    """Registry rows as they changed: each id as a free row, as a claimed one and as it is now. The
+    three of an id lie in different files, some late and some twice."""
+    now = _registry(spark, sf)
+    free = now.select("pmc_id").transform(G.new_rows)
+    claimed = free.withColumn("user", F.lit("w")).withColumn("scraped", F.lit(True)).withColumn(
+        "scraped_at", F.lit("1990-01-01").cast("timestamp_ntz")
+    )
+    kinds = (now.withColumn("place", F.col("pmc_id") % 3), claimed.withColumn("place", F.col("pmc_id") % 2 + 1), free.withColumn("place", F.lit(2)))
+    again = now.where("pmc_id % 4 = 1").withColumn("place", F.lit(3))
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).unionByName(again)
+
+
+def _stream_latest(spark, sf):
+    folder = work_folder(spark)
+    rows = _arriving_registry(spark, sf)
+    rows.repartitionByRange(4, "place").drop("place").write.parquet(f"{folder}/in")
+    schema = rows.drop("place").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    streams.stream_registry_stats(stream, f"{folder}/out", f"{folder}/state", bucket_size=1000).awaitTermination()
+    return streams.latest_stats(spark, f"{folder}/out")
+
+
 def _stream_stats(spark, sf):
     folder = work_folder(spark)
     stream = _staged_stream(spark, _registry(spark, sf), folder)
@@ -514,6 +549,7 @@ def jobs() -> dict:
         "registry_claim": _registry_claim,
         "registry_after_claim": _registry_after_claim,
         "registry_apply_results": _registry_apply,
+        "registry_upsert": _registry_upsert,
         "registry_stats": lambda spark, sf: G.registry_stats(_registry(spark, sf)),
         "classify_xml_attempt": lambda spark, sf: _picked(
             L.classify_xml_attempt(_log(spark, sf)), "outcome", "retryable"
@@ -537,6 +573,7 @@ def jobs() -> dict:
         "stream_extract": _stream_extract,
         "stream_best_version": _stream_best,
         "stream_registry_stats": _stream_stats,
+        "stream_registry_latest": _stream_latest,
         **{name: _scalar(name) for name in SCALARS},
         "iso_seconds": _iso_seconds,
     }

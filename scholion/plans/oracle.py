@@ -244,6 +244,16 @@ def statements() -> dict[str, str]:
     stats = """SELECT count(*) AS "Total_List", count(*) FILTER (scraped) AS "Total_Scraped",
         count(*) FILTER (success) AS "Total_Success", count(*) FILTER (full_text) AS "Total_Full_Text",
         count(error) AS "Total_Error" FROM registry"""
+    applied = """
+            SELECT CAST(coalesce(r.pmc_id, c.id) AS INTEGER) AS pmc_id,
+              c.id IS NOT NULL OR scraped AS scraped,
+              CASE WHEN c.id IS NOT NULL THEN TIMESTAMP '2024-02-01' ELSE scraped_at END AS scraped_at,
+              CASE WHEN c.id IS NOT NULL THEN f.id IS NOT NULL ELSE success END AS success,
+              CASE WHEN f.id IS NOT NULL THEN TIMESTAMP '2024-02-01' ELSE success_at END AS success_at,
+              CASE WHEN f.id IS NOT NULL THEN NULL WHEN c.id IS NOT NULL THEN 'Extraction failed (Xml)' ELSE error END AS error,
+              CASE WHEN f.id IS NOT NULL THEN NULL WHEN c.id IS NOT NULL THEN TIMESTAMP '2024-02-01' ELSE error_at END AS error_at,
+              coalesce(c.usr, r.usr) AS "user", coalesce(f.has_text, FALSE) OR coalesce(full_text, FALSE) AS full_text
+            FROM registry r FULL JOIN claims c ON c.id = r.pmc_id LEFT JOIN found f ON f.id = c.id"""
     return {
         "src_xml_payloads": f"""SELECT doc_id,
             md5('<article><body>' || {escaped("text")} || '</body></article>') AS payload_md5 FROM documents""",
@@ -384,16 +394,8 @@ def statements() -> dict[str, str]:
         "registry_claim": _plain(REGISTRY, """SELECT pmc_id, 'w' || ((rn - 1) // 100) AS "user", scraped, full_text
             FROM (SELECT *, row_number() OVER (ORDER BY pmc_id) AS rn FROM registry WHERE usr IS NULL AND NOT scraped)
             WHERE rn <= 800"""),
-        "registry_apply_results": _plain(f"{REGISTRY}, {BATCHES}", """
-            SELECT CAST(coalesce(r.pmc_id, c.id) AS INTEGER) AS pmc_id,
-              c.id IS NOT NULL OR scraped AS scraped,
-              CASE WHEN c.id IS NOT NULL THEN TIMESTAMP '2024-02-01' ELSE scraped_at END AS scraped_at,
-              CASE WHEN c.id IS NOT NULL THEN f.id IS NOT NULL ELSE success END AS success,
-              CASE WHEN f.id IS NOT NULL THEN TIMESTAMP '2024-02-01' ELSE success_at END AS success_at,
-              CASE WHEN f.id IS NOT NULL THEN NULL WHEN c.id IS NOT NULL THEN 'Extraction failed (Xml)' ELSE error END AS error,
-              CASE WHEN f.id IS NOT NULL THEN NULL WHEN c.id IS NOT NULL THEN TIMESTAMP '2024-02-01' ELSE error_at END AS error_at,
-              coalesce(c.usr, r.usr) AS "user", coalesce(f.has_text, FALSE) OR coalesce(full_text, FALSE) AS full_text
-            FROM registry r FULL JOIN claims c ON c.id = r.pmc_id LEFT JOIN found f ON f.id = c.id"""),
+        "registry_apply_results": _plain(f"{REGISTRY}, {BATCHES}", applied),
+        "registry_upsert": _plain(f"{REGISTRY}, {BATCHES}", applied),
         "registry_stats": _plain(REGISTRY, stats),
         "classify_xml_attempt": _plain(LOG, "SELECT event_id, worker, xml AS outcome, xml <> 'ok' AS retryable FROM log"),
         "classify_html_attempt": _plain(LOG, "SELECT event_id, worker, web AS outcome, web <> 'Success' AS retryable FROM log"),
@@ -435,6 +437,8 @@ def statements() -> dict[str, str]:
             UNION ALL SELECT doc_id, NULL, NULL, 'Extraction failed (Xml)' FROM docs WHERE doc_id % 97 IN (5, 6, 7)"""),
         "stream_best_version": _plain(VERSIONS, best_select),
         "stream_registry_stats": _plain(REGISTRY, stats),
+        # a row without a time never wins against the claimed one
+        "stream_registry_latest": _plain(REGISTRY, stats.replace("count(*) FILTER (scraped)", "count(*)")),
         "normalize_ws": f"SELECT doc_id, {normal('text')} AS value FROM documents",
         "null_if_blank": f"SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN nullif({normal('text')}, '') END AS value FROM documents",
         "digits_to_id": """SELECT doc_id, CAST(doc_id AS INTEGER) AS a, CAST(replace(source, 'src', '') AS INTEGER) AS b,

@@ -1,7 +1,8 @@
 """The polling loop as streaming jobs.
 
 Every micro-batch writes its own folder, in overwrite mode: a batch that is run again
-after a failure replaces itself, and no batch reads or rewrites what earlier ones wrote.
+after a failure replaces itself, and none rewrites what earlier ones wrote. What has to be
+settled against earlier batches is kept in buckets (``snapshot``).
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from scholion.operators.html_articles import html_articles, html_require_title
 from scholion.operators.reconcile import best_version
 from scholion.operators.registry import registry_stats
 from scholion.operators.xml_articles import xml_articles
+from scholion.streaming import snapshot
 
 EXTRACTORS = {"Xml": xml_articles, "Web": lambda p: html_require_title(html_articles(p))}
 
@@ -58,44 +60,82 @@ def stream_extract(payloads: DataFrame, path: str, checkpoint: str, method: str
     return _run(payloads, write, checkpoint)
 
 
-def stream_best_version(articles: DataFrame, path: str, checkpoint: str):
-    """Keep the best version per id of the articles that arrive. A batch adds only its own
-    best versions; ``current_best`` settles them against the earlier ones."""
+def stream_best_version(articles: DataFrame, path: str, checkpoint: str, buckets: int = 64):
+    """Keep the best version per id of the articles that arrive, as a table of buckets: a batch
+    settles its articles against the versions so far of their buckets and writes those anew."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write(best_version(batch), path, batch_id)
+        batch.persist()
+        merge = lambda old, new: best_version(new if old is None else old.unionByName(new))
+        snapshot.merge_batch(batch, path, batch_id, snapshot.by_hash("pmc_id", buckets), merge)
+        batch.unpersist()
 
     return _run(articles, write, checkpoint)
 
 
 def current_best(spark: SparkSession, path: str) -> DataFrame:
-    """The best version per id over all batches so far."""
-    return best_version(spark.read.parquet(path).drop("batch_id"))
+    """The best version per id over all batches so far. Costs what these hold, however many
+    batches there were."""
+    return snapshot.current(spark, path).drop("bucket")
 
 
-def compact_best(spark: SparkSession, path: str, target: str) -> None:
-    """Rewrite the best versions so far as one table, to keep later reads short."""
-    current_best(spark, path).write.mode("overwrite").parquet(f"{target}/batch_id=0")
+#: When a row of the registry was true: the last time it names. Rows without one are the oldest.
+LAST_CHANGE = ("scraped_at", "success_at", "error_at")
 
 
-def stream_registry_stats(registry: DataFrame, path: str, checkpoint: str):
-    """Registry counters over all rows that arrived, refreshed with every batch."""
+def latest_rows(rows: DataFrame, *order: str) -> DataFrame:
+    """One row per pmc_id: the one with the greatest ``order`` columns, by default the last time
+    it names; then the greatest row as a whole, so that equal times give one result."""
+    names = [c for c in rows.columns if c != "pmc_id"]
+    stamps = [F.greatest(*LAST_CHANGE).alias("last_change")] if not order else []
+    best = F.max(F.struct(*stamps, *order, *[c for c in names if c not in order]))
+    return rows.groupBy("pmc_id").agg(best.alias("row")).select(
+        *[F.col("pmc_id") if c == "pmc_id" else F.col(f"row.{c}").alias(c) for c in rows.columns]
+    )
 
-    def write(counters: DataFrame, batch_id: int) -> None:
-        _write(counters, path, batch_id)
 
-    return (
-        registry_stats(registry)
-        .writeStream.outputMode("complete")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def stream_registry_stats(
+    registry: DataFrame, path: str, checkpoint: str, *order: str, bucket_size: int = 100_000
+):
+    """Registry counters while rows arrive, an id as often as it changes: its latest row counts,
+    whatever order rows come in, and a row that comes again changes nothing.
+
+    The latest row of every id is kept in ``path``/rows, in buckets of neighbouring ids. A batch reads
+    the buckets it touches, and the counters change by the difference between the rows of those
+    before and after it."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        spark, rows = batch.sparkSession, f"{path}/rows"
+        merge = lambda old, new: latest_rows(new if old is None else old.unionByName(new), *order)
+        bucket = snapshot.by_range("pmc_id", bucket_size)
+        known = batch.where("pmc_id is not null")
+        old = snapshot.merge_batch(known, rows, batch_id, bucket, merge)
+        new = spark.read.parquet(f"{rows}/data/batch_id={batch_id}") if not known.isEmpty() else known
+        change = registry_stats(new) if old is None else _difference(registry_stats(new), registry_stats(old))
+        so_far = _stats_before(spark, f"{path}/stats", batch_id)
+        _write(change if so_far is None else _sum(change, so_far), f"{path}/stats", batch_id)
+        batch.unpersist()
+
+    return _run(registry, write, checkpoint)
+
+
+def _sum(a: DataFrame, b: DataFrame, sign: int = 1) -> DataFrame:
+    """Counters added up: one row each."""
+    both = a.unionByName(b.select(*[(F.col(c) * sign).alias(c) for c in b.columns]))
+    return both.agg(*[F.sum(c).alias(c) for c in a.columns])
+
+
+def _difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    return _sum(a, b, -1)
+
+
+def _stats_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """The counters of the batch before this one."""
+    earlier = [n for n in snapshot.batches(spark, path) if n < batch_id]
+    return spark.read.parquet(f"{path}/batch_id={max(earlier)}") if earlier else None
 
 
 def latest_stats(spark: SparkSession, path: str) -> DataFrame:
     """The counters of the last batch."""
-    counters = spark.read.parquet(path)
-    newest = counters.agg(F.max("batch_id").alias("batch_id"))
-    return counters.join(F.broadcast(newest), "batch_id").drop("batch_id")
+    return spark.read.parquet(f"{path}/stats/batch_id={max(snapshot.batches(spark, f'{path}/stats'))}")
