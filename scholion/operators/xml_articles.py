@@ -86,6 +86,7 @@ TABLE_GROUPS = {
     )
 }
 GROUPS = FRONT_GROUPS | BODY_GROUPS | TABLE_GROUPS
+TABLE_KINDS = (*TABLE_GROUPS["tables"][0], *TABLE_GROUPS["tables"][1])
 PARENTS = ("subj_group", "kwd_group", "date", "abs_sec", "sec")
 INFO = ["info", "flag", "rel", "wrap_level"]
 
@@ -97,12 +98,22 @@ def xml_first_article(tokens: DataFrame) -> DataFrame:
     journal (else front), abstract, body. Counters: hidden (open ignored elements),
     front_level, secs, wrap_level and so on.
     """
+    return _scopes(tokens, F.col("qname") == "article")
+
+
+def xml_fragment(tokens: DataFrame) -> DataFrame:
+    """Tokens of each well-formed payload as a whole, which need not hold an article, with the same
+    scope columns: the root stands for the article. For ``xml_tables`` and its like."""
+    return _scopes(tokens, F.col("depth") == 1)
+
+
+def _scopes(tokens: DataFrame, root_match: Column) -> DataFrame:
     doc = W.partitionBy("doc_id")
     balance = F.when(F.col("is_open"), 1).when(F.col("is_close"), -1).otherwise(0)
     root = F.when(is_opener() & (F.col("depth") == 1), 1)
     t = tokens.select(
         "*",
-        first_element(F.col("qname") == "article").alias("article"),
+        first_element(root_match).alias("article"),
         F.max("bad").over(doc).alias("broken"),
         F.sum(balance).over(doc).alias("left_open"),
         F.count(root).over(doc).alias("roots"),
@@ -406,8 +417,12 @@ def _body_columns(elements: DataFrame) -> DataFrame:
 
 def _table_columns(elements: DataFrame) -> DataFrame:
     """Add wrap (the table-wrap around an element), tbl (its first table), part (table
-    body or foot), row and the first-row flag."""
-    w = W.partitionBy("doc_id", "wrap_level").orderBy("pos")
+    body or foot), row and the first-row flag. What lies in several nested wraps has a row for
+    each, as it belongs to all of them."""
+    nested = F.col("kind").isin(*TABLE_KINDS) & (F.col("wrap_level") > 1)
+    levels = F.when(nested, F.sequence(F.lit(1).cast("long"), F.col("wrap_level"))).otherwise(F.array("wrap_level"))
+    elements = elements.select("*", F.explode(levels).alias("level"))
+    w = W.partitionBy("doc_id", "level").orderBy("pos")
     here = w.rowsBetween(W.unboundedPreceding, 0)
     before = w.rowsBetween(W.unboundedPreceding, -1)
 
@@ -420,9 +435,10 @@ def _table_columns(elements: DataFrame) -> DataFrame:
         return (F.col(f"{scope}.pos") < F.col("pos")) & (F.col("pos") < F.col(f"{scope}.end_pos"))
 
     filled = F.col("end_pos") > F.col("pos")
+    own = F.col("level") == F.col("wrap_level")
     t = elements.select(
         "*",
-        latest(_is("wrap") & filled, "info").alias("wrap"),
+        latest(_is("wrap") & filled & own, "info").alias("wrap"),
         latest(_is("table"), frame=before).alias("earlier_table"),
     )
     child = F.col("depth") == F.col("wrap.depth") + 1
@@ -600,7 +616,7 @@ def _table_aggs() -> dict[str, Column]:
         "has_table": F.coalesce(F.max("first_table"), F.lit(False)),
         "label": blank_to_null(first_text(_is("label") & child)),
         "cap_title": blank_to_null(first_text(_is("cap_title") & title)),
-        "wrap_id": F.max(F.when(_is("wrap"), trim_ws(F.col("info")))),
+        "wrap_id": F.max(F.when(_is("wrap") & (F.col("pos") == F.col("wrap.pos")), trim_ws(F.col("info")))),
         "cap_notes": collected(_is("note_p") & F.col("in_caption") & shown, F.col("text")),
         "caption": blank_to_null(first_text(_is("caption") & child)),
         "foot_notes": collected(_is("note_p") & F.col("in_foot") & shown, F.col("text")),
@@ -901,7 +917,6 @@ def xml_merge_tables(keyed: DataFrame, table_json: DataFrame) -> DataFrame:
 # --- whole records -----------------------------------------------------------------
 
 BODY_KINDS = (*BODY_GROUPS["sections"][0], *BODY_GROUPS["sections"][1])
-TABLE_KINDS = (*TABLE_GROUPS["tables"][0], *TABLE_GROUPS["tables"][1])
 ARTICLE_COLUMNS = (
     "doc_id", "pmc_id", "pm_id", "doi", "title", "category", "journal", "publisher",
     "volume", "issue", "issn", "f_page", "l_page", "authors", "publish_date",

@@ -109,6 +109,22 @@ def _fallback_payloads(spark, sf, mode):
     return d.select("doc_id", doc.alias("payload"))
 
 
+def _fragments(spark, sf):
+    """Payloads without an article: a table of the lines, with a table in its last row."""
+    d = C.with_lines(C.table(spark, sf, "documents"))
+    cell = lambda *x: C.element("td", *x)
+    rows = F.array_join(F.transform("lines", lambda x, i: C.element("tr", cell((i + 1).cast("string")), cell(x))), "")
+    inner = C.element("table-wrap", "<label>Inner</label><table><tbody><tr>", cell(F.col("source")), "</tr></tbody></table>")
+    body = C.element("tbody", rows, C.element("tr", cell("with ", inner)))
+    caption = C.element("caption", C.element("p", "Outer ", F.col("lang")))
+    wrap = C.element("table-wrap", caption, C.element("table", body), attrs='id="a"')
+    return d.select("doc_id", C.element("div", wrap).alias("payload"))
+
+
+def _fragment_tables(spark, sf):
+    return X.xml_table_json(X.xml_fragment(markup_tokens(_fragments(spark, sf))))
+
+
 def _page_tokens(spark, sf):
     pages = C.table(spark, sf, "pages").select(
         F.col("page_id").alias("doc_id"), F.col("html").alias("payload")
@@ -517,6 +533,7 @@ def jobs() -> dict:
         "xml_full_text_fallback": lambda spark, sf: X.xml_full_text_fallback(
             markup_tokens(_fallback_payloads(spark, sf, "xml"), "xml")
         ),
+        "xml_fragment_tables": _fragment_tables,
         "xml_articles": lambda spark, sf: _flat(X.xml_articles(_jats(spark, sf))),
         **{k: _on_html(v) for k, v in html.items()},
         "html_pages_title": _pages_title,

@@ -328,6 +328,12 @@ def statements() -> dict[str, str]:
         "xml_merge_tables": _plain(MERGED, "SELECT doc_id, ord, key, txt AS text FROM merged"),
         "xml_full_text_fallback": _plain(DOCS, """SELECT doc_id, 'full_text' AS key, array_to_string(ls, ' ') AS text
             FROM docs WHERE doc_id % 2 = 0 AND len(ls) > 0"""),
+        "xml_fragment_tables": _plain(DOCS, """
+            SELECT doc_id, 1 AS table_no, 'a' AS name, '{"TableName":"a","Description":' || to_json('Outer ' || lang)
+              || ',"Colmuns":[],"Data":[' || coalesce((SELECT string_agg('["' || i || '",' || to_json(line) || ']', ',' ORDER BY i)
+                || ',' FROM unnest(ls) WITH ORDINALITY AS t(line, i)), '') || '["with"]]}' AS json FROM docs
+            UNION ALL SELECT doc_id, 2, 'Inner',
+              '{"TableName":"Inner","Description":null,"Colmuns":[],"Data":[[' || to_json(source) || ']]}' FROM docs"""),
         "xml_articles": _plain(f"{MERGED}, {DATES}", xml_article),
         "html_title": _plain(DOCS, f"SELECT doc_id, {HTML_TITLE} AS value FROM docs"),
         "html_meta": _plain(DOCS, f"""SELECT doc_id, source AS journal, {HTML_DATE} AS publication_date,
