@@ -415,13 +415,31 @@ def id_of_name(doc_id: Column) -> Column:
     return F.coalesce(number.try_cast("int"), F.lit(0))
 
 
+NO_TITLE = "no title"
+
+
+def html_article_results(payloads: DataFrame, pmc_id: Column | None = None) -> DataFrame:
+    """One row per payload: the article record of pages with a title, for all others no more than
+    fault and fault_pos."""
+    rows = _records(markup_tokens(payloads, "html", keep_blank=True), pmc_id)
+    good = F.coalesce("title", F.lit("")) != ""
+    kept = [F.when(good, F.col(c)).alias(c) for c in rows.columns if c != "doc_id"]
+    return rows.select(
+        "doc_id", *kept, F.when(~good, NO_TITLE).alias("fault"), F.when(~good, 0).cast("int").alias("fault_pos")
+    )
+
+
 def html_articles(payloads: DataFrame, pmc_id: Column | None = None) -> DataFrame:
     """(doc_id, payload) to one article record per page.
 
     ``pmc_id`` gives the article id from doc_id, as pages do not name their own. By default
     it is the number in doc_id, which may be the path of a ``pmc<id>.html`` file; else 0."""
+    return _records(markup_tokens(payloads, "html"), pmc_id)
+
+
+def _records(tokens: DataFrame, pmc_id: Column | None) -> DataFrame:
     pmc_id = id_of_name(F.col("doc_id")) if pmc_id is None else pmc_id
-    rows = _group_columns(html_elements(html_scoped(markup_tokens(payloads, "html"))))
+    rows = _group_columns(html_elements(html_scoped(tokens)))
     in_body = _is("sec", "heading", "line", "inner")
     rows = rows.withColumn("slot", F.when(in_body, F.col("section_no")).otherwise(0))
     page = (

@@ -34,6 +34,11 @@ RAW_ELEMENT = r"<(?i:script)\b[^>]*+>.*?</(?i:script)\s*+>|<(?i:style)\b[^>]*+>.
 XML_MARKUP = f"{XML_TAG}|{COMMENT}|{CDATA}|{INSTRUCTION}|{DOCTYPE}|<|{LEADING}"
 HTML_MARKUP = f"{RAW_ELEMENT}|{HTML_TAG}|{COMMENT}|{DOCTYPE}|<"
 
+# How a token breaks well-formedness.
+STRAY, ENTITY, NO_END, NO_START, OUTSIDE = (
+    "stray <", "unknown entity", "element without end", "end without element", "text outside the root",
+)
+
 UNKNOWN_ENTITY = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
 
 # HTML elements that never have a closing tag.
@@ -104,25 +109,26 @@ def attr(name: str, html: bool = False) -> Column:
     return F.expr(attr_sql(name, html))
 
 
-def markup_tokens(payloads: DataFrame, mode: str = "xml") -> DataFrame:
+def markup_tokens(payloads: DataFrame, mode: str = "xml", keep_blank: bool = False) -> DataFrame:
     """``(doc_id, payload)`` to tokens.
 
     Columns: doc_id, pos, is_open, is_close, is_selfclosing, qname, tag (lower-case
     local name), attrs, text (character data up to the next markup item, decoded),
     depth (of the element a tag opens or closes), end_pos (position of the matching
     close tag, on opening and self-closing tags), start_pos (position of the element's
-    opening tag, on all tags) and bad (the token breaks well-formedness). A closing tag
-    carries the attributes of its opening tag. HTML text is left undecoded.
+    opening tag, on all tags), bad (the token breaks well-formedness) and, in XML, fault (how it
+    does). A closing tag carries the attributes of its opening tag. HTML text is left undecoded.
+    ``keep_blank`` gives payloads without any markup or text one token without a tag.
 
     HTML is repaired, not rejected. Every element has an end: where a tag ends it, where a tag
     implies its end (see ``IMPLIED_ENDS``), where an element around it ends, or at the end of
     the page. Ends that no tag marks become closing tokens of their own without text, so the
     tokens of a page are a tree. A closing tag that closes nothing is bad, and no tag.
     """
-    return _xml_structure(payloads) if mode == "xml" else _html_structure(payloads)
+    return _xml_structure(payloads, keep_blank) if mode == "xml" else _html_structure(payloads, keep_blank)
 
 
-def _parts(payloads: DataFrame, mode: str, *keys: str) -> DataFrame:
+def _parts(payloads: DataFrame, mode: str, *keys: str, keep_blank: bool = False) -> DataFrame:
     """(keys, markup, qname, rest): arrays of markup items, their names and the text after each,
     dealt by the keys (doc_id if none are given). The payload is scanned once per part; that is far cheaper than matching every exploded item
     again. Blank payloads have no items; they are not filtered out first, because a filter would be
@@ -134,7 +140,12 @@ def _parts(payloads: DataFrame, mode: str, *keys: str) -> DataFrame:
         for group, name in ((1, "markup"), (2, "qname"), (3, "rest"))
     ]
     keys = keys or ("doc_id",)
-    return payloads.select(*keys, "payload").repartition(*keys).select(*keys, *parts)
+    found = payloads.select(*keys, "payload").repartition(*keys).select(*keys, *parts)
+    if not keep_blank:
+        return found
+    names = ("markup", "qname", "rest")
+    listed = lambda c: F.when(F.coalesce(F.size(c), F.lit(0)) > 0, F.col(c)).otherwise(F.array(F.lit("")))
+    return found.select(*keys, *[listed(c).alias(c) for c in names])
 
 
 def _attrs() -> Column:
@@ -149,7 +160,7 @@ def _attrs() -> Column:
 
 def _xml_items(items: DataFrame, *keys: str) -> DataFrame:
     """(keys, markup, qname, rest) to XML items with decoded text, kind of tag and the step of the
-    depth. ``stray`` marks what breaks well-formedness by itself."""
+    depth. ``stray`` names what breaks well-formedness by itself."""
     closes = (F.col("qname") != "") & F.col("markup").startswith("</")
     opens = (F.col("qname") != "") & ~closes
     ends = F.col("markup").endswith("/>")
@@ -170,7 +181,7 @@ def _xml_items(items: DataFrame, *keys: str) -> DataFrame:
         F.lower(F.substring_index("qname", ":", -1)).alias("tag"),
         F.when(opens, _attrs()).alias("attrs"),
         text.alias("text"),
-        ((F.col("markup") == "<") | unknown).alias("stray"),
+        F.when(F.col("markup") == "<", STRAY).when(unknown, ENTITY).alias("stray"),
         F.when(opens & ~ends, 1).when(closes, -1).otherwise(0).alias("step"),
     )
 
@@ -195,11 +206,12 @@ def _xml_tokens(paired: DataFrame) -> DataFrame:
     has_end = F.coalesce(F.expr("nxt.is_close and nxt.qname = qname"), F.lit(False))
     has_start = F.coalesce(F.expr("prv.is_open and prv.qname = qname"), F.lit(False))
     unpaired = (
-        (F.col("is_open") & ~has_end)
-        | (F.col("is_close") & ~has_start)
-        | (F.col("level") < 0)
-        | ((F.col("level") == 0) & (F.col("text") != ""))
+        F.when(F.col("is_open") & ~has_end, NO_END)
+        .when(F.col("is_close") & ~has_start, NO_START)
+        .when(F.col("level") < 0, NO_START)
+        .when((F.col("level") == 0) & (F.col("text") != ""), OUTSIDE)
     )
+    fault = F.coalesce("stray", unpaired)
     return paired.select(
         "doc_id",
         "pos",
@@ -215,7 +227,8 @@ def _xml_tokens(paired: DataFrame) -> DataFrame:
         F.when(F.col("is_close"), F.col("prv.pos"))
         .when(F.col("is_open") | F.col("is_selfclosing"), F.col("pos"))
         .alias("start_pos"),
-        (F.col("stray") | unpaired).alias("bad"),
+        fault.isNotNull().alias("bad"),
+        fault.alias("fault"),
     )
 
 
@@ -224,8 +237,8 @@ def _exploded(parts: DataFrame, *keys: str) -> DataFrame:
     return parts.select(*keys, found).select(*keys, "pos", "item.*")
 
 
-def _xml_structure(payloads: DataFrame) -> DataFrame:
-    items = _xml_items(_exploded(_parts(payloads, "xml"), "doc_id"), "doc_id", "pos")
+def _xml_structure(payloads: DataFrame, keep_blank: bool) -> DataFrame:
+    items = _xml_items(_exploded(_parts(payloads, "xml", keep_blank=keep_blank), "doc_id"), "doc_id", "pos")
     leveled = items.select("*", F.sum("step").over(in_doc_order()).alias("level"))
     return _xml_tokens(_with_neighbours(leveled.withColumn("depth", _own_level()), "doc_id"))
 
@@ -414,7 +427,7 @@ def _tree() -> str:
     return f"sort_array(transform(array({tags}), tags -> {folded})[0])"
 
 
-def _html_structure(payloads: DataFrame) -> DataFrame:
+def _html_structure(payloads: DataFrame, keep_blank: bool) -> DataFrame:
     """The page as a tree, by a fold over its tags that keeps the open elements. The arrays are
     bound once, so that no lambda holds the scan of the payload."""
     shown = """transform(entries, e -> named_struct('pos', e.pos, 'kind', e.kind, 'other', e.other, 'depth', e.depth,
@@ -422,7 +435,7 @@ def _html_structure(payloads: DataFrame) -> DataFrame:
         'rest', if(e.src >= 0, get(d.r, e.src), '')))"""
     rows = f"""transform(array(named_struct('m', markup, 'q', qname, 'r', rest)), d ->
         transform(array({_tree()}), entries -> {shown})[0])[0]"""
-    t = _parts(payloads, "html").select("doc_id", F.explode(F.expr(rows)).alias("e")).select("doc_id", "e.*")
+    t = _parts(payloads, "html", keep_blank=keep_blank).select("doc_id", F.explode(F.expr(rows)).alias("e")).select("doc_id", "e.*")
     is_tag = F.col("kind") != NO_TAG
     opens = F.col("kind").isin(OPEN, SELFCLOSING)
     stray = (F.col("markup") == "<") | ((F.col("kind") == NO_TAG) & (F.col("qname") != ""))

@@ -38,6 +38,7 @@ from scholion.operators.elements import (
     unit_texts,
 )
 from scholion.operators.tokens import (
+    NO_END,
     attr,
     attr_sql,
     before_in_doc,
@@ -107,19 +108,59 @@ def xml_fragment(tokens: DataFrame) -> DataFrame:
     return _scopes(tokens, F.col("depth") == 1)
 
 
-def _scopes(tokens: DataFrame, root_match: Column) -> DataFrame:
+# What is wrong with payloads whose tokens are all right, or that have none.
+NO_ROOT, TWO_ROOTS, NO_ARTICLE = "no root", "second root", "no article"
+
+
+def _scopes(tokens: DataFrame, root_match: Column, keep_faults: bool = False) -> DataFrame:
+    """``keep_faults``: a payload without an article has one row in place of its tokens, an empty
+    article whose column ``fault`` (pos, kind) tells the first thing that is wrong, as a parser
+    would meet it: that an element has no end is known only when all else was read."""
     doc = W.partitionBy("doc_id")
     balance = F.when(F.col("is_open"), 1).when(F.col("is_close"), -1).otherwise(0)
     root = F.when(is_opener() & (F.col("depth") == 1), 1)
-    t = tokens.select(
-        "*",
+    facts = [
         first_element(root_match).alias("article"),
         F.max("bad").over(doc).alias("broken"),
         F.sum(balance).over(doc).alias("left_open"),
         F.count(root).over(doc).alias("roots"),
-    )
+    ]
+    if keep_faults:
+        ordered_doc = doc.orderBy("pos").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+        what = F.struct("pos", F.col("fault").alias("kind"))
+        facts += [
+            F.min(F.when(F.col("fault") != NO_END, what)).over(doc).alias("first_bad"),
+            F.min(F.when(F.col("fault") == NO_END, what)).over(doc).alias("first_open"),
+            F.nth_value(F.when(root == 1, F.col("pos")), 2, True).over(ordered_doc).alias("second_root"),
+        ]
+    t = tokens.select("*", *facts)
     well_formed = ~F.col("broken") & (F.col("left_open") == 0) & (F.col("roots") == 1)
-    t = t.where(well_formed & F.col("pos").between(F.col("article.pos"), F.col("article.end_pos")))
+    in_article = well_formed & F.col("pos").between(F.col("article.pos"), F.col("article.end_pos"))
+    if keep_faults:
+        named = lambda pos, kind: F.struct(pos.cast("int").alias("pos"), F.lit(kind).alias("kind"))
+        fault = F.when(
+            ~F.coalesce(well_formed & F.col("article").isNotNull(), F.lit(False)),
+            F.coalesce(
+                "first_bad",
+                "first_open",
+                F.when(F.col("second_root").isNotNull(), named(F.col("second_root"), TWO_ROOTS)),
+                F.when(F.col("roots") == 0, named(F.lit(0), NO_ROOT)),
+                named(F.lit(0), NO_ARTICLE),
+            ),
+        )
+        t = t.withColumn("fault", fault)
+        stands_in = F.col("fault").isNotNull()
+        t = t.where(F.when(stands_in, F.col("pos") == 0).otherwise(in_article))
+        empty = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("end_pos"), F.lit(1).cast("long").alias("depth"))
+        instead = {
+            "article": empty, "is_open": F.lit(False), "is_close": F.lit(False), "is_selfclosing": F.lit(True),
+            "qname": F.lit("article"), "tag": F.lit("article"), "attrs": F.lit(""), "text": F.lit(""),
+            "depth": F.lit(1).cast("long"), "end_pos": F.lit(0), "start_pos": F.lit(0),
+        }
+        t = t.withColumns({k: F.when(stands_in, v).otherwise(F.col(k)) for k, v in instead.items()})
+        t = t.drop("first_bad", "first_open", "second_root")
+    else:
+        t = t.where(in_article).drop("fault")
     t = t.drop("bad", "broken", "left_open", "roots")
 
     own_front = (F.col("qname") == "front") & (F.col("depth") == F.col("article.depth") + 1)
@@ -308,12 +349,13 @@ def xml_elements(scoped: DataFrame, groups=tuple(GROUPS)) -> DataFrame:
     if both:
         columns += described("front_rule", front_rules, "front_")
         t = t.selectExpr("*", f"{first_rule(front_rules)} as front_rule")
+    carried = [c for c in ("fault",) if c in t.columns]
     t = t.selectExpr(
         "doc_id", "pos", "end_pos", "depth", "is_open", "is_close", "is_selfclosing",
-        "text", "hidden", "wrap_level", *columns,
+        "text", "hidden", "wrap_level", *carried, *columns,
         (SECS_HERE if "sections" in groups else "0L") + " as rel",
     )
-    info = list(INFO)
+    info = [*INFO, *carried]
     if both:
         # Alone, the front kind is the kind; next to another one it is carried along.
         alone = "kind is null"
@@ -333,7 +375,7 @@ def xml_elements(scoped: DataFrame, groups=tuple(GROUPS)) -> DataFrame:
         one = "struct(kind, info, flag, text)"
         two = "struct(front_kind as kind, front_info as info, front_flag as flag, whole_text as text)"
         found = found.selectExpr(
-            "doc_id", "pos", "end_pos", "depth", "rel", "wrap_level",
+            "doc_id", "pos", "end_pos", "depth", "rel", "wrap_level", *carried,
             f"inline(if(front_kind is null, array({one}), array({one}, {two})))",
         )
     return found.withColumn("text", normalize_ws(F.col("text"))).withColumn("info", xml_unescape(F.col("info")))
@@ -929,7 +971,23 @@ def xml_articles(payloads: DataFrame) -> DataFrame:
 
     One pass: tokens are made once, and front matter, body and tables are grouped side
     by side, each under its own key, inside the document partitioning."""
-    rows = xml_elements(xml_first_article(markup_tokens(payloads, "xml")), tuple(GROUPS))
+    return _records(xml_first_article(markup_tokens(payloads, "xml")))
+
+
+def xml_article_results(payloads: DataFrame) -> DataFrame:
+    """(doc_id, payload) to one row per payload: the article record of those with an article, for all
+    others no more than fault and fault_pos, what is wrong first and the token where it is. The
+    same single pass; ``xml_articles`` are the rows without a fault."""
+    tokens = markup_tokens(payloads, "xml", keep_blank=True)
+    rows = _records(_scopes(tokens, F.col("qname") == "article", keep_faults=True), {"fault": F.max("fault")})
+    kept = [F.when(F.col("fault").isNull(), F.col(c)).alias(c) for c in ARTICLE_COLUMNS[1:]]
+    return rows.select("doc_id", *kept, F.col("fault.kind").alias("fault"), F.col("fault.pos").alias("fault_pos"))
+
+
+def _records(scoped: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """Article records of scoped tokens, with ``more`` aggregates over front matter."""
+    more = more or {}
+    rows = xml_elements(scoped, tuple(GROUPS))
     rows = _front_columns(_with_parent(rows), tuple(GROUPS))
     rows = _table_columns(_body_columns(rows)).withColumn("date_value", _date_value())
     slot = F.when(_is(*BODY_KINDS), 1).when(_is(*TABLE_KINDS), 2).otherwise(0)
@@ -937,7 +995,7 @@ def xml_articles(payloads: DataFrame) -> DataFrame:
     rows = rows.select("*", slot.alias("slot"), at.alias("at"))
     front = (
         _title_aggs() | _id_aggs() | _journal_aggs() | _category_aggs() | _date_aggs()
-        | _author_aggs() | _keyword_aggs() | _abstract_aggs()
+        | _author_aggs() | _keyword_aggs() | _abstract_aggs() | more
     )
     groups = _with_table(
         _aggregate(rows, front | _section_aggs() | _table_aggs(), "doc_id", "slot", "at")
@@ -992,4 +1050,5 @@ def xml_articles(payloads: DataFrame) -> DataFrame:
         _abstract_text().alias("abstract_text"),
         or_null("keywords"),
         F.when(has_map, F.map_from_arrays("all_keys", texts)).alias("sections"),
+        *more,
     )

@@ -365,17 +365,36 @@ def _staged_stream(spark, df: DataFrame, folder: str) -> DataFrame:
     )
 
 
-def _stream_extract(spark, sf):
+def _streamed(spark, payloads, method):
+    """Articles and errors of a stream of payloads."""
     folder = work_folder(spark)
-    stream = _staged_stream(spark, _jats(spark, sf), folder)
-    streams.stream_extract(stream, f"{folder}/out", f"{folder}/state").awaitTermination()
-    done = spark.read.parquet(f"{folder}/out/articles")
-    failed = spark.read.parquet(f"{folder}/out/errors")
+    stream = _staged_stream(spark, payloads, folder)
+    streams.stream_extract(stream, f"{folder}/out", f"{folder}/state", method).awaitTermination()
+    return spark.read.parquet(f"{folder}/out/articles"), spark.read.parquet(f"{folder}/out/errors")
+
+
+def _stream_extract(spark, sf):
+    done, failed = _streamed(spark, _jats(spark, sf), "Xml")
     return done.select("doc_id", "pmc_id", "title", F.lit(None).cast("string").alias("error")).unionByName(
         failed.select("doc_id", F.lit(None).cast("int").alias("pmc_id"), F.lit(None).cast("string").alias("title"), "error")
     )
 
 
+def _stream_extract_fields(spark, sf):
+    """Whole records and whole error rows."""
+    done, failed = _streamed(spark, _jats(spark, sf), "Xml")
+    return _flat(done.drop("batch_id")).unionByName(failed.drop("batch_id"), allowMissingColumns=True)
+
+
+def _stream_extract_web(spark, sf):
+    done, failed = _streamed(spark, _html(spark, sf), "Web")
+    return _flat(done.drop("batch_id")).unionByName(failed.drop("batch_id"), allowMissingColumns=True)
+
+
+def _article_results(spark, sf):
+    return _flat(X.xml_article_results(_jats(spark, sf)))
+
+
 def _stream_best(spark, sf):
     folder = work_folder(spark)
     stream = _staged_stream(spark, C.versions(C.table(spark, sf, "documents")), folder)
@@ -533,6 +552,7 @@ def jobs() -> dict:
         "xml_full_text_fallback": lambda spark, sf: X.xml_full_text_fallback(
             markup_tokens(_fallback_payloads(spark, sf, "xml"), "xml")
         ),
+        "xml_article_results": _article_results,
         "xml_fragment_tables": _fragment_tables,
         "xml_articles": lambda spark, sf: _flat(X.xml_articles(_jats(spark, sf))),
         **{k: _on_html(v) for k, v in html.items()},
@@ -588,6 +608,8 @@ def jobs() -> dict:
         "rate_gap_audit_live": lambda spark, sf: L.rate_gap_audit(_dense_log(spark, sf), 110, 3),
         "rate_gap_audit_keyed": lambda spark, sf: L.rate_gap_audit(_dense_log(spark, sf), 110, 10),
         "stream_extract": _stream_extract,
+        "stream_extract_fields": _stream_extract_fields,
+        "stream_extract_web": _stream_extract_web,
         "stream_best_version": _stream_best,
         "stream_registry_stats": _stream_stats,
         "stream_registry_latest": _stream_latest,

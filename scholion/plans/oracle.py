@@ -244,6 +244,9 @@ def statements() -> dict[str, str]:
     stats = """SELECT count(*) AS "Total_List", count(*) FILTER (scraped) AS "Total_Scraped",
         count(*) FILTER (success) AS "Total_Success", count(*) FILTER (full_text) AS "Total_Full_Text",
         count(error) AS "Total_Error" FROM registry"""
+    faults = """SELECT doc_id, CASE doc_id % 97 WHEN 5 THEN 'no root' WHEN 6 THEN 'element without end' ELSE 'no article' END AS fault,
+        CASE doc_id % 97 WHEN 6 THEN 3 ELSE 0 END AS fault_pos FROM documents WHERE doc_id % 97 IN (5, 6, 7)"""
+    no_fault = f"{null_text} AS fault, CAST(NULL AS INTEGER) AS fault_pos"
     applied = """
             SELECT CAST(coalesce(r.pmc_id, c.id) AS INTEGER) AS pmc_id,
               c.id IS NOT NULL OR scraped AS scraped,
@@ -328,6 +331,7 @@ def statements() -> dict[str, str]:
         "xml_merge_tables": _plain(MERGED, "SELECT doc_id, ord, key, txt AS text FROM merged"),
         "xml_full_text_fallback": _plain(DOCS, """SELECT doc_id, 'full_text' AS key, array_to_string(ls, ' ') AS text
             FROM docs WHERE doc_id % 2 = 0 AND len(ls) > 0"""),
+        "xml_article_results": _plain(f"{MERGED}, {DATES}", f"SELECT *, {no_fault} FROM ({xml_article}) UNION ALL BY NAME {faults}"),
         "xml_fragment_tables": _plain(DOCS, """
             SELECT doc_id, 1 AS table_no, 'a' AS name, '{"TableName":"a","Description":' || to_json('Outer ' || lang)
               || ',"Colmuns":[],"Data":[' || coalesce((SELECT string_agg('["' || i || '",' || to_json(line) || ']', ',' ORDER BY i)
@@ -441,6 +445,12 @@ def statements() -> dict[str, str]:
             SELECT doc_id, CAST(1000000 + doc_id AS INTEGER) AS pmc_id, ls[1] AS title, {null_text} AS error
             FROM docs WHERE doc_id % 97 NOT IN (5, 6, 7)
             UNION ALL SELECT doc_id, NULL, NULL, 'Extraction failed (Xml)' FROM docs WHERE doc_id % 97 IN (5, 6, 7)"""),
+        "stream_extract_fields": _plain(f"{MERGED}, {DATES}", f"""SELECT *, {null_text} AS error, {no_fault} FROM ({xml_article})
+            UNION ALL BY NAME SELECT *, 'Extraction failed (Xml)' AS error FROM ({faults})"""),
+        "stream_extract_web": _plain(HTML_SECTIONS, f"""SELECT *, {null_text} AS error, {no_fault} FROM ({html_article})
+              WHERE coalesce(title, '') <> ''
+            UNION ALL BY NAME SELECT doc_id, 'Extraction failed (Web)' AS error, 'no title' AS fault, 0 AS fault_pos
+              FROM docs WHERE coalesce({HTML_TITLE}, '') = ''"""),
         "stream_best_version": _plain(VERSIONS, best_select),
         "stream_registry_stats": _plain(REGISTRY, stats),
         # a row without a time never wins against the claimed one

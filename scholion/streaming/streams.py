@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholion.operators.html_articles import html_articles, html_require_title
+from scholion.operators.html_articles import html_article_results
 from scholion.operators.reconcile import best_version
 from scholion.operators.registry import registry_stats
-from scholion.operators.xml_articles import xml_articles
+from scholion.operators.xml_articles import xml_article_results
 from scholion.streaming import snapshot
 
-EXTRACTORS = {"Xml": xml_articles, "Web": lambda p: html_require_title(html_articles(p))}
+EXTRACTORS = {"Xml": xml_article_results, "Web": html_article_results}
 
 
 def payload_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -48,14 +48,16 @@ def _write(df: DataFrame, path: str, batch_id: int) -> None:
 
 def stream_extract(payloads: DataFrame, path: str, checkpoint: str, method: str = "Xml"):
     """Extract arriving payloads (doc_id, payload) into ``path``/articles. Payloads without
-    an article go to ``path``/errors (doc_id, error) and never stop the run."""
+    an article go to ``path``/errors (doc_id, error, fault, fault_pos) and never stop the run.
+    Records and errors come out of one pass over the payloads, a row for each of them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write(EXTRACTORS[method](batch), f"{path}/articles", batch_id)
-        done = batch.sparkSession.read.parquet(f"{path}/articles/batch_id={batch_id}")
-        failed = batch.select("doc_id").join(done.select("doc_id"), "doc_id", "left_anti")
+        results = EXTRACTORS[method](batch).persist()
+        good = F.col("fault").isNull()
+        _write(results.where(good).drop("fault", "fault_pos"), f"{path}/articles", batch_id)
         message = F.lit(f"Extraction failed ({method})").alias("error")
-        _write(failed.select("doc_id", message), f"{path}/errors", batch_id)
+        _write(results.where(~good).select("doc_id", message, "fault", "fault_pos"), f"{path}/errors", batch_id)
+        results.unpersist()
 
     return _run(payloads, write, checkpoint)
 
