@@ -325,7 +325,9 @@ def rate_gap_audit(
     The count is a difference of two running counts: at the dispatch, and one second
     before it. The latter are probe rows in the same chunk, so that a busy second is never
     gathered in one place. A dispatch in the last second of a chunk goes to the next one
-    as well. The log is exchanged once; beside it goes a row per worker and chunk."""
+    as well. The log is exchanged once; beside it goes a row per worker and chunk. Every row of the
+    log is a dispatch and gives a row; repeated ones follow each other at a gap of 0."""
+    log = log.withColumn("row", F.monotonically_increasing_id())
     ts = F.col("ts")
     second = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(1))
     here, after = chunk_at(log, ts, seconds), chunk_at(log, ts + second, seconds)
@@ -336,12 +338,12 @@ def rate_gap_audit(
     own = F.array(entry(CALL, ts, here), entry(PROBE, ts - second, here))
     both = F.concat(own, F.array(entry(EARLIER, ts, after)))
     rows = (
-        log.select("worker", "event_id", "ts", F.explode(F.when(here == after, own).otherwise(both)).alias("e"))
-        .select("worker", "event_id", "ts", "e.*")
+        log.select("worker", "row", "event_id", "ts", F.explode(F.when(here == after, own).otherwise(both)).alias("e"))
+        .select("worker", "row", "event_id", "ts", "e.*")
         .withColumn("is_call", F.when(F.col("kind") == PROBE, 0).otherwise(1))
     )
     # A probe sorts after the calls of its own instant, and so does not count them in.
-    w = W.partitionBy("worker", "chunk").orderBy("at", F.col("is_call").desc(), "event_id")
+    w = W.partitionBy("worker", "chunk").orderBy("at", F.col("is_call").desc(), "event_id", "row")
     call_at = F.when(F.col("is_call") == 1, F.col("at"))
     counted = rows.select(
         "*",
@@ -349,7 +351,10 @@ def rate_gap_audit(
         F.max(call_at).over(w.rowsBetween(W.unboundedPreceding, -1)).alias("before"),
     ).where(F.col("kind") != EARLIER)
     is_call = F.col("kind") == CALL
-    paired = counted.groupBy("worker", "chunk", "event_id", "ts").agg(
+    # A dispatch and its probe come out of one row, so the row's number pairs them.
+    paired = counted.groupBy("worker", "chunk", "row").agg(
+        F.max("event_id").alias("event_id"),
+        F.max("ts").alias("ts"),
         F.sum(F.when(is_call, F.col("count")).otherwise(-F.col("count"))).alias("last_second"),
         F.max(F.when(is_call, F.col("before"))).alias("in_chunk"),
     )

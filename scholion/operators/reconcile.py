@@ -145,23 +145,46 @@ def batch_summary(claims: DataFrame, articles: DataFrame) -> DataFrame:
     )
 
 
-def batch_running_totals(summaries: DataFrame, block: int = 1000) -> DataFrame:
-    """(batch, processed, total_processed): running total over the batches.
-
-    Totals run inside blocks of batch numbers; the sums of the earlier blocks are added
-    from the far smaller block table, so no task sees all batches."""
-    blocks = summaries.select(
-        "batch",
-        F.floor(F.col("batch") / block).alias("block"),
-        F.col("unique").alias("processed"),
+def batch_running_totals(summaries: DataFrame, times: DataFrame | None = None, bits: int = 16) -> DataFrame:
+    """(batch, processed, total_processed): running total over the batches, whose numbers are not
+    negative. With ``times`` (batch, started_at, ended_at) also batch_seconds and elapsed, the
+    minutes from the first start to this batch's end; null where a batch has no times.
+
+    Totals run inside blocks of 2**bits batch numbers, over the sums of the blocks inside blocks of
+    those, and so on up to the only block of the highest level: no window holds more than
+    2**bits rows, however many batches there are."""
+    def upper(c: str) -> Column:
+        return F.shiftright(F.col(c).cast("long"), bits)
+
+    def within(c: str, last: int) -> W:
+        return W.partitionBy(upper(c)).orderBy(c).rowsBetween(W.unboundedPreceding, last)
+
+    rows = summaries.select("batch", F.col("unique").alias("processed"))
+    levels = [rows.groupBy(upper("batch").alias("node")).agg(F.sum("processed").alias("n"))]
+    for _ in range(bits, 63 - bits, bits):
+        levels.append(levels[-1].groupBy(upper("node").alias("node")).agg(F.sum("n").alias("n")))
+    before = None
+    for level in reversed(levels):
+        own = F.coalesce(F.sum("n").over(within("node", -1)), F.lit(0))
+        here = level.select("node", upper("node").alias("above"), own.alias("before"))
+        if before is not None:
+            outer = before.select(F.col("node").alias("above"), F.col("before").alias("outer"))
+            here = here.join(outer, "above").withColumn("before", F.col("before") + F.col("outer"))
+        before = here.select("node", "before")
+    running = rows.select("*", upper("batch").alias("node"), F.sum("processed").over(within("batch", 0)).alias("so_far"))
+    totals = running.join(before, "node").select(
+        "batch", "processed", (F.col("so_far") + F.col("before")).alias("total_processed")
     )
-    sums = blocks.groupBy("block").agg(F.sum("processed").alias("in_block"))
-    earlier = W.orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sums.select(
-        "block", F.coalesce(F.sum("in_block").over(earlier), F.lit(0)).alias("offset")
-    )
-    inner = W.partitionBy("block").orderBy("batch").rowsBetween(W.unboundedPreceding, 0)
-    running = blocks.withColumn("so_far", F.sum("processed").over(inner))
-    return running.join(offsets, "block").select(
-        "batch", "processed", (F.col("so_far") + F.col("offset")).alias("total_processed")
+    if times is None:
+        return totals
+    first = times.agg(F.min("started_at").alias("first_start"))
+    micros = lambda a, b: F.expr(f"timestampdiff(MICROSECOND, {a}, {b})")
+    # a single row
+    timed = totals.join(times, "batch", "left").crossJoin(F.broadcast(first))
+    return timed.select(
+        "batch",
+        "processed",
+        "total_processed",
+        (micros("started_at", "ended_at") / F.lit(1e6)).alias("batch_seconds"),
+        (micros("first_start", "ended_at") / F.lit(6e7)).alias("elapsed"),
     )

@@ -82,6 +82,27 @@ def registry_claim(
     ).drop("place")
 
 
+def registry_claim_sizes(registry: DataFrame, workers: DataFrame, free: Column | None = None, block: int = 1000) -> DataFrame:
+    """Registry rows claimed by ``workers`` (user, size), each as many as its size says, lowest free
+    ids first and workers by name; a worker that is listed twice claims twice. Sizes that are null
+    or not positive claim nothing, and where rows run out the last workers get fewer or none.
+
+    A worker's claim is an interval of ranks. Ranks meet intervals by blocks of ranks, so that the
+    join is by equality; as in ``registry_claim`` only the claimed rows pass the top-k step."""
+    free = is_free() if free is None else free
+    sized = workers.where("size > 0").select(F.col("user").alias("claimed_by"), F.col("size").cast("long").alias("size"))
+    total = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    upto = F.sum("size").over(W.orderBy("claimed_by", "size").rowsBetween(W.unboundedPreceding, 0))
+    spans = sized.select("claimed_by", (upto - F.col("size")).alias("first"), upto.alias("upto"))
+    blocks = F.sequence(F.floor(F.col("first") / block), F.floor((F.col("upto") - 1) / block))
+    spans = spans.select("*", F.explode(blocks).alias("block"))
+    taken = registry.where(free).orderBy("pmc_id").limit(total)
+    ranked = taken.withColumn("place", (F.row_number().over(W.orderBy("pmc_id")) - 1).cast("long"))
+    met = ranked.withColumn("block", F.floor(F.col("place") / block)).join(spans, "block")
+    met = met.where("place >= first and place < upto").withColumn("user", F.col("claimed_by"))
+    return met.select(*registry.columns)
+
+
 def registry_after_claim(registry: DataFrame, claimed: DataFrame) -> DataFrame:
     """New registry with the claims noted."""
     names = claimed.select("pmc_id", F.col("user").alias("claimed_by"))

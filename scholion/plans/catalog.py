@@ -273,6 +273,16 @@ def _batch_summary(spark, sf):
     return R.batch_summary(_claims(spark, sf), _extracted(spark, sf))
 
 
+def _timed_batches(spark, sf):
+    """Batches of fifty events: an id counts once per batch, the first and last event are its times."""
+    events = C.table(spark, sf, "events").withColumn("batch", F.floor(F.col("event_id") / 50))
+    by_batch = events.groupBy("batch")
+    summaries = by_batch.agg(F.countDistinct("user_id").alias("unique"))
+    at = F.col("ts").cast("timestamp_ntz")
+    times = by_batch.agg(F.min(at).alias("started_at"), F.max(at).alias("ended_at"))
+    return R.batch_running_totals(summaries, times)
+
+
 # --- registry ----------------------------------------------------------------------
 
 
@@ -300,6 +310,17 @@ def _registry_claim(spark, sf):
     return claimed.select("pmc_id", "user", "scraped", "full_text")
 
 
+def _registry_claim_sizes(spark, sf):
+    """Every customer is a worker: two in three take web pages, ten at a time, the others fifty
+    articles."""
+    key = F.col("c_custkey")
+    workers = C.table(spark, sf, "customer").select(
+        F.lpad(key.cast("string"), 9, "0").alias("user"), F.when(key % 3 == 0, 50).otherwise(10).alias("size")
+    )
+    claimed = G.registry_claim_sizes(_registry(spark, sf), workers)
+    return claimed.select("pmc_id", "user", "scraped", "full_text")
+
+
 def _registry_after_claim(spark, sf):
     registry = _registry(spark, sf)
     return G.registry_after_claim(registry, G.registry_claim(registry, CLAIM_USERS, 100))
@@ -579,11 +600,13 @@ def jobs() -> dict:
         ),
         "update_items": _update_items,
         "batch_summary": _batch_summary,
-        "batch_running_totals": lambda spark, sf: R.batch_running_totals(_batch_summary(spark, sf), 7),
+        "batch_running_totals": lambda spark, sf: R.batch_running_totals(_batch_summary(spark, sf)),
+        "batch_running_totals_elapsed": _timed_batches,
         "registry_insert": _registry_insert,
         "registry_insert_file": _registry_insert_file,
         "registry_insert_count": lambda spark, sf: G.registry_insert_count(_registry(spark, sf), _new_ids(spark, sf)),
         "registry_claim": _registry_claim,
+        "registry_claim_sizes": _registry_claim_sizes,
         "registry_after_claim": _registry_after_claim,
         "registry_apply_results": _registry_apply,
         "registry_upsert": _registry_upsert,

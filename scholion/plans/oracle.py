@@ -387,6 +387,11 @@ def statements() -> dict[str, str]:
         "batch_summary": _plain(BATCHES, per_batch),
         "batch_running_totals": _plain(BATCHES, f"""SELECT batch, "unique" AS processed,
             sum("unique") OVER (ORDER BY batch) AS total_processed FROM ({per_batch})"""),
+        "batch_running_totals_elapsed": """WITH batches AS (SELECT event_id // 50 AS batch, count(DISTINCT user_id) AS processed,
+              min(ts) AS s, max(ts) AS e FROM events GROUP BY 1)
+            SELECT batch, processed, CAST(sum(processed) OVER (ORDER BY batch) AS BIGINT) AS total_processed,
+              (epoch_us(e) - epoch_us(s)) / 1e6::DOUBLE AS batch_seconds,
+              (epoch_us(e) - epoch_us(min(s) OVER ())) / 6e7::DOUBLE AS elapsed FROM batches""",
         "registry_insert": _plain(REGISTRY, """SELECT pmc_id, scraped, scraped_at, success, success_at, error, error_at,
               usr AS "user", full_text FROM registry
             UNION ALL SELECT DISTINCT CAST(l_orderkey * 2 AS INTEGER), FALSE, CAST(NULL AS TIMESTAMP), FALSE,
@@ -404,6 +409,12 @@ def statements() -> dict[str, str]:
         "registry_claim": _plain(REGISTRY, """SELECT pmc_id, 'w' || ((rn - 1) // 100) AS "user", scraped, full_text
             FROM (SELECT *, row_number() OVER (ORDER BY pmc_id) AS rn FROM registry WHERE usr IS NULL AND NOT scraped)
             WHERE rn <= 800"""),
+        "registry_claim_sizes": _plain(f"""{REGISTRY},
+            free AS (SELECT *, row_number() OVER (ORDER BY pmc_id) AS rn FROM registry WHERE usr IS NULL AND NOT scraped),
+            workers AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS w, CASE WHEN c_custkey % 3 = 0 THEN 50 ELSE 10 END AS size
+              FROM customer),
+            spans AS (SELECT w, size, sum(size) OVER (ORDER BY w) AS upto FROM workers)""", """
+            SELECT pmc_id, w AS "user", scraped, full_text FROM free JOIN spans ON rn > upto - size AND rn <= upto"""),
         "registry_apply_results": _plain(f"{REGISTRY}, {BATCHES}", applied),
         "registry_upsert": _plain(f"{REGISTRY}, {BATCHES}", applied),
         "registry_stats": _plain(REGISTRY, stats),

@@ -105,6 +105,62 @@ def test_rate_audit_on_a_hot_worker(spark):
     assert {r["event_id"]: (r["gap_ms"], r["last_second"]) for r in got} == want
 
 
+def test_rate_audit_of_repeated_rows(spark):
+    """As many rows come out as go in; each is a dispatch of its own."""
+    rows, _ = hot_log(spark)
+    rng = random.Random(6)
+    rows = rows + rng.choices(rows, k=300) + [rows[5]] * 40
+    start = dt.datetime(2024, 1, 1)
+    rows += [(9, e, start, "Success", 900) for e in (7, 7, 8)]
+    log = spark.createDataFrame(rows, "worker int, event_id int, ts timestamp_ntz, outcome string, delay_ms int").repartition(3)
+    want = []
+    for mine in by_worker(rows):
+        for i, r in enumerate(mine):
+            count = sum(1 for s in mine[: i + 1] if s[2] > r[2] - dt.timedelta(seconds=1))
+            gap = None if i == 0 else (r[2] - mine[i - 1][2]) // dt.timedelta(milliseconds=1)
+            want.append((r[0], r[1], -1 if gap is None else gap, count))
+    for seconds in (1, 3600):
+        got = L.rate_gap_audit(log, seconds=seconds).collect()
+        assert sorted((r.worker, r.event_id, -1 if r.gap_ms is None else r.gap_ms, r.last_second) for r in got) == sorted(want)
+
+
+@pytest.mark.parametrize("bits", [4, 16])
+def test_running_totals_over_far_batches(spark, bits):
+    rng = random.Random(bits)
+    batches = sorted({rng.randrange(2 ** rng.choice([3, 9, 20, 40, 62])) for _ in range(300)} | {0})
+    rows = [(b, rng.randint(0, 9)) for b in batches]
+    times = [(b, dt.datetime(2024, 1, 1, 0, i // 60, i % 60), dt.datetime(2024, 1, 1, 1, i // 60, i % 60)) for i, b in enumerate(batches)][5:]
+    summaries = spark.createDataFrame(rows, "batch long, unique long")
+    timed = spark.createDataFrame(times, "batch long, started_at timestamp_ntz, ended_at timestamp_ntz")
+    if bits == 4:
+        got = {r.batch: (r.processed, r.total_processed) for r in R.batch_running_totals(summaries, bits=13).collect()}
+    else:
+        found = {r.batch: r for r in R.batch_running_totals(summaries, timed).collect()}
+        got = {b: (r.processed, r.total_processed) for b, r in found.items()}
+        assert found[batches[0]].elapsed is None and found[batches[5]].batch_seconds == 3600.0
+        assert abs(found[batches[65]].elapsed - 61.0) < 1e-9
+    total, want = 0, {}
+    for b, n in rows:
+        total += n
+        want[b] = (n, total)
+    assert got == want
+    assert R.batch_running_totals(summaries.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [1, 7, 1000])
+def test_claims_of_uneven_sizes(spark, block):
+    registry = G.registry_insert(spark.createDataFrame([], G.REGISTRY_SCHEMA), spark.range(100, 160).select(F.col("id").cast("int").alias("pmc_id")))
+    sizes = [("b", 25), ("a", 3), ("a", 3), ("c", 0), ("d", None), ("e", -4), ("f", 1), ("g", 40), ("h", 5), ("i", 2)]
+    workers = spark.createDataFrame(sizes, "user string, size int")
+    got = {r.pmc_id: r.user for r in G.registry_claim_sizes(registry, workers, block=block).collect()}
+    line = [u for u, n in sorted(((u, n) for u, n in sizes if n and n > 0)) for _ in range(n)]
+    assert got == dict(zip(range(100, 160), line))
+    assert set(got.values()) == {"a", "b", "f", "g"}  # rows ran out
+    many = spark.range(500).select(F.format_string("%04d", "id").alias("user"), F.lit(1).alias("size"))
+    assert sorted(r.user for r in G.registry_claim_sizes(registry, many, block=block).collect()) == [f"{i:04d}" for i in range(60)]
+    assert G.registry_claim_sizes(registry, workers.limit(0)).count() == 0
+
+
 def loop_keys(titles, grow):
     keys, n = [], 1
     for title in titles:
