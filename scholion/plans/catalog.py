@@ -14,7 +14,7 @@ from scholion.operators import html_articles as H
 from scholion.operators import reconcile as R
 from scholion.operators import registry as G
 from scholion.operators import xml_articles as X
-from scholion.operators.tokens import markup_tokens
+from scholion.operators.tokens import large_markup_tokens, markup_tokens
 from scholion.plans import corpus as C
 from scholion.session import checkpoint_root, tuned
 from scholion.sources import readers, writers
@@ -80,6 +80,33 @@ def _token_counts(spark, sf):
     )
 
 
+def _line_payloads(spark, sf):
+    """Article sets of one section per line of a document, where the place of every token follows
+    from the line's number."""
+    def section(line, i):
+        inside = F.concat(F.lit("<title>T</title>"), C.element("p", line, "<xref>9</xref>"), F.lit("<br/></sec>"))
+        return F.concat(F.lit('<sec n="'), (i + 1).cast("string"), F.lit('">'), inside)
+
+    secs = F.array_join(F.transform("lines", section), "")
+    article = C.element("article", "<front/>", C.element("body", secs))
+    return C.with_lines(C.table(spark, sf, "documents")).select("doc_id", C.element("set", article, "<article/>").alias("payload"))
+
+
+def _all_tokens(spark, sf):
+    return markup_tokens(_line_payloads(spark, sf))
+
+
+def _range_tokens(spark, sf):
+    """The same by ranges of 300 characters, so that nearly every payload has several."""
+    return large_markup_tokens(_line_payloads(spark, sf), 300)
+
+
+def _scoped_tokens(spark, sf):
+    t = X.xml_first_article(_all_tokens(spark, sf))
+    place = [F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("article", "front", "body") for c in ("pos", "end_pos")]
+    return t.select("doc_id", "pos", "qname", *place, "front_level", "wrap_level", "secs", "hidden", "structural")
+
+
 def _first_article(spark, sf):
     t = X.xml_first_article(_xml_tokens(spark, sf))
     return t.groupBy("doc_id").agg(
@@ -567,7 +594,11 @@ def jobs() -> dict:
         "sink_update_payload": _update_payload,
         "submit_bundle": _submit_bundle,
         "markup_tokens": _token_counts,
+        "markup_tokens_columns": _all_tokens,
+        "markup_tokens_ranges": _range_tokens,
         "xml_first_article": _first_article,
+        "xml_first_article_scopes": _scoped_tokens,
+        "xml_prose_lines": lambda spark, sf: X.xml_prose_text(_all_tokens(spark, sf), "p"),
         "xml_prose_text": _prose,
         **{k: _on_xml(v) for k, v in xml.items()},
         "xml_full_text_fallback": lambda spark, sf: X.xml_full_text_fallback(

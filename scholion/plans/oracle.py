@@ -119,6 +119,24 @@ named AS (
 final AS (
   SELECT doc_id, key, min(seq) AS seq, arg_max(txt, seq) AS txt FROM named GROUP BY 1, 2)"""
 
+# Tokens of a set with one article of a section of nine tokens per line, and one empty article.
+# kind: 1 opens, 2 is empty, 3 closes; a and b are the places of its element's two tags.
+LINE_TOKENS = f"""{DOCS},
+shape AS (SELECT doc_id, ls, len(ls) AS n FROM docs),
+listed AS (SELECT doc_id, n, 9 * i - 5 AS base, i, line FROM shape, unnest(ls) WITH ORDINALITY AS t(line, i)),
+tokens AS (
+  SELECT doc_id, n, base + k AS pos, kind, qname, CASE WHEN qname = 'sec' THEN ' n="' || i || '"' ELSE '' END AS attrs,
+    CASE k WHEN 1 THEN 'T' WHEN 3 THEN line WHEN 4 THEN '9' ELSE '' END AS text, depth, base + a AS a, base + b AS b, k
+  FROM listed, (VALUES (0, 1, 'sec', 4, 0, 8), (1, 1, 'title', 5, 1, 2), (2, 3, 'title', 5, 1, 2), (3, 1, 'p', 5, 3, 6),
+    (4, 1, 'xref', 6, 4, 5), (5, 3, 'xref', 6, 4, 5), (6, 3, 'p', 5, 3, 6), (7, 2, 'br', 5, 7, 7), (8, 3, 'sec', 4, 0, 8))
+    AS t(k, kind, qname, depth, a, b)
+  UNION ALL
+  SELECT doc_id, n, CASE WHEN k < 4 THEN k ELSE 9 * n + k END, kind, qname, '', '', depth,
+    CASE WHEN k = 6 THEN 9 * n + 6 ELSE a END, CASE WHEN b < 4 THEN b ELSE 9 * n + b END, NULL
+  FROM shape, (VALUES (0, 1, 'set', 1, 0, 7), (1, 1, 'article', 2, 1, 5), (2, 2, 'front', 3, 2, 2), (3, 1, 'body', 3, 3, 4),
+    (4, 3, 'body', 3, 3, 4), (5, 3, 'article', 2, 1, 5), (6, 2, 'article', 2, 6, 6), (7, 3, 'set', 1, 0, 7))
+    AS t(k, kind, qname, depth, a, b))"""
+
 VERSIONS = f"""{DOCS},
 versions AS (
   SELECT doc_id, CAST(doc_id // 3 AS INTEGER) AS pmc_id, ls, lang, source, n_chars,
@@ -244,6 +262,9 @@ def statements() -> dict[str, str]:
     stats = """SELECT count(*) AS "Total_List", count(*) FILTER (scraped) AS "Total_Scraped",
         count(*) FILTER (success) AS "Total_Success", count(*) FILTER (full_text) AS "Total_Full_Text",
         count(error) AS "Total_Error" FROM registry"""
+    line_tokens = f"""SELECT doc_id, CAST(pos AS INTEGER) AS pos, kind = 1 AS is_open, kind = 3 AS is_close,
+        kind = 2 AS is_selfclosing, qname, qname AS tag, attrs, text, depth, CASE WHEN kind < 3 THEN CAST(b AS INTEGER) END AS end_pos,
+        CAST(a AS INTEGER) AS start_pos, FALSE AS bad, {null_text} AS fault FROM tokens"""
     faults = """SELECT doc_id, CASE doc_id % 97 WHEN 5 THEN 'no root' WHEN 6 THEN 'element without end' ELSE 'no article' END AS fault,
         CASE doc_id % 97 WHEN 6 THEN 3 ELSE 0 END AS fault_pos FROM documents WHERE doc_id % 97 IN (5, 6, 7)"""
     no_fault = f"{null_text} AS fault, CAST(NULL AS INTEGER) AS fault_pos"
@@ -294,6 +315,15 @@ def statements() -> dict[str, str]:
             FROM parts
             UNION ALL SELECT doc_id, 6, 3, 0, 0, 3, 0 FROM documents WHERE doc_id % 97 = 6
             UNION ALL SELECT doc_id, 7, 2, 2, 0, 2, 0 FROM documents WHERE doc_id % 97 = 7"""),
+        "markup_tokens_columns": _plain(LINE_TOKENS, line_tokens),
+        "markup_tokens_ranges": _plain(LINE_TOKENS, line_tokens),
+        "xml_first_article_scopes": _plain(LINE_TOKENS, """SELECT doc_id, CAST(pos AS INTEGER) AS pos, qname,
+              1 AS article_pos, CAST(9 * n + 5 AS INTEGER) AS article_end_pos, 2 AS front_pos, 2 AS front_end_pos, 3 AS body_pos,
+              CAST(9 * n + 4 AS INTEGER) AS body_end_pos, 0 AS front_level, 0 AS wrap_level,
+              CASE WHEN k < 8 THEN 1 ELSE 0 END AS secs, CASE WHEN k = 4 THEN 1 ELSE 0 END AS hidden,
+              coalesce(k NOT IN (4, 5), FALSE) AS structural
+            FROM tokens WHERE pos BETWEEN 1 AND 9 * n + 5"""),
+        "xml_prose_lines": _plain(LINE_TOKENS, "SELECT doc_id, CAST(pos AS INTEGER) AS element, text FROM tokens WHERE qname = 'p' AND kind = 1"),
         "xml_first_article": _plain(f"{GOOD}, {CHUNKS}", """
             SELECT g.doc_id, 1 + chunks + count(*) FILTER (nested) AS n_sec, 1 AS n_article
             FROM good g LEFT JOIN secs s USING (doc_id) GROUP BY g.doc_id, chunks"""),
