@@ -29,12 +29,27 @@ def work_folder(spark: SparkSession) -> str:
     return f"{checkpoint_root(spark)}/work-{uuid.uuid4()}"
 
 
+#: Where the payloads of a data folder were written, by session, folder and builder.
+_PAYLOADS: dict[tuple[str, str, str], str] = {}
+
+
+def _payloads(spark, sf, build) -> DataFrame:
+    """Payloads built from the documents, written once per session: as for anyone who has payloads,
+    the jobs begin with reading them and not with making them."""
+    key = (spark.sparkContext.applicationId, sf, build.__name__)
+    if key not in _PAYLOADS:
+        folder = work_folder(spark)
+        build(C.table(spark, sf, "documents")).write.parquet(folder)
+        _PAYLOADS[key] = folder
+    return spark.read.parquet(_PAYLOADS[key])
+
+
 def _jats(spark, sf):
-    return C.jats_payloads(C.table(spark, sf, "documents"))
+    return _payloads(spark, sf, C.jats_payloads)
 
 
 def _html(spark, sf):
-    return C.html_payloads(C.table(spark, sf, "documents"))
+    return _payloads(spark, sf, C.html_payloads)
 
 
 def _xml_tokens(spark, sf):
@@ -252,7 +267,7 @@ def _claims(spark, sf):
 
 
 def _extracted(spark, sf):
-    return C.extracted(C.table(spark, sf, "documents"))
+    return C.extracted(C.table(spark, sf, "documents"), _jats(spark, sf))
 
 
 def _best(spark, sf):

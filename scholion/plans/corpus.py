@@ -326,12 +326,10 @@ def claims(labels: DataFrame) -> DataFrame:
     )
 
 
-def extracted(documents: DataFrame) -> DataFrame:
+def extracted(documents: DataFrame, payloads: DataFrame) -> DataFrame:
     """Articles that came out of the claims: one per document whose payload holds a whole
     article. The builder makes some payloads blank, cut off or without an article."""
-    # An aggregate, as a plain filter would be pushed into the builder and build payloads twice.
-    ends = F.max(F.col("payload").contains("</article>"))
-    whole = jats_payloads(documents).groupBy(F.col("doc_id").alias("arrival")).agg(ends.alias("ends")).where("ends")
+    whole = payloads.where(F.col("payload").contains("</article>")).select(F.col("doc_id").alias("arrival"))
     kept = versions(documents).join(whole, "arrival", "left_semi")
     return kept.withColumn("pmc_id", F.col("arrival").cast("int")).withColumn(
         "batch", F.floor(F.col("arrival") / 50).cast("int")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -55,10 +55,3 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
     return root
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write the rows once to the shared folder, so that every reader sees the same
-    partitions even after executors were lost."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
