@@ -95,7 +95,8 @@ def render(messages: DataFrame) -> DataFrame:
 def read_back(formatted: DataFrame) -> DataFrame:
     """conv_id, formatted, loss_spans -> the turns (role, text) and the text under the loss mask,
     both taken from the formatted string alone."""
-    turn = r"(?s)^((?:\\.|[^\\\n])*)\n(.*)<\|im_end\|>\n$"
+    # possessive, as a repeated alternation makes the regular expression engine recur
+    turn = r"(?s)^([^\\\n]*+(?:\\.[^\\\n]*+)*+)\n(.*)<\|im_end\|>\n$"
     segments = F.split("formatted", r"<\|im_start\|>", -1)
     parts = F.slice(segments, 2, F.size(segments))
     turns = F.transform(

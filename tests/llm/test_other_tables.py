@@ -191,6 +191,14 @@ def test_chats_read_back(spark, monkeypatch):
         assert not re.search(r"</?s>|\[/?INST|<\||<<", inside)
 
 
+@pytest.mark.parametrize("part", ["r", "\\", "\n", "a\\"])
+def test_very_long_roles_and_texts(spark, part):
+    long = part * (1_000_000 // len(part))
+    rows = spark.createDataFrame([(1, 0, long, "x"), (1, 1, "assistant", long)], "conv_id long, turn long, role string, text string")
+    back = chat.read_back(chat.format_chats(chat.rows_as_events(rows))).first()
+    assert [tuple(t) for t in back.turns] == [(long, "x"), ("assistant", long)] and back.loss_text == long
+
+
 def test_given_chats(spark):
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
