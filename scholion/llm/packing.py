@@ -14,21 +14,31 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scholion.llm.common import byte_bounded
+
 MAX_LENGTH = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 
-#: Entries of a worker's tables of chunks and of words; at these numbers they start anew.
-KNOWN_CHUNKS = 250_000
-KNOWN_WORDS = 400_000
+#: Bytes of a worker's tables of chunks and of words, keys and values with what Python adds to
+#: each entry; beyond them a table starts anew. Longer chunks are encoded each time.
+CHUNK_BYTES = 160 << 20
+WORD_BYTES = 160 << 20
+ENTRY_BYTES = 200
+LONGEST_KNOWN = 200
+
+#: Texts that are encoded at once, and characters of them; a longer text is cut at white space.
+TEXTS, CHARACTERS = 500, 1 << 22
 
 #: A chunk of these letters and then these marks is encoded as two words.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#*$%&|()-]*)")
+SPACE = re.compile(r"[ \n\t\r]")
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, bucket int, sequence_id long, offset long"
@@ -50,6 +60,7 @@ class ChunkEncoder:
             self.word_end[i] = token.endswith("</w>")
         self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {"": b""}
+        self.chunk_bytes = self.word_bytes = 0
 
     def _learn_words(self, words: list[str]) -> None:
         import numpy as np
@@ -59,44 +70,100 @@ class ChunkEncoder:
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.word_end[ids]) + 1
             if len(ends) != len(part):  # a mark that is no word of its own: one by one
-                for word in part:
-                    self.words[word] = self._plainly(word)
-                continue
-            raw, begin = ids.tobytes(), 0
-            for word, end in zip(part, (4 * ends).tolist(), strict=True):
-                self.words[word] = raw[begin:end]
-                begin = end
+                found = [self._plainly(word) for word in part]
+            else:
+                raw, ends = ids.tobytes(), (4 * ends).tolist()
+                found = [raw[begin:end] for begin, end in zip([0, *ends], ends)]
+            self.words.update(zip(part, found, strict=True))
+            self.word_bytes += sum(map(len, part)) + sum(map(len, found)) + ENTRY_BYTES * len(part)
 
     def _plainly(self, chunk: str) -> bytes:
         import numpy as np
 
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, chunks: set[str]) -> None:
-        split = {c: m.groups() for c in chunks if (m := PLAIN.fullmatch(c))}
-        wanted = {w for letters, marks in split.values() for w in (letters.lower(), marks)}
-        self._learn_words([w for w in wanted if w not in self.words])
+    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that the table does not hold; it takes those that are not very long."""
+        known, found, later, unknown = self.words.get, {}, [], set()
+        split = PLAIN.fullmatch
         for chunk in chunks:
-            if parts := split.get(chunk):
-                self.chunks[chunk] = self.words[parts[0].lower()] + self.words[parts[1]]
+            parts = split(chunk) if len(chunk) <= LONGEST_KNOWN else None
+            if parts is None:
+                found[chunk] = self._plainly(chunk)
+                continue
+            letters, marks = parts.groups()
+            letters = letters.lower()
+            first, rest = known(letters), known(marks)
+            if first is None or rest is None:
+                later.append((chunk, letters, marks))
+                unknown.update(w for w, ids in ((letters, first), (marks, rest)) if ids is None)
             else:
-                self.chunks[chunk] = self._plainly(chunk)
+                found[chunk] = first + rest
+        self._learn_words(list(unknown))
+        words = self.words
+        for chunk, letters, marks in later:
+            found[chunk] = words[letters] + words[marks]
+        kept = found if max(map(len, found)) <= LONGEST_KNOWN else {c: i for c, i in found.items() if len(c) <= LONGEST_KNOWN}
+        self.chunks.update(kept)
+        self.chunk_bytes += sum(map(len, kept)) + sum(map(len, kept.values())) + ENTRY_BYTES * len(kept)
+        return found
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        if self.chunk_bytes > CHUNK_BYTES:
+            self.chunks, self.chunk_bytes = {"": b""}, 0
+        if self.word_bytes > WORD_BYTES:
+            self.words, self.word_bytes = {"": b""}, 0
+        known = self.chunks.get
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        found = [list(map(known, chunks)) for chunks in split]
+        gaps, new = [], set()
+        for chunks, ids in zip(split, found, strict=True):
+            if None in ids:
+                holes = [i for i, v in enumerate(ids) if v is None]
+                gaps.append((chunks, ids, holes))
+                new.update(map(chunks.__getitem__, holes))
+        if new:
+            learned = self._learn(new)
+            for chunks, ids, holes in gaps:
+                for i in holes:
+                    ids[i] = learned[chunks[i]]
+        return [b"".join(ids) for ids in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        if len(self.chunks) > KNOWN_CHUNKS:
-            self.chunks = {"": b""}
-        if len(self.words) > KNOWN_WORDS:
-            self.words = {"": b""}
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new: set[str] = set()
-        for chunks in split:
-            new.update(chunks)
-        new.difference_update(self.chunks)
-        if new:
-            self._learn(new)
-        known = self.chunks.__getitem__
-        return [b"".join(map(known, chunks)) for chunks in split]
+        if sum(map(len, texts)) <= 2 * CHARACTERS:
+            return self._encode(texts)
+        return [b"".join(ids for part in segments(t) for ids in self._encode([part])) for t in texts]
+
+
+def segments(text: str, size: int = CHARACTERS) -> Iterator[str]:
+    """The text in parts that begin at white space, which the tokenizer drops."""
+    at = 0
+    while len(text) - at > size:
+        space = SPACE.search(text, at + size)
+        if not space:
+            break
+        yield text[at : space.start()]
+        at = space.start()
+    yield text[at:] if at else text
+
+
+def grouped(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of some rows at a time: few enough, or one very long text."""
+    ids: list = []
+    texts: list[str] = []
+    size = 0
+    for at in range(0, batch.num_rows, TEXTS):
+        part = batch.slice(at, TEXTS).to_pydict()
+        for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
+            if texts and (len(texts) >= TEXTS or size + len(text) > CHARACTERS):
+                yield ids, texts
+                ids, texts, size = [], [], 0
+            ids.append(doc_id)
+            texts.append(text)
+            size += len(text)
+    if texts:
+        yield ids, texts
 
 
 def encoder(path: str) -> ChunkEncoder:
@@ -122,7 +189,8 @@ def pack_documents(
     ids are documents like any other, extra columns are ignored, an empty table gives no rows.
     sequence_id holds the partition in its upper bits and a running number in its lower 33, so
     it is unique without a pass over all pieces; a recomputed partition gives the same ids.
-    One pass, no exchange; a task holds 500 documents' ids at a time.
+    One pass, no exchange; a task holds the ids of at most 500 documents and some four million
+    characters at a time, or those of one longer document.
     """
     if max_length & (max_length - 1) or max_length < 1:
         raise ValueError("max_length must be a power of two")
@@ -135,20 +203,19 @@ def pack_documents(
         encode = encoder(name or public_tokenizers.path(TOKENIZER)).encode
         end, number = end_id.to_bytes(4, "little"), TaskContext.get().partitionId() << 33
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500).to_pydict()
+            for doc_ids, texts in grouped(batch):
                 rows: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids", "doc_tokens", "bucket")}
-                for doc_id, ids in zip(part["doc_id"], encode(part["text"]), strict=True):
+                for doc_id, ids in zip(doc_ids, encode(texts), strict=True):
                     ids += end
-                    start, n = 0, len(ids) // 4
-                    for length in binary_lengths(n, max_length):
-                        rows["doc_id"].append(doc_id)
-                        rows["start"].append(start)
-                        rows["length"].append(length)
-                        rows["ids"].append(ids[4 * start : 4 * (start + length)])
-                        rows["doc_tokens"].append(n)
-                        rows["bucket"].append(length.bit_length() - 1)
-                        start += length
+                    n = len(ids) // 4
+                    lengths = binary_lengths(n, max_length)
+                    starts = list(accumulate(lengths, initial=0))[:-1]
+                    rows["doc_id"] += [doc_id] * len(lengths)
+                    rows["start"] += starts
+                    rows["length"] += lengths
+                    rows["ids"] += [ids[4 * a : 4 * (a + n)] for a, n in zip(starts, lengths, strict=True)]
+                    rows["doc_tokens"] += [n] * len(lengths)
+                    rows["bucket"] += [n.bit_length() - 1 for n in lengths]
                 made = len(rows["length"])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows[k], pa.int64()) for k in ("doc_id", "start", "length")]
@@ -159,6 +226,7 @@ def pack_documents(
                 )
                 number += made
 
+    byte_bounded(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return narrow.mapInArrow(pieces, PIECES)
 

@@ -76,6 +76,31 @@ def test_pieces_are_the_documents_ids(which, request):
     assert got == want and not open_doc
 
 
+def test_tables_and_segments_at_their_bounds(monkeypatch):
+    """Tables that start anew, very long chunks and texts in segments give the tokenizer's ids."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    rng = random.Random(2)
+    alphabet = ["a", "B", "é", "ß", ".", "##", "\u00a0", "日本", "\u2003", "1", "-", "İ", "ing", "the", "x" * 300]
+    word = lambda: "".join(rng.choices(alphabet, k=rng.randint(1, 4)))
+    texts = ["".join(word() + rng.choice([" ", "  ", "\n", "\t", "\r\n"]) for _ in range(rng.randint(0, 80))) for _ in range(150)]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    ids = lambda raw: [int.from_bytes(raw[i : i + 4], "little") for i in range(0, len(raw), 4)]
+    for chunk_bytes, characters in ((0, 1 << 22), (5000, 7), (160 << 20, 50)):
+        monkeypatch.setattr(packing, "CHUNK_BYTES", chunk_bytes)
+        monkeypatch.setattr(packing, "WORD_BYTES", chunk_bytes)
+        monkeypatch.setattr(packing, "CHARACTERS", characters)
+        monkeypatch.setattr(packing.segments, "__defaults__", (characters,))
+        encoder = packing.ChunkEncoder(path)
+        got = [raw for at in range(0, len(texts), 20) for raw in encoder.encode(texts[at : at + 20])]
+        assert [ids(raw) for raw in got] == want
+
+
 def test_binary_lengths():
     for n in (1, 2, 3, 4095, 4096, 4097, 12_345, 20_000):
         parts = packing.binary_lengths(n)
