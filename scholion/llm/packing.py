@@ -26,8 +26,10 @@ MAX_LENGTH = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 
-#: Bytes of a worker's tables of chunks and of words, keys and values with what Python adds to
-#: each entry; beyond them a table starts anew. Longer chunks are encoded each time.
+#: Entries and bytes of a worker's tables of chunks and of words, keys and values with what Python
+#: adds to each entry; beyond either a table starts anew. Longer chunks are encoded each time.
+KNOWN_CHUNKS = 1_000_000
+KNOWN_WORDS = 1_000_000
 CHUNK_BYTES = 160 << 20
 WORD_BYTES = 160 << 20
 ENTRY_BYTES = 200
@@ -109,9 +111,9 @@ class ChunkEncoder:
         return found
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if self.chunk_bytes > CHUNK_BYTES:
+        if self.chunk_bytes > CHUNK_BYTES or len(self.chunks) > KNOWN_CHUNKS:
             self.chunks, self.chunk_bytes = {"": b""}, 0
-        if self.word_bytes > WORD_BYTES:
+        if self.word_bytes > WORD_BYTES or len(self.words) > KNOWN_WORDS:
             self.words, self.word_bytes = {"": b""}, 0
         known = self.chunks.get
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
