@@ -187,32 +187,68 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return postings.select("key", kinds.alias("kinds")).where(F.size("kinds") > 0)
 
 
-def _matches(text: str, rule: Rule) -> Column:
-    """array of struct(start, end) in code points, from the pieces between the matches."""
+#: Elements of an array that one fold goes over, and characters of a piece of text.
+FOLD = 256
+PIECE = 512
+
+
+def _once(value: Column, body) -> Column:
+    """body(value), with the value computed once whatever the uses."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(numbers: Column, join) -> Column:
+    """Each number joined with all before it, for join = sum or greatest. Folds that append copy
+    what they have, so they go over blocks, and the blocks' last values over each other."""
+
+    def fold(part, last):
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+        step = lambda s, v: _once(
+            join(s["at"], last(v)), lambda at: F.struct(at.alias("at"), F.array_append(s["all"], at).alias("all"))
+        )
+        return F.aggregate(part, zero, step, lambda s: s["all"])
+
+    def of_blocks(blocks):
+        # a block's offset is the running value at the end of the block before
+        ends = F.concat(F.array(F.lit(0)), fold(blocks, lambda b: F.element_at(b, -1)))
+        return F.flatten(F.zip_with(blocks, F.slice(ends, 1, F.size(blocks)), lambda b, at: F.transform(b, lambda v: join(v, at))))
+
+    def of_numbers(all_numbers):
+        n = F.size(all_numbers)
+        cut = lambda i: fold(F.slice(all_numbers, i * FOLD + 1, FOLD), lambda v: v)
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / FOLD).cast("int")), cut)
+        return F.when(n > 0, _once(blocks, of_blocks)).otherwise(F.array().cast("array<int>"))
+
+    return _once(numbers, of_numbers)
+
+
+def rule_spans(text: str, rule: Rule, rank: int) -> Column:
+    """array of struct(start, rank, end, kind) in code points, from the lengths of the pieces
+    between the matches; in time near to the number of matches."""
     quoted = rule.pattern.replace("\\", "\\\\").replace("'", "\\'")
-    matches = f"transform(regexp_extract_all({text}, '{quoted}', 0), m -> struct(m, m as g))"
+    matches = f"transform(regexp_extract_all({text}, '{quoted}', 0), m -> struct(length(m) as m, length(m) as g))"
     if rule.group:
         groups = f"regexp_extract_all({text}, '{quoted}', {rule.group})"
-        matches = f"zip_with(regexp_extract_all({text}, '{quoted}', 0), {groups}, (m, g) -> struct(m, g))"
+        matches = f"zip_with(regexp_extract_all({text}, '{quoted}', 0), {groups}, (m, g) -> struct(length(m) as m, length(g) as g))"
     # the last piece has no match after it
-    return F.expr(
-        f"""aggregate(
-            zip_with(split({text}, '{quoted}', -1), {matches}, (p, x) -> struct(p, x.m as m, x.g as g)),
-            struct(0 as at, cast(array() as array<struct<start:int, end:int>>) as spans),
-            (s, x) -> if(x.m is null, s, struct(
-                s.at + length(x.p) + length(x.m) as at,
-                if(length(x.g) >= {rule.least},
-                    array_append(s.spans, struct(s.at + length(x.p) as start, s.at + length(x.p) + length(x.m) as end)),
-                    s.spans) as spans)),
-            s -> s.spans)"""
+    found = F.expr(
+        f"""filter(
+            zip_with(split({text}, '{quoted}', -1), {matches}, (p, x) -> struct(length(p) + x.m as step, x.m as m, x.g as g)),
+            x -> x.m is not null)"""
     )
 
+    def placed(x):
+        spans = F.zip_with(
+            x,
+            _running(F.transform(x, lambda v: v["step"]), lambda a, b: a + b),
+            lambda v, end: F.struct(
+                (end - v["m"]).alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind"), v["g"].alias("g")
+            ),
+        )
+        kept = F.filter(spans, lambda s: s["g"] >= rule.least) if rule.least else spans
+        return F.transform(kept, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"]))
 
-def rule_spans(text: str, rule: Rule, rank: int) -> Column:
-    return F.transform(
-        _matches(text, rule),
-        lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(rule.kind).alias("kind")),
-    )
+    return _once(found, placed)
 
 
 SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
@@ -249,9 +285,32 @@ def listed(spans: Column) -> Column:
 
 
 def redacted(scanned: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """Rows of scan_secrets with every span, and what overlaps it, replaced by the mark."""
-    cover = f"""aggregate(spans, struct(0 as at, '' as out),
-        (s, x) -> if(x.end <= s.at, s, struct(x.end as at,
-            if(x.start >= s.at, concat(s.out, substring(text, s.at + 1, x.start - s.at), '{mark}'), s.out) as out)),
-        s -> concat(s.out, substring(text, s.at + 1)))"""
-    return scanned.withColumn("text", F.when(F.size("spans") > 0, F.expr(cover)).otherwise(F.col("text")))
+    """Rows of scan_secrets with every span, and what overlaps it, replaced by the mark. The text
+    is cut into pieces once, so that what stands between two spans is found in a few of them."""
+
+    def between(pieces, start, end):
+        """The text from start to end, empty if they are the wrong way round."""
+        first, last = F.floor(start / PIECE).cast("int"), F.floor((end - 1) / PIECE).cast("int")
+        some = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+        return F.when(end > start, F.substring(some, start % PIECE + 1, end - start)).otherwise(F.lit(""))
+
+    def marked(covered):
+        """covered: the pieces, and each span with the end of all spans up to it and before it."""
+        pieces, spans = covered["pieces"], covered["spans"]
+        out = F.transform(
+            spans, lambda s: F.when(s["start"] >= s["before"], F.concat(between(pieces, s["before"], s["start"]), F.lit(mark))).otherwise("")
+        )
+        return F.concat(F.array_join(out, ""), between(pieces, F.element_at(spans, -1)["upto"], F.length("text")))
+
+    ends = _running(F.transform("spans", lambda s: s["end"]), F.greatest)
+    spans = _once(
+        ends,
+        lambda e: F.zip_with(
+            F.zip_with("spans", e, lambda s, upto: F.struct(s["start"].alias("start"), upto.alias("upto"))),
+            F.concat(F.array(F.lit(0)), F.slice(e, 1, F.size(e) - 1)),
+            lambda s, before: F.struct(s["start"].alias("start"), s["upto"].alias("upto"), before.alias("before")),
+        ),
+    )
+    pieces = F.expr(f"regexp_extract_all(text, '(?s).{{1,{PIECE}}}', 0)")
+    clean = _once(F.struct(pieces.alias("pieces"), spans.alias("spans")), marked)
+    return scanned.withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(F.col("text")))
