@@ -212,12 +212,14 @@ def train(counts: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Rules:
     )
     order = F.xxhash64("doc_id")
     picked = written(known.withColumn("order", order).orderBy("order", "doc_id").limit(sample).select("doc_id", "quality", "order"))
+    # of an id with several texts the least row, so that a rerun learns the same
+    least = F.min(F.struct("quality", "order", *(F.expr(SHARES.get(c, c)).alias(c) for c in FEATURES))).alias("least")
     rows = (
-        counts.join(F.broadcast(picked), "doc_id")  # at most `sample` rows
-        .select("doc_id", "quality", F.pmod("order", F.lit(3)).alias("fold"), "n_words", *(F.expr(e).alias(n) for n, e in SHARES.items()))
-        .dropDuplicates(["doc_id"])
+        counts.join(F.broadcast(picked), "doc_id")  # at most `sample` ids
+        .groupBy("doc_id")
+        .agg(least)
+        .select("doc_id", "least.quality", F.pmod("least.order", F.lit(3)).alias("fold"), *(f"least.{c}" for c in FEATURES))
         .orderBy("doc_id")
-        .limit(sample)
         .collect()
     )
     if not rows:
