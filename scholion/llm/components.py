@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholion.llm.common import written
+from scholion.llm.common import broadcast_if_small, written
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("a").agg(F.min("b").alias("m"))
+    """One row per upper end, as a table: the join with it has bare exchanges on both sides."""
+    return written(edges.groupBy("a").agg(F.min("b").alias("m")))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = _smallest(both).select("a", F.least("a", "m").alias("m"))
-    return both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return both.join(broadcast_if_small(low), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     low = _smallest(edges)
-    moved = edges.join(low, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = edges.join(broadcast_if_small(low), "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(low.select("a", F.col("m").alias("b")))
 
 
@@ -30,8 +31,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Every round joins each edge with the smallest neighbour of its upper end, large stars first,
     then small ones, and writes the rest as a table; the rounds grow with the logarithm of a
-    component's size. A hub's edges are rows of a join, which adaptive execution splits; no
-    neighbour list is ever gathered.
+    component's size. The smallest neighbours are written first: their table is broadcast while
+    its files are small, and beyond that both sides of the join are bare exchanges, so adaptive
+    execution splits a hub's edges over tasks. No neighbour list is ever gathered.
     """
     now = written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
