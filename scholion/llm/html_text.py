@@ -38,6 +38,19 @@ AWAY_WORDS = frozenset(
     "social related recommended recommendations teaser teasers comment comments commentlist respond reply replies "
     "discussion disqus reader-comments form search searchbox skip-link print-only hidden sr-only copyright legal disclaimer".split()
 )
+#: Of these words, those that name sections of an article as well, in classes and ids, or in ids only.
+WEAK_WORDS = frozenset("discussion legal header headers search".split())
+WEAK_IDS = WEAK_WORDS | frozenset("related recommended recommendations social alert alerts comment reply share promotion".split())
+#: Words of layout that may stand beside one of AWAY_WORDS in a name without changing what it names.
+LAYOUT_WORDS = frozenset(
+    "area article articles bar block body bottom box button buttons card center col column component container content count "
+    "desktop entries entry field first global group head holder icon icons info inner input item items js last latest left "
+    "link links list main message messages meta mobile module more news outer page panel policy popular post posts primary "
+    "reader readers region right row secondary section site slot small stories story strip text thread title top unit user "
+    "users wrap wrapper zone".split()
+)
+TALK_WORDS = frozenset("comment comments commentlist disqus reader-comments respond reply replies".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Names of page feet; outside the main container only, as a foot inside it may hold notes.
 FOOT_NAMES = frozenset("foot page-foot site-foot".split())
 CLOSES_P = BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "li", "dt", "dd", "legend", "summary", "figcaption"}
@@ -70,8 +83,9 @@ TAIL = re.compile(r"<[!?]")
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACES = re.compile(r"\s+")
 DIGITS = re.compile(r"\d+")
-#: A page's own best container is kept if the host's path names less than this share of its text.
-LEAST_SHARE = 0.5
+NAME_WORDS = re.compile(r"[-_:\d]+")
+#: The best container holds at least this share of a page's main text; what stands beside it is
+#: looked at on its own.
 ENOUGH = 0.7
 #: Beside links, plain text shorter than this is a label; a copyright line is shorter than that.
 LABEL = 40
@@ -85,13 +99,13 @@ class Link(str):
 
 
 class Node:
-    __slots__ = ("away", "depth", "foot", "kids", "mass", "name", "parent", "step")
+    __slots__ = ("away", "depth", "foot", "kids", "mass", "maybe", "name", "parent", "step", "sure", "talk")
 
     def __init__(self, name: str, step: str, away: bool, parent: Node | None):
         self.name, self.step, self.away, self.parent = name, step, away, parent
         self.kids: list = []  # nodes and pieces of text, in page order
         self.mass = 0
-        self.foot = False
+        self.foot = self.maybe = self.sure = self.talk = False
         self.depth = parent.depth + 1 if parent else 0
 
     def path(self) -> str:
@@ -102,27 +116,43 @@ class Node:
         return ">".join(reversed(steps))
 
 
+def _away_name(name: str, weak: frozenset) -> bool | None:
+    """Whether a class or id names what is no main text: True, False, or None if its text has to
+    tell, as in "related-work", where a word of AWAY_WORDS stands beside one of content."""
+    words = {w for w in NAME_WORDS.split(name) if len(w) > 1}
+    hits = AWAY_WORDS & (words | {name})
+    if not hits:
+        return False
+    if name in AWAY_WORDS and name not in weak:
+        return True
+    return None if hits <= weak or words - AWAY_WORDS - LAYOUT_WORDS else True
+
+
 def _opened(name: str, attrs: str, parent: Node) -> Node:
     """The node of a start tag: its step of the path and whether it holds no main text."""
     values = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attrs)} if attrs.strip("/ \n") else {}
     classes = values.get("class", "").lower().split()
-    away, foot = name in AWAY, False
-    if values and not away and name not in ("html", "body"):
-        names = [*classes, values.get("id", "").lower()]
-        words = {w for n in names for w in (n, *re.split(r"[-_:\d]+", n))}
-        foot = not FOOT_NAMES.isdisjoint(names)
+    step = name + "".join("." + DIGITS.sub("#", c) for c in sorted(set(classes)))
+    node = Node(name, step, name in AWAY, parent)
+    if values and not node.away and name not in ("html", "body"):
+        own = values.get("id", "").lower()
+        names = [*classes, own]
+        words = {w for n in names for w in (n, *NAME_WORDS.split(n))}
+        node.foot = not FOOT_NAMES.isdisjoint(names)
         style = values.get("style", "").replace(" ", "").lower()
-        away = (
-            bool(words & AWAY_WORDS) and not (name in ("article", "main") or words & {"article", "post", "entry", "story"} and "content" in words)
-            or values.get("role", "").lower() in AWAY_ROLES
+        node.away = (
+            values.get("role", "").lower() in AWAY_ROLES
             or "hidden" in values
             or values.get("aria-hidden") == "true"
             or "display:none" in style
             or "visibility:hidden" in style
         )
-    step = name + "".join("." + DIGITS.sub("#", c) for c in sorted(set(classes)))
-    node = Node(name, step, away, parent)
-    node.foot = foot
+        article = name in ("article", "main") or words & {"article", "post", "entry", "story"} and "content" in words
+        if not node.away and not article:
+            told = [_away_name(c, WEAK_WORDS) for c in classes] + [_away_name(own, WEAK_IDS)]
+            node.away = True in told
+            node.maybe = None in told and name not in HEADINGS
+        node.talk = not TALK_WORDS.isdisjoint(words)
     return node
 
 
@@ -216,7 +246,8 @@ def _ended(here: Node, names: frozenset, holders: frozenset) -> Node:
 
 
 def weigh(node: Node) -> list[Node]:
-    """Set each node's mass, the characters of main text below it, and list its containers."""
+    """Set each node's mass, the characters of main text below it, and list its containers. An
+    element whose name leaves it open is put away if its text is boilerplate."""
     out: list[Node] = []
     stack: list[tuple[Node, bool]] = [(node, False)]
     while stack:
@@ -227,10 +258,16 @@ def weigh(node: Node) -> list[Node]:
         if not done:
             stack.append((n, True))
             stack += [(k, False) for k in n.kids if isinstance(k, Node)]
-        else:
-            n.mass = sum(k.mass if isinstance(k, Node) else len(k.strip()) for k in n.kids)
-            if n.mass and (n.name in CONTAINERS or n.parent is None):
-                out.append(n)
+            continue
+        n.mass = sum(k.mass if isinstance(k, Node) else len(k.strip()) for k in n.kids)
+        # readers' comments below, and nothing but labels beside them
+        n.talk = any(isinstance(k, Node) and k.talk and not k.mass for k in n.kids)
+        if n.maybe:
+            n.sure = holds_text(n, sentences=n.talk)
+            n.away = not n.sure
+            n.mass = n.mass if n.sure else 0
+        if n.mass and (n.name in CONTAINERS or n.parent is None):
+            out.append(n)
     return out
 
 
@@ -247,28 +284,17 @@ def mark_page_headers(node: Node) -> None:
                 stack.append((k, inside))
 
 
-def marked_container(containers: list[Node]) -> Node | None:
-    """The article or main element that holds enough of the page's main text, if there is one."""
-    total = max((c.mass for c in containers), default=0)
-    marked = [c for c in containers if c.name in ("article", "main") or c.step.startswith("article") or c.step.startswith("main")]
-    articles = [c for c in marked if c.name == "article"] or marked
-    if articles:
-        best = max(articles, key=lambda c: c.mass)
-        if best.mass >= 0.25 * total and sum(a.mass for a in articles if a is not best and a.mass >= 0.5 * best.mass) == 0:
-            return best
-    return None
-
-
 def best_container(containers: list[Node]) -> Node | None:
-    """The deepest container that holds most of the page's main text; inside an article or main
-    element that holds enough, the outermost such element."""
+    """The deepest container that holds most of the page's main text; if an article or main
+    element does, the largest such article, else such a main element."""
     if not containers:
         return None
-    marked = marked_container(containers)
-    if marked is not None:
-        return marked
     total = max(c.mass for c in containers)
     enough = [c for c in containers if c.mass >= ENOUGH * total]
+    marked = [c for c in enough if c.name in ("article", "main") or c.step.startswith(("article", "main"))]
+    articles = [c for c in marked if c.name == "article"] or marked
+    if articles:
+        return max(articles, key=lambda c: c.mass)
     return min(enough, key=lambda c: (c.mass, -c.depth))
 
 
@@ -287,9 +313,9 @@ def parts(node: Node) -> Iterator[Node | list[str]]:
         yield run
 
 
-def holds_text(part: Node | list[str]) -> bool:
-    """Whether a part beside the main container is more than boilerplate: links with their
-    labels, a page's foot or a copyright line. A linked headline is text."""
+def holds_text(part: Node | list[str], sentences: bool = False) -> bool:
+    """Whether a part is more than boilerplate: links with their labels, a page's foot or a
+    copyright line. A linked headline is text. With sentences, labels alone are none."""
     total = links = 0
     stack: list = [part]
     while stack:
@@ -304,10 +330,10 @@ def holds_text(part: Node | list[str]) -> bool:
             total += len(text)
             links += linked
         elif p.mass and not p.away and not p.foot:
-            if p.name in ("h1", "h2") and text_of(p):
+            if p.sure or not sentences and p.name in ("h1", "h2") and text_of(p):
                 return True
             stack += parts(p)
-    return 2 * links < total
+    return not sentences and 2 * links < total
 
 
 def with_siblings(node: Node) -> Node:
@@ -331,24 +357,6 @@ def with_siblings(node: Node) -> Node:
     return whole
 
 
-def leaves_text_out(chosen: Node, best: Node) -> bool:
-    """Whether the best container holds text that is not boilerplate outside the chosen one."""
-    node = chosen
-    while node.parent is not None and node is not best:
-        node = node.parent
-    if node is not best:
-        above = best
-        while above.parent is not None and above is not chosen:
-            above = above.parent
-        return above is not chosen and holds_text(best)
-    node = chosen
-    while node is not best:
-        if any(part is not node and holds_text(part) for part in parts(node.parent)):
-            return True
-        node = node.parent
-    return False
-
-
 def text_of(node: Node) -> str:
     """Blocks of the container in page order, one to a line."""
     blocks: list[str] = []
@@ -387,21 +395,22 @@ def page_containers(html: str) -> tuple[Node | None, list[Node]]:
 
 
 def main_text(html: str, path: str | None) -> tuple[str, str]:
-    """The main text and the path it came from. Without an article or main element, text blocks
-    beside the container are main text as well."""
+    """The main text and the path it came from: the container that the path names, if the page
+    has it, else the page's own best one, with the text blocks beside it."""
     best, containers = page_containers(html)
     if best is None:
         return "", ""
     steps = path.split(">") if path else []
-    likely = [c for c in containers if c.depth == len(steps) and c.step == steps[-1]] if steps else []
-    same = [c for c in likely if c is not best and c.path() == path]
-    if same and best.path() != path:
-        chosen = max(same, key=lambda c: c.mass)
-        if chosen.mass >= LEAST_SHARE * best.mass and not leaves_text_out(chosen, best):
-            best = chosen
-    if marked_container(containers) is None:
-        best = with_siblings(best)
-    return text_of(best), best.path()
+    named = [c for c in containers if c.depth == len(steps) and c.step == steps[-1] and c.path() == path] if steps else []
+    if named and best not in named:
+        chosen = max(named, key=lambda c: c.mass)
+        around = best
+        while around is not None and around is not chosen:
+            around = around.parent
+        # a container around the best one adds what stands beside the latter
+        best = best if around is chosen else chosen
+    whole = with_siblings(best)
+    return text_of(whole), whole.path()
 
 
 def host_of(url: Column) -> Column:
@@ -440,9 +449,10 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, path.
 
     Null and empty pages, and pages of markup alone, have empty text. Pages without a host vote
-    together. A page on which the winning path names less than half of the text of its own best
-    container, or leaves out some that is not boilerplate, is extracted from the latter. Repeated rows are pages of their own; an empty
-    table gives no rows; extra columns are ignored. Pages are read twice and never exchanged
+    together. A page is extracted from the container that the winning path names, or from its own
+    best one if it has none there, together with all text blocks beside it; only boilerplate is
+    left out. Repeated rows are pages of their own; an empty table gives no rows; extra columns
+    are ignored. Pages are read twice and never exchanged
     while the table of hosts is small; beyond that they are joined with it by host, where
     adaptive execution splits large hosts.
     """
