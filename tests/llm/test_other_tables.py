@@ -1,6 +1,7 @@
 """Toxicity, pages, conversations, embeddings and the pipeline against plain versions."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -132,13 +133,73 @@ def test_host_path_leaves_no_text_out(spark):
     links = "<ul><li><a href=/1>One more page</a><li><a href=/2>Another page</a></ul>"
     assert html_text.main_text(most.replace("<article>", "<article>" + links), path) == (words, path)
     apart = f"<body><article><p>{words}</p></article><div class=text><p>{words} Other.</p></div></body>"
-    assert html_text.main_text(apart, "body>div.text") == (words, "body>article")
+    assert html_text.main_text(apart, "body>div.text") == (f"{words}\n{words} Other.", "body")
     assert html_text.main_text(apart, "body") == (f"{words}\n{words} Other.", "body")
     rows = [(i, "http://a.example/", nested) for i in range(3)] + [(3, "http://a.example/", few % ("div", "div"))]
     got = html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).where("page_id = 3").first()
     assert got.text == f"Head\n{words}\nNot in the text block."
 
 
+WORDS = "Words of the body, many of them. " * 12
+#: Elements of an article whose names hold a word of menus and the like, and others that are such.
+KEPT = (
+    '<section id="discussion"><h2 class="section-header">Discussion</h2><p>{}</p></section>',
+    '<section class="related-work"><h2>Others</h2><p>{}</p></section>',
+    '<section id="related"><p>{}</p></section>',
+    '<div id="legal-framework"><p>{}</p></div>',
+    '<div class="article-header"><p>{}</p></div>',
+    '<table class="share-price-table"><tr><td>{}</td></tr></table>',
+    '<p class="search-strategy">{}</p>',
+    '<ul class="c menu-costs"><li>{}</li></ul>',
+)
+LEFT = (
+    '<div class="cookie-notice">{}</div>',
+    '<div id="ad-300x250">{}</div>',
+    '<section class="reader-comments"><p>{}</p></section>',
+    '<section id="discussion"><h2>Discussion</h2><ol><li class="comment"><p>{}</p></li></ol></section>',
+    '<div class="related-articles"><p>{}</p></div>',
+    '<div class="promo-box"><h3>Only today</h3>{}</div>',
+    '<div class="sidebar-left">{}</div>',
+    '<aside>{}</aside><form>{}</form><nav>{}</nav><script>{}</script>',
+    '<div id="related-pages"><a href=/1>{}</a></div>',
+)
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<main><article>{}</article></main>", "<div class=body>{}</div>", "{}"])
+def test_names_inside_and_outside_the_article(around):
+    """Blocks of which it is known whether they are main text, in any order and any place."""
+    rng = random.Random(around)
+    for _ in range(60):
+        inside, beside, want = [], ([], []), []
+        for i in range(rng.randrange(1, 12)):
+            text, keep = f"{WORDS}Block {i}.", rng.random() < 0.6
+            inside.append(rng.choice(KEPT if keep else LEFT).replace("{}", text))
+            want += [text] if keep else []
+        for part in beside:
+            part += [rng.choice(LEFT).replace("{}", "Beside. " * 30) for _ in range(rng.randrange(3))]
+        body = around.replace("{}", f"<h1>Head</h1><p>{WORDS}</p>" + "".join(inside))
+        text, _ = html_text.main_text(f"<html><body>{''.join(beside[0])}{body}{''.join(beside[1])}", None)
+        lines = [x for x in text.split("\n") if x not in ("Discussion", "Others")]
+        assert lines == ["Head", WORDS.strip(), *want]
+
+
+def test_text_beside_an_article_element():
+    teaser = f"<body><div class=b><p>{WORDS}</p><p>{WORDS}</p></div><article><p>A teaser. {WORDS}</p></article>"
+    assert html_text.main_text(teaser, None)[0] == f"{WORDS}\n{WORDS}\nA teaser. {WORDS}".replace(" \n", "\n").strip()
+    lead = f"<body><main><h1>Head</h1><p>The lead tells what this is about at length.</p><article><p>{WORDS}</p></article></main>"
+    assert html_text.main_text(lead, None) == (f"Head\nThe lead tells what this is about at length.\n{WORDS}".strip(), "body>main")
+
+
+def test_votes_of_a_host_decide(spark):
+    """On a page of few words the links beside the text weigh more than it; its host knows better."""
+    links = "<ul class=x>" + "".join(f"<li><a href=/{i}>Another page of ours, number {i}</a>" for i in range(20)) + "</ul>"
+    page = f"<body><div class=wrap><div class=text><p>%s</p></div>{links}</div>"
+    rows = [(i, "http://a.example/", page % (WORDS * 9)) for i in range(4)] + [(4, "http://a.example/", page % "Few words."), (5, "http://b.example/", page % "Few words.")]
+    got = {r.page_id: r.text for r in html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[4] == "Few words."
+    assert got[0] == (WORDS * 9).strip() and "Another page" in got[5]  # one page alone cannot tell
+
+
 def test_given_pages(spark):
     """The given pages are an article between menus and adverts: read with plain patterns."""
     import html
