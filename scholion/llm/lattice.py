@@ -6,8 +6,10 @@ they share a cell of some table, or where one lies in a cell whose lattice point
 to the other. The cosine, in double precision, decides.
 
 Copies enter once, with their number. Rows are dealt by cell; a cell of many vectors is compared
-in blocks by as many tasks. Pairs that share a cell of any table are counted in the first such
-table and never written out; only links found by probing alone are, as distinct pairs.
+in blocks by as many tasks, each of which holds its block and a portion of the cell's other rows.
+No pair is ever written out: every row knows its own and its probed cells in all tables, so two
+rows that meet several times agree on the one meeting that counts, the first table in which both
+are at home, else the first in which one probes the other's cell.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ SEED = 20_240_817
 
 #: Vectors at home in a cell that one task compares with the cell's members.
 CELL_BLOCK = 1024
+#: Rows that a task holds while it compares them with a block.
+PORTION = 8192
 
 
 def roots():
@@ -69,7 +73,8 @@ def nearest_e8(y):
 
 
 def cells(unit, tables: int, blocks: int, scale: float, probes: int):
-    """Home cells (n, tables) and probed cells (n, tables * probes) as hashes of lattice points."""
+    """Home cells (n, tables) and probed cells (n, tables * probes) as 32-bit hashes of lattice
+    points. Points of one table with equal hashes are one cell."""
     import numpy as np
 
     n, d = unit.shape
@@ -91,7 +96,8 @@ def cells(unit, tables: int, blocks: int, scale: float, probes: int):
         if probes:
             best = np.argpartition(cost, probes, axis=1)[:, :probes]
             probed.append(here[:, None] + move[best])
-    return np.stack(home, axis=1), np.concatenate(probed, axis=1) if probed else np.zeros((n, 0), np.int64)
+    top = lambda x: (x >> 32).astype(np.int32)
+    return top(np.stack(home, axis=1)), top(np.concatenate(probed, axis=1) if probed else np.zeros((n, 0), np.int64))
 
 
 def _class_rows(width: str):
@@ -141,99 +147,120 @@ def _cell_rows(width: str, tables: int, blocks: int, scale: float, probes: int):
                     all_cells = np.concatenate([home, probed], axis=1)
                     times = all_cells.shape[1]
                     at_home = np.arange(times) < tables
-                    pick = [i for i in rows for _ in range(times)]
+                    t = np.concatenate([np.arange(tables), np.arange(tables * probes) // max(probes, 1)])
+                    # a probed cell that is the home cell or probed already adds nothing
+                    new = np.ones(all_cells.shape, bool)
+                    for c in range(tables, times):
+                        for earlier in np.flatnonzero(t[:c] == t[c]):
+                            new[:, c] &= all_cells[:, c] != all_cells[:, earlier]
+                    row, column = np.nonzero(new)
+                    pick = [rows[r] for r in row.tolist()]
+                    known = [c.astype("<i4").tobytes() for c in all_cells]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(all_cells.ravel()),
-                            pa.array(np.tile(at_home, len(rows))),
-                            pa.array(np.tile(np.where(at_home, np.arange(times), -1), len(rows)).astype("int32")),
+                            pa.array((t[column].astype(np.int64) << 32) | (all_cells[row, column].astype(np.int64) & 0xFFFFFFFF)),
+                            pa.array(at_home[column]),
+                            pa.array(t[column].astype("int32")),
                             pa.array([part["key"][i] for i in pick]),
                             pa.array([part["n"][i] for i in pick], pa.int64()),
                             pa.array([part["raw"][i] for i in pick], pa.binary()),
-                            pa.array([h for row in home for h in [row.astype("<i8").tobytes()] * times], pa.binary()),
+                            pa.array([known[r] for r in row.tolist()], pa.binary()),
                         ],
-                        names=["cell", "at_home", "t", "key", "n", "raw", "homes"],
+                        names=["cell", "at_home", "t", "key", "n", "raw", "cells"],
                     )
 
     return run
 
 
-FOUND = "kind int, a string, b string, n_a long, n_b long"
-COUNT, PAIR, EDGE = 0, 1, 2
+FOUND = "key string, other string, links long"
 
 
-def _compare(width: str, cosine: float):
-    """Rows of whole cells, sorted by cell -> counts, pairs found by probing alone, edges."""
+def _compare(width: str, cosine: float, tables: int, portion: int):
+    """Rows of whole cells, sorted by cell with the block first -> links of a key, and edges
+    (key, other) that connect what links connect."""
     import numpy as np
 
-    def cell(rows: dict[str, list]):
+    def compared(rows: dict[str, list]):
         by_size: dict[int, list[int]] = {}
         for i, raw in enumerate(rows["raw"]):
             by_size.setdefault(len(raw), []).append(i)
         for members in by_size.values():
-            block = [k for k, i in enumerate(members) if rows["in_block"][i]]
-            if not block or len(members) < 2:
+            block = np.flatnonzero([rows["in_block"][i] for i in members])
+            fresh = np.flatnonzero([rows["fresh"][i] for i in members])
+            if not len(block) or not len(fresh) or len(members) < 2:
                 continue
             unit = _unit([rows["raw"][i] for i in members], width)
-            homes = np.frombuffer(b"".join(rows["homes"][i] for i in members), "<i8").reshape(len(members), -1)
+            known = np.frombuffer(b"".join(rows["cells"][i] for i in members), "<i4").reshape(len(members), -1)
+            home, probed = known[:, :tables], known[:, tables:].reshape(len(members), tables, -1)
             t = np.array([rows["t"][i] for i in members])
+            at_home = np.array([rows["at_home"][i] for i in members])
             n = np.array([rows["n"][i] for i in members])
             key = [rows["key"][i] for i in members]
-            block = np.array(block)
             count = np.zeros(len(members), np.int64)
             parent = np.arange(len(members))
-            for at in range(0, len(members), 1024):
-                i, j = np.nonzero(unit[at : at + 1024] @ unit[block].T >= cosine)
-                i, j = i + at, block[j]
+            for at in range(0, len(fresh), 1024):
+                some = fresh[at : at + 1024]
+                i, j = np.nonzero(unit[some] @ unit[block].T >= cosine)
+                i, j = some[i], block[j]
                 i, j = i[i != j], j[i != j]
-                if not len(i):
-                    continue
                 # pairs by the thousand, as each carries its cells in all tables
                 for cut in range(0, len(i), 65_536):
                     x, y = i[cut : cut + 65_536], j[cut : cut + 65_536]
-                    same = homes[x] == homes[y]
+                    same = home[x] == home[y]
                     shared = same.any(axis=1)
-                    first = same.argmax(axis=1)
-                    counted = shared & (t[x] == first)
-                    np.add.at(count, x[counted], n[y[counted]])
-                    parent = join_sets(parent, x[counted], y[counted])
-                    for a, b in zip(x[~shared].tolist(), y[~shared].tolist(), strict=True):
-                        a, b = (a, b) if key[a] < key[b] else (b, a)
-                        yield PAIR, key[a], key[b], int(n[a]), int(n[b])
+                    # y is at home here; the pair comes again with the sides changed
+                    here = shared & at_home[x] & (t[x] == same.argmax(axis=1))
+                    np.add.at(count, x[here], n[y[here]])
+                    parent = join_sets(parent, x[here], y[here])
+                    x, y = x[~shared], y[~shared]
+                    if not len(x):
+                        continue
+                    there = (probed[x] == home[y][:, :, None]).any(axis=2)
+                    back = (probed[y] == home[x][:, :, None]).any(axis=2)
+                    first = (there | back).argmax(axis=1)
+                    here = t[x] == first
+                    for p in np.flatnonzero(here & back[np.arange(len(x)), first]).tolist():
+                        here[p] = key[x[p]] < key[y[p]]  # both probe: the lesser key's meeting counts
+                    x, y = x[here], y[here]
+                    np.add.at(count, x, n[y])
+                    np.add.at(count, y, n[x])
+                    parent = join_sets(parent, x, y)
             for i in np.flatnonzero(count).tolist():
-                yield COUNT, key[i], None, int(count[i]), None
+                yield key[i], None, int(count[i])
             for i in np.flatnonzero(parent != np.arange(len(members))).tolist():
-                yield EDGE, key[i], key[parent[i]], None, None
-
-    names = [c.split()[0] for c in FOUND.split(", ")]
-    types = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+                yield key[i], key[parent[i]], None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(found):
-            columns = list(zip(*found, strict=True)) or [()] * 5
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, types, strict=True)], names=names)
+            columns = list(zip(*found, strict=True)) or [()] * 3
+            types = (pa.string(), pa.string(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, types, strict=True)], names=["key", "other", "links"])
 
         found: list[tuple] = []
-        open_cell, rows = None, {}
+        open_shard, rows = None, {}
         for batch in batches:
             shard = batch.column("shard").to_numpy()
             cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
             for low, high in zip(cuts, cuts[1:], strict=False):
                 if low == high:
                     continue
-                part = batch.slice(low, high - low)
-                if shard[low] == open_cell:
-                    for k, v in part.to_pydict().items():
+                part = batch.slice(low, high - low).to_pydict() | {"fresh": [True] * (high - low)}
+                if shard[low] == open_shard:
+                    for k, v in part.items():
                         rows[k] += v
-                    continue
-                if rows and len(rows["key"]) > 1:
-                    found += cell(rows)
-                open_cell, rows = shard[low], part.to_pydict()
+                else:
+                    if rows:
+                        found += compared(rows)
+                    open_shard, rows = shard[low], part
+                if len(rows["key"]) >= portion and not rows["in_block"][-1]:
+                    found += compared(rows)
+                    block = [i for i, b in enumerate(rows["in_block"]) if b]
+                    rows = {k: [v[i] for i in block] for k, v in rows.items()} | {"fresh": [False] * len(block)}
                 if len(found) > 20_000:
                     yield packed(found)
                     found = []
-        if rows and len(rows["key"]) > 1:
-            found += cell(rows)
+        if rows:
+            found += compared(rows)
         yield packed(found)
 
     return run
@@ -247,6 +274,7 @@ def vector_links(
     scale: float = SCALE,
     probes: int = PROBES,
     cell_block: int = CELL_BLOCK,
+    portion: int = PORTION,
 ) -> DataFrame:
     """(vec_id, embedding) -> one row per row: vec_id, n_links, component_id, kept.
 
@@ -269,7 +297,7 @@ def vector_links(
     )
     members = classes.select("key", "n", "raw").mapInArrow(
         _cell_rows(width, tables, blocks, scale, probes),
-        "cell long, at_home boolean, t int, key string, n long, raw binary, homes binary",
+        "cell long, at_home boolean, t int, key string, n long, raw binary, cells binary",
     )
     sizes = (
         members.where("at_home").groupBy("cell").agg(F.count("*").alias("homes_here")).where(F.col("homes_here") > cell_block)
@@ -279,27 +307,23 @@ def vector_links(
     dealt = (
         members.join(broadcast_if_small(large), "cell", "left")
         .select(
-            "cell", "t", "key", "n", "raw", "homes", "at_home",
+            "cell", "t", "key", "n", "raw", "cells", "at_home",
             F.pmod(F.xxhash64("key"), parts).cast("int").alias("own"),
             F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
         )
         .select(
-            F.xxhash64("cell", "part").alias("shard"), "t", "key", "n", "raw", "homes",
+            F.xxhash64("cell", "part").alias("shard"), "t", "key", "n", "raw", "cells", "at_home",
             (F.col("at_home") & (F.col("own") == F.col("part"))).alias("in_block"),
         )
     )
     found = written(
-        dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(_compare(width, cosine), FOUND)
-    )
-    pairs = found.where(F.col("kind") == PAIR).select("a", "b", "n_a", "n_b").distinct()
-    counts = (
-        found.where(F.col("kind") == COUNT).select(F.col("a").alias("key"), F.col("n_a").alias("links"))
-        .unionByName(pairs.select(F.col("a").alias("key"), F.col("n_b").alias("links")))
-        .unionByName(pairs.select(F.col("b").alias("key"), F.col("n_a").alias("links")))
-        .groupBy("key")
-        .agg(F.sum("links").alias("links"))
+        dealt.repartition("shard")
+        .sortWithinPartitions("shard", F.desc("in_block"))
+        .mapInArrow(_compare(width, cosine, tables, portion), FOUND)
     )
-    roots_of = components(found.where(F.col("kind") != COUNT).select("a", "b")).withColumnRenamed("node", "key")
+    counts = found.where("other is null").groupBy("key").agg(F.sum("links").alias("links"))
+    edges = found.where("other is not null").select(F.col("key").alias("a"), F.col("other").alias("b"))
+    roots_of = components(edges).withColumnRenamed("node", "key")
     named = written(
         classes.join(counts, "key", "left")
         .join(roots_of, "key", "left")
