@@ -30,6 +30,8 @@ SEED = 42
 
 #: Fingerprints in one tree at most.
 TREE_NODES = 2048
+#: Rows of shards that a task holds, beside one tree.
+HELD = 50_000
 
 #: Shards hold so many fingerprints on average at most; beyond that there are more blocks.
 MEAN_SHARD = 64
@@ -211,19 +213,25 @@ def fingerprint_links(distinct: DataFrame, distance: int = DISTANCE, tree_nodes:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append((batch.column("fp").to_numpy(), batch.column("shard").to_numpy(), batch.column("in_tree").to_numpy(zero_copy_only=False)))
-            if sum(len(p[0]) for p in held) < 50_000:
+            held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in ("fp", "shard", "in_tree")])
+            if sum(len(p[0]) for p in held) < HELD:
                 continue
+            fp, shard, in_tree = (np.concatenate(c) for c in zip(*held, strict=True))
             # the last shard may go on in the next batch
-            open_from = np.searchsorted(held[-1][1], held[-1][1][-1], "left")
+            open_from = np.searchsorted(shard, shard[-1], "left")
             if open_from:
-                yield links([*held[:-1], tuple(x[:open_from] for x in held[-1])])
-                held = [tuple(x[open_from:] for x in held[-1])]
+                yield links([(fp[:open_from], shard[:open_from], in_tree[:open_from])])
+            fp, shard, in_tree = fp[open_from:], shard[open_from:], in_tree[open_from:]
+            if len(fp) >= HELD and not in_tree[-1]:
+                # its tree came first; only that is kept for the queries that follow
+                yield links([(fp, shard, in_tree)])
+                fp, shard, in_tree = fp[in_tree], shard[in_tree], in_tree[in_tree]
+            held = [[fp, shard, in_tree]]
         if held:
             yield links(held)
 
     # a shard's xxhash64 may meet another's: their trees then hold both, and only near pairs link
-    return dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "a long, b long").distinct()
+    return dealt.repartition("shard").sortWithinPartitions("shard", F.desc("in_tree")).mapInArrow(run, "a long, b long").distinct()
 
 
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
