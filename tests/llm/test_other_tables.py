@@ -307,8 +307,8 @@ def vectors():
     return list(enumerate(rows, 10))
 
 
-@pytest.mark.parametrize("cell_block", [20, 1024])
-def test_links_of_vectors(spark, cell_block):
+@pytest.mark.parametrize(("cell_block", "portion"), [(20, 30), (1024, 8192)])
+def test_links_of_vectors(spark, cell_block, portion):
     rows = vectors()
     ok = [(i, np.array(v, "f8")) for i, v in rows if v and None not in v and np.isfinite(v).all() and any(v)]
     near = lambda a, b: len(a[1]) == len(b[1]) and a[1] @ b[1] / np.sqrt(a[1] @ a[1]) / np.sqrt(b[1] @ b[1]) >= 0.9
@@ -316,7 +316,7 @@ def test_links_of_vectors(spark, cell_block):
     for a in ok:
         degree[a[0]] = sum(near(a, b) for b in ok) - 1
     table = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, key string").repartition(3)
-    got = {r.vec_id: r for r in lattice.vector_links(table, cell_block=cell_block).collect()}
+    got = {r.vec_id: r for r in lattice.vector_links(table, cell_block=cell_block, portion=portion).collect()}
     assert set(got) == set(degree)
     assert all(got[i].n_links <= degree[i] for i in degree)
     assert sum(r.n_links for r in got.values()) >= 0.97 * sum(degree.values())
