@@ -329,8 +329,8 @@ def vector_links(
         .join(roots_of, "key", "left")
         .select("key", "first", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "key").alias("root"))
     )
-    smallest = named.groupBy("root").agg(F.min("first").alias("smallest"))
-    by_class = named.join(smallest, "root").select("key", (F.col("links") + F.col("n") - 1).alias("links"), "smallest")
+    smallest = written(named.groupBy("root").agg(F.min("first").alias("smallest")))
+    by_class = named.join(broadcast_if_small(smallest), "root").select("key", (F.col("links") + F.col("n") - 1).alias("links"), "smallest")
     component = F.coalesce("smallest", "vec_id")
     return rows.join(by_class, "key", "left").select(
         "vec_id",

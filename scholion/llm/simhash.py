@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scholion.llm.common import slices, written
+from scholion.llm.common import broadcast_if_small, slices, written
 from scholion.llm.components import components
 
 SHINGLE = 4
@@ -247,8 +247,8 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIST
     named = written(
         distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     )
-    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = named.join(smallest, "root").select("fp", "component_id")
+    smallest = written(named.groupBy("root").agg(F.min("first").alias("component_id")))
+    classes = named.join(broadcast_if_small(smallest), "root").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
