@@ -12,7 +12,6 @@ Shares are integers, 1 + floor(10^9 (count + 1) / (N + V)), and all arithmetic i
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -24,15 +23,16 @@ from pyspark.sql import functions as F
 
 from scholion.llm.common import broadcast_if_small, byte_bounded, slices, written
 
-#: Runs of letters in the sense of the contract, in UTF-8: bytes of A-Z, a-z and above ASCII.
-TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+#: Terms are runs of letters in the sense of the contract, in UTF-8: bytes of A-Z, a-z and above
+#: ASCII. A text becomes lower case, and every other byte a space, by one table.
+LETTERS = bytes(b if chr(b).isalpha() or b > 0x7F else 0x20 for b in range(256)).lower()
 
 SCALE = 1_000_000_000
 LEAST_DOCS = 3
 TOP = 200
 
 #: A worker's tallies are handed on at so many entries or bytes of terms.
-TALLY_ENTRIES = 300_000
+TALLY_ENTRIES = 600_000
 TALLY_BYTES = 64 << 20
 
 #: Numbers of a matrix of terms and sources, and of sums that a worker keeps.
@@ -47,25 +47,23 @@ MERGE_PARTS = 32
 # --- counting ----------------------------------------------------------------------
 
 
-def tally_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, text) -> (lang, source, term, n, docs), summed within a bounded table."""
-    seen: dict[tuple, Counter] = defaultdict(Counter)
-    docs: dict[tuple, Counter] = defaultdict(Counter)
+def tally_terms(batches: Iterator[pa.RecordBatch], ids: dict[tuple[str, str], int]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, text) -> (id, term, n, docs) of each group, summed within a bounded table."""
+    seen: dict[int, Counter] = defaultdict(Counter)
+    docs: dict[int, Counter] = defaultdict(Counter)
     entries = size = 0
 
     def handed_on() -> Iterator[pa.RecordBatch]:
-        for (lang, source), counts in seen.items():
-            within = docs[lang, source]
-            terms = list(counts)
+        for group, counts in seen.items():
+            within = docs[group]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([lang] * len(terms), pa.string()),
-                    pa.array([source] * len(terms), pa.string()),
-                    pa.array(terms, pa.binary()).view(pa.string()),
+                    pa.array(np.full(len(counts), group, "int32")),
+                    pa.array(list(counts), pa.binary()).view(pa.string()),
                     pa.array(list(counts.values()), pa.int64()),
-                    pa.array([within[t] for t in terms], pa.int64()),
+                    pa.array(list(map(within.__getitem__, counts)), pa.int64()),
                 ],
-                names=["lang", "source", "term", "n", "docs"],
+                names=["id", "term", "n", "docs"],
             )
         seen.clear()
         docs.clear()
@@ -73,12 +71,12 @@ def tally_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, 100):
         columns = (part.column(c).to_pylist() for c in ("lang", "source", "text"))
         for lang, source, text in zip(*columns, strict=True):
-            terms = TERM.findall(text.lower())  # of bytes: A-Z only
-            once = set(terms)
-            known = seen[lang, source]
+            terms = text.translate(LETTERS).split()
+            group, once = ids[lang, source], set(terms)
+            known = seen[group]
             before = len(known)
             known.update(terms)
-            docs[lang, source].update(once)
+            docs[group].update(once)
             if len(known) > before:
                 entries += len(known) - before
                 size += sum(map(len, once))
@@ -96,14 +94,24 @@ def named(docs: DataFrame) -> DataFrame:
     )
 
 
-def kept_terms(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+def numbered_groups(docs: DataFrame) -> DataFrame:
+    """(id, lang, source): the groups that occur, one row each, numbered in their order. A written
+    table; the tasks that count know all groups, as those that add up pairs do."""
+    found = sorted(map(tuple, named(docs).select("lang", "source").distinct().collect()))
+    rows = [(i, *group) for i, group in enumerate(found)]
+    return written(docs.sparkSession.createDataFrame(rows, "id int, lang string, source string"))
+
+
+def kept_terms(docs: DataFrame, groups: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """(lang, term, total, counts: array<struct<source, n>>) of the terms that at least
-    ``least_docs`` documents of the language hold. One exchange, of tallies."""
+    ``least_docs`` documents of the language hold. One exchange, of tallies, which carry the
+    number of their group and not its names."""
     byte_bounded(docs.sparkSession)
-    tallies = named(docs).mapInArrow(tally_terms, "lang string, source string, term string, n long, docs long")
-    # dealt by language and term, so both groupings work on this one exchange
-    by_source = tallies.repartition("lang", "term").groupBy("lang", "term", "source")
-    counts = by_source.agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    ids = {(r.lang, r.source): r.id for r in groups.collect()}
+    tallies = named(docs).mapInArrow(lambda batches: tally_terms(batches, ids), "id int, term string, n long, docs long")
+    # dealt by term, so both groupings work on this one exchange
+    by_group = tallies.repartition("term").groupBy("term", "id")
+    counts = by_group.agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).join(broadcast_if_small(groups), "id")
     return (
         counts.groupBy("lang", "term")
         .agg(
@@ -116,13 +124,13 @@ def kept_terms(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     )
 
 
-def group_sizes(docs: DataFrame, terms: DataFrame) -> DataFrame:
+def group_sizes(groups: DataFrame, terms: DataFrame) -> DataFrame:
     """(lang, source, size, vocabulary, lang_size): one row per group that occurs."""
-    groups = named(docs).select("lang", "source").distinct()
     sizes = terms.select("lang", F.explode("counts").alias("c")).groupBy("lang", F.col("c.source").alias("source"))
     langs = terms.groupBy("lang").agg(F.count("*").alias("vocabulary"), F.sum("total").alias("lang_size"))
     return (
-        groups.join(sizes.agg(F.sum("c.n").alias("size")), ["lang", "source"], "left")
+        groups.select("lang", "source")
+        .join(sizes.agg(F.sum("c.n").alias("size")), ["lang", "source"], "left")
         .join(langs, "lang", "left")
         .fillna(0, ["size", "vocabulary", "lang_size"])
     )
@@ -289,8 +297,9 @@ def source_divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int =
     rows too. A language without kept terms has pairs of value 0 and no terms. An empty table gives
     no rows, extra columns are ignored. Kept terms and groups are written once to the shared folder.
     """
-    terms = written(kept_terms(docs, least_docs))
-    groups = written(group_sizes(docs, terms))
+    names = numbered_groups(docs)
+    terms = written(kept_terms(docs, names, least_docs))
+    groups = written(group_sizes(names, terms))
     byte_bounded(docs.sparkSession)
     order = W.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = pair_sums(terms, groups).withColumn("rank", F.row_number().over(order))

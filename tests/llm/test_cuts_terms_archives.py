@@ -160,13 +160,14 @@ def test_tallies_in_small_portions(monkeypatch):
 
     rows = [("l", "s", b"A b a"), ("l", "s", b"a c"), ("l", "t", b"B"), ("l", "s", None or b""), ("l", "s", b"b d e f")]
     batch = pa.RecordBatch.from_pylist([dict(zip(("lang", "source", "text"), r)) for r in rows])
+    ids = {("l", "s"): 0, ("l", "t"): 1}
     for entries in (0, 300_000):
         monkeypatch.setattr(divergence, "TALLY_ENTRIES", entries)
         n, docs = Counter(), Counter()
-        for out in divergence.tally_terms(iter([batch] * 2)):
+        for out in divergence.tally_terms(iter([batch] * 2), ids):
             for r in out.to_pylist():
-                n[r["source"], r["term"]] += r["n"]
-                docs[r["source"], r["term"]] += r["docs"]
+                n["st"[r["id"]], r["term"]] += r["n"]
+                docs["st"[r["id"]], r["term"]] += r["docs"]
         assert n == {("s", "a"): 6, ("s", "b"): 4, ("s", "c"): 2, ("s", "d"): 2, ("s", "e"): 2, ("s", "f"): 2, ("t", "b"): 2}
         assert docs["s", "a"] == 4 and docs["s", "b"] == 4
 
