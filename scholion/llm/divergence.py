@@ -43,6 +43,9 @@ SUM_CELLS = 1 << 22
 CHUNK = 256
 MERGE_PARTS = 32
 
+#: Above every total.
+HIGHEST = np.iinfo("int64").max
+
 
 # --- counting ----------------------------------------------------------------------
 
@@ -236,6 +239,48 @@ def pair_sums(terms: DataFrame, groups: DataFrame) -> DataFrame:
 # --- skybands ----------------------------------------------------------------------
 
 
+class Band:
+    """The skyband of one group's rows so far, as different (count, total) pairs with their number,
+    and the stairs of dropped pairs: whatever one of these dominates is dropped as well."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.n, self.total, self.times = np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
+        self.step, self.floor = np.zeros(0, "int64"), np.full(1, HIGHEST)
+
+    def _drop(self, n: np.ndarray, total: np.ndarray) -> None:
+        n, total = np.append(self.step, n), np.append(self.floor[:-1], total)
+        order = np.lexsort((total, -n))  # highest counts first
+        n, floor = n[order], np.minimum.accumulate(total[order])
+        new = np.append(True, floor[1:] < floor[:-1])
+        self.step, self.floor = n[new][::-1], np.append(floor[new][::-1], HIGHEST)
+
+    def _take(self, n: np.ndarray, total: np.ndarray) -> None:
+        n, total = np.append(self.n, n), np.append(self.total, total)
+        times = np.append(self.times, np.ones(len(n) - len(self.n)))
+        order = np.lexsort((total, n))
+        n, total = n[order], total[order]
+        new = np.flatnonzero(np.append(True, (n[1:] != n[:-1]) | (total[1:] != total[:-1])))
+        self.n, self.total, self.times = n[new], total[new], np.add.reduceat(times[order], new)
+
+    def keep(self, n: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """Which of these rows, which follow all rows so far, fewer than ``k`` others dominate."""
+        keep = np.zeros(len(n), bool)
+        at = np.flatnonzero(self.floor[np.searchsorted(self.step, n)] > total)
+        if not len(at):
+            return keep
+        x, y = n[at], total[at]
+        over = ((self.n >= x[:, None]) & (self.total <= y[:, None])).astype("float64") @ self.times
+        over += np.tril((x >= x[:, None]) & (y <= y[:, None]), -1).sum(1)
+        stays = over < self.k
+        keep[at[stays]] = True
+        if stays.any():
+            self._take(x[stays], y[stays])
+        if not stays.all():
+            self._drop(x[~stays], y[~stays])
+        return keep
+
+
 def skyband(rows: DataFrame, k: int) -> DataFrame:
     """The rows (lang, source, term, n, total) that fewer than ``k`` others of their group *in
     their partition* dominate.
@@ -246,7 +291,7 @@ def skyband(rows: DataFrame, k: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, n, total = None, np.zeros(0, "int64"), np.zeros(0, "int64")
+        group, band = None, Band(k)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -256,14 +301,10 @@ def skyband(rows: DataFrame, k: int) -> DataFrame:
             keep = np.zeros(batch.num_rows, bool)
             for start, end in zip(starts, [*starts[1:], len(keys)], strict=True):
                 if keys[start] != group:
-                    group, n, total = keys[start], n[:0], total[:0]
+                    group, band = keys[start], Band(k)
                 for at in range(start, end, CHUNK):
-                    x, y = a[at : min(at + CHUNK, end)], b[at : min(at + CHUNK, end)]
-                    over = ((n >= x[:, None]) & (total <= y[:, None])).sum(1)
-                    over += np.tril((x >= x[:, None]) & (y <= y[:, None]), -1).sum(1)
-                    stays = over < k
-                    keep[at : at + len(x)] = stays
-                    n, total = np.append(n, x[stays]), np.append(total, y[stays])
+                    part = slice(at, min(at + CHUNK, end))
+                    keep[part] = band.keep(a[part], b[part])
             yield batch.filter(pa.array(keep))
 
     ordered = rows.sortWithinPartitions("lang", "source", "term")
