@@ -29,7 +29,8 @@ def build_session(app_name: str = "scholion", **conf: str) -> SparkSession:
         # Tokens are many times the size of the compressed payloads they come from, so
         # exchanged payload partitions are kept small.
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
-        # A task of whole records runs some 190 generated classes; beyond this many each task compiles anew.
+        # A task of whole records runs at least 172 generated classes; those the cache cannot hold are
+        # compiled in every task.
         "spark.sql.codegen.cache.maxEntries": "2000",
         # Groups arrive sorted by document; hash buffers need not give way early.
         "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
