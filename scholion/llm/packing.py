@@ -7,7 +7,8 @@ a bucket, and a batch is taken from one bucket.
 
 Tokens are those of the given tokenizer over the whole text. Encoding works chunk by chunk
 between ASCII white space, which this tokenizer drops, so known chunks come from a bounded
-table and only new ones are encoded.
+table and only new ones are encoded. A task drops its tables at its end, as Python workers
+outlive it and other operators need the memory.
 """
 
 from __future__ import annotations
@@ -26,12 +27,12 @@ MAX_LENGTH = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 
-#: Entries and bytes of a worker's tables of chunks and of words, keys and values with what Python
+#: Entries and bytes of a task's tables of chunks and of words, keys and values with what Python
 #: adds to each entry; beyond either a table starts anew. Longer chunks are encoded each time.
 KNOWN_CHUNKS = 1_000_000
 KNOWN_WORDS = 1_000_000
-CHUNK_BYTES = 160 << 20
-WORD_BYTES = 160 << 20
+CHUNK_BYTES = 96 << 20
+WORD_BYTES = 96 << 20
 ENTRY_BYTES = 200
 LONGEST_KNOWN = 200
 
@@ -60,6 +61,10 @@ class ChunkEncoder:
         self.word_end = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.word_end[i] = token.endswith("</w>")
+        self.forget()
+
+    def forget(self) -> None:
+        """Tables without an entry but the empty one."""
         self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {"": b""}
         self.chunk_bytes = self.word_bytes = 0
@@ -202,31 +207,35 @@ def pack_documents(
         import public_tokenizers
         from pyspark import TaskContext
 
-        encode = encoder(name or public_tokenizers.path(TOKENIZER)).encode
+        known = encoder(name or public_tokenizers.path(TOKENIZER))
         end, number = end_id.to_bytes(4, "little"), TaskContext.get().partitionId() << 33
-        for batch in batches:
-            for doc_ids, texts in grouped(batch):
-                rows: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids", "doc_tokens", "bucket")}
-                for doc_id, ids in zip(doc_ids, encode(texts), strict=True):
-                    ids += end
-                    n = len(ids) // 4
-                    lengths = binary_lengths(n, max_length)
-                    starts = list(accumulate(lengths, initial=0))[:-1]
-                    rows["doc_id"] += [doc_id] * len(lengths)
-                    rows["start"] += starts
-                    rows["length"] += lengths
-                    rows["ids"] += [ids[4 * a : 4 * (a + n)] for a, n in zip(starts, lengths, strict=True)]
-                    rows["doc_tokens"] += [n] * len(lengths)
-                    rows["bucket"] += [n.bit_length() - 1 for n in lengths]
-                made = len(rows["length"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[k], pa.int64()) for k in ("doc_id", "start", "length")]
-                    + [pa.array(rows["ids"], pa.binary()), pa.array(rows["doc_tokens"], pa.int64())]
-                    + [pa.array(rows["bucket"], pa.int32())]
-                    + [pa.array(range(number, number + made), pa.int64()), pa.array([0] * made, pa.int64())],
-                    names=["doc_id", "start", "length", "ids", "doc_tokens", "bucket", "sequence_id", "offset"],
-                )
-                number += made
+        try:
+            for batch in batches:
+                for doc_ids, texts in grouped(batch):
+                    rows: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids", "doc_tokens", "bucket")}
+                    for doc_id, ids in zip(doc_ids, known.encode(texts), strict=True):
+                        ids += end
+                        n = len(ids) // 4
+                        lengths = binary_lengths(n, max_length)
+                        starts = list(accumulate(lengths, initial=0))[:-1]
+                        rows["doc_id"] += [doc_id] * len(lengths)
+                        rows["start"] += starts
+                        rows["length"] += lengths
+                        rows["ids"] += [ids[4 * a : 4 * (a + n)] for a, n in zip(starts, lengths, strict=True)]
+                        rows["doc_tokens"] += [n] * len(lengths)
+                        rows["bucket"] += [n.bit_length() - 1 for n in lengths]
+                    made = len(rows["length"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(rows[k], pa.int64()) for k in ("doc_id", "start", "length")]
+                        + [pa.array(rows["ids"], pa.binary()), pa.array(rows["doc_tokens"], pa.int64())]
+                        + [pa.array(rows["bucket"], pa.int32())]
+                        + [pa.array(range(number, number + made), pa.int64()), pa.array([0] * made, pa.int64())],
+                        names=["doc_id", "start", "length", "ids", "doc_tokens", "bucket", "sequence_id", "offset"],
+                    )
+                    number += made
+        finally:
+            known.forget()
+            pa.default_memory_pool().release_unused()
 
     byte_bounded(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))

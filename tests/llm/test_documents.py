@@ -124,6 +124,23 @@ def test_chunks_relearned_after_the_table_is_full(monkeypatch):
     assert encode.encode(texts) == first
 
 
+def test_tables_end_with_their_task(spark):
+    """Python workers outlive a task and keep nothing of what it learned."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(50))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert packing.pack_documents(docs).agg(F.sum("length")).first()[0] > 200 * 50
+
+    def held(batches):
+        for _ in batches:
+            sizes = [len(e.chunks) + len(e.words) for e in packing._ENCODERS.values()]
+            yield pa.RecordBatch.from_pydict({"n": [max(sizes, default=0)]}, pa.schema([("n", pa.int64())]))
+
+    assert spark.range(0, 16, 1, 16).mapInArrow(held, "n long").agg(F.max("n")).first()[0] in (0, 2)
+
+
 def test_buckets_are_files(docs, tmp_path):
     packing.write_buckets(packing.pack_documents(docs), f"{tmp_path}/b")
     assert docs.sparkSession.read.parquet(f"{tmp_path}/b").where("length <> 1L << bucket").count() == 0
