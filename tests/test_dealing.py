@@ -39,6 +39,12 @@ def test_tasks_follow_lengths(spark, small_tasks):
     assert T.tasks_for(lengths(*[500] * 20, 1)) == 11
 
 
+def test_a_task_fits_the_memory_of_a_core(spark):
+    """70 bytes for each character of 80 million, in tasks of at most 600 MB."""
+    long = spark.range(10).select(F.repeat(F.lit("x"), 8_000_000).alias("payload"))
+    assert 80_000_000 * 70 / T.tasks_for(long) <= 600e6
+
+
 @pytest.mark.parametrize("mode, form", [("xml", ARTICLE), ("html", PAGE)])
 def test_tokens_are_dealt_by_length(spark, small_tasks, mode, form):
     given = payloads(spark, form, 60)
