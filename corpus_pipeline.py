@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of token ids."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, keep_tables=False)
 
 
 STAGES = [

@@ -7,8 +7,7 @@ a bucket, and a batch is taken from one bucket.
 
 Tokens are those of the given tokenizer over the whole text. Encoding works chunk by chunk
 between ASCII white space, which this tokenizer drops, so known chunks come from a bounded
-table and only new ones are encoded. A task drops its tables at its end, as Python workers
-outlive it and other operators need the memory.
+table and only new ones are encoded.
 """
 
 from __future__ import annotations
@@ -27,12 +26,12 @@ MAX_LENGTH = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 
-#: Entries and bytes of a task's tables of chunks and of words, keys and values with what Python
+#: Entries and bytes of a worker's tables of chunks and of words, keys and values with what Python
 #: adds to each entry; beyond either a table starts anew. Longer chunks are encoded each time.
 KNOWN_CHUNKS = 1_000_000
 KNOWN_WORDS = 1_000_000
-CHUNK_BYTES = 96 << 20
-WORD_BYTES = 96 << 20
+CHUNK_BYTES = 160 << 20
+WORD_BYTES = 160 << 20
 ENTRY_BYTES = 200
 LONGEST_KNOWN = 200
 
@@ -187,7 +186,8 @@ def binary_lengths(n: int, largest: int = MAX_LENGTH) -> list[int]:
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str | None = None, max_length: int = MAX_LENGTH, end_id: int = END_ID
+    docs: DataFrame, tokenizer: str | None = None, max_length: int = MAX_LENGTH, end_id: int = END_ID,
+    keep_tables: bool = True,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (binary, little-endian unsigned 32-bit),
     doc_tokens, bucket (log2 of the length), sequence_id, offset.
@@ -197,7 +197,8 @@ def pack_documents(
     sequence_id holds the partition in its upper bits and a running number in its lower 33, so
     it is unique without a pass over all pieces; a recomputed partition gives the same ids.
     One pass, no exchange; a task holds the ids of at most 500 documents and some four million
-    characters at a time, or those of one longer document.
+    characters at a time, or those of one longer document. Without keep_tables a task drops the
+    encoder's tables at its end: workers outlive it, and other operators of a session need the memory.
     """
     if max_length & (max_length - 1) or max_length < 1:
         raise ValueError("max_length must be a power of two")
@@ -234,8 +235,9 @@ def pack_documents(
                     )
                     number += made
         finally:
-            known.forget()
-            pa.default_memory_pool().release_unused()
+            if not keep_tables:
+                known.forget()
+                pa.default_memory_pool().release_unused()
 
     byte_bounded(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
