@@ -69,6 +69,29 @@ def test_queries_deal_by_length(spark, small_tasks):
         assert tokens(spark, folder).select(F.spark_partition_id()).distinct().count() > 20
 
 
+EXTRACTIONS = [
+    "xml_title", "xml_publish_date", "xml_first_article", "xml_keywords", "xml_authors", "xml_category",
+    "xml_date_candidates", "xml_ids", "xml_journal", "xml_table_columns", "xml_tables", "xml_section_keys",
+    "xml_table_json", "xml_abstract", "xml_table_rows", "xml_sections", "html_articles", "xml_fragment_tables",
+]
+
+
+def test_extractions_have_one_exchange_dealt_by_length(spark, small_tasks):
+    """All sorts and windows of a query run in the one exchange that was dealt by length."""
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(i, "line of words\n" * 20, "en", "s", 280) for i in range(40)]
+    spark.createDataFrame(rows, columns).write.parquet(f"{folder}/documents.parquet")
+    jobs = catalog.jobs()
+    for name in EXTRACTIONS:
+        plan = jobs[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+        tasks = catalog._line_tasks if "fragment" in name else catalog._html_tasks if "html" in name else catalog._jats_tasks
+        dealt = "Exchange hashpartitioning(doc_id#"
+        found = [line for line in plan.splitlines() if "Exchange " in line]
+        assert len(found) == 1 and dealt in found[0], (name, found)
+        assert f", {tasks(spark, folder)}), REPARTITION_BY_NUM" in found[0] and tasks(spark, folder) > 20, (name, found)
+
+
 def test_batches_deal_by_length(spark, small_tasks, monkeypatch):
     seen = []
     monkeypatch.setitem(streams.EXTRACTORS, "Xml", lambda batch, tasks=None: seen.append(tasks) or X.xml_article_results(batch, tasks))
