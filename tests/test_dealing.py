@@ -80,8 +80,8 @@ def test_extractions_have_one_exchange_dealt_by_length(spark, small_tasks):
     """All sorts and windows of a query run in the one exchange that was dealt by length."""
     folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     columns = "doc_id long, text string, lang string, source string, n_chars long"
-    rows = [(i, "line of words\n" * 20, "en", "s", 280) for i in range(40)]
-    spark.createDataFrame(rows, columns).write.parquet(f"{folder}/documents.parquet")
+    documents = [(i, "line of words\n" * 20, "en", "s", 280) for i in range(40)]
+    spark.createDataFrame(documents, columns).write.parquet(f"{folder}/documents.parquet")
     jobs = catalog.jobs()
     for name in EXTRACTIONS:
         plan = jobs[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
