@@ -1,7 +1,7 @@
 """Element table: the elements a job asks for, each with its own text.
 
-``unit_texts`` is the only place where tokens become text. It is shared by the XML and
-the HTML jobs and runs inside the document partitioning of the token table.
+``unit_texts`` and ``listed_texts`` are the only places where tokens become text. They run inside
+the document partitioning of the token table; the second is for tokens that are numbered.
 """
 
 from __future__ import annotations
@@ -32,9 +32,9 @@ def inside(scope: str) -> Column:
     )
 
 
-def first_element(match: Column) -> Column:
-    """First matching element of the document as struct (pos, end_pos, depth)."""
-    found = F.when(match & is_opener(), F.struct("pos", "end_pos", "depth"))
+def first_element(match: Column, *more: Column | str) -> Column:
+    """First matching element of the document as struct (pos, end_pos, depth, more)."""
+    found = F.when(match & is_opener(), F.struct("pos", "end_pos", "depth", *more))
     return F.min(found).over(W.partitionBy("doc_id"))
 
 
@@ -91,6 +91,59 @@ def unit_texts(
     )
 
 
+def listed_texts(
+    tokens: DataFrame,
+    units: list[str],
+    markers: list[str],
+    info: list[str],
+    whole: str | None = None,
+    tasks: int | None = None,
+) -> DataFrame:
+    """The rows of ``unit_texts`` for tokens that know their number ``n`` in the document and, where
+    an element opens, that of its end (``end_n``).
+
+    A document's texts are listed once and those of a unit are a stretch of that list, so no token is
+    spread over the units around it. Tokens whose text is null are in no unit; all others of a
+    document should follow one another, as a stretch is looked for by its numbers if there are gaps.
+
+    With ``tasks``, the elements are dealt to one task more than that, a row for each document. What comes
+    after then runs in a stage of its own: a stage should have fewer generated classes than the
+    session keeps (100 by default), as all tasks compile the others again.
+    """
+    def among(kinds: list[str]) -> str:
+        listed = ", ".join(f"'{k}'" for k in kinds)
+        return f"coalesce(kind in ({listed}), false)" if kinds else "false"
+
+    me = ", ".join(["pos", "end_pos", "depth", "kind", "skip_hidden", "hidden", *info])
+    own = f"struct({me}, n, end_n, is_open and {among(units)} as filled)"
+    rows = tokens.selectExpr(
+        "doc_id",
+        "if(text is not null, struct(n, text, hidden), null) as piece",
+        f"if((is_open or is_selfclosing) and {among(units + markers)}, {own}, null) as unit",
+    )
+    docs = rows.groupBy("doc_id").agg(
+        F.sort_array(F.collect_list("piece")).alias("pieces"), F.collect_list("unit").alias("units")
+    )
+    stretch = """case when not u.filled then array()
+        when d.whole then slice(d.pieces, cast(u.n - d.pieces[0].n + 1 as int), cast(u.end_n - u.n as int))
+        else filter(d.pieces, p -> p.n >= u.n and p.n < u.end_n) end"""
+    shown = "if(coalesce(u.skip_hidden, false), filter(ps, p -> p.hidden <= u.hidden), ps)"
+    joined = lambda ps: f"array_join(transform({ps}, p -> p.text), '')"
+    texts = [f"{joined(shown)} as text"]
+    if whole:
+        texts.append(f"if(u.{whole} is null, '', {joined('ps')}) as whole_text")
+    # The lists are bound once, so that nothing is made again for each unit.
+    followed = "coalesce(element_at(pieces, -1).n - pieces[0].n + 1 = size(pieces), false)"
+    of_units = f"""transform(array(struct(pieces, if(size(pieces) > 0, {followed}, false) as whole)), d ->
+        transform(units, u -> transform(array({stretch}), ps -> struct({", ".join(texts)}))[0]))[0]"""
+    found = docs.selectExpr("doc_id", "units", f"{of_units} as texts")
+    if tasks is not None:
+        # An exchange into the partitions that there are already would be left out.
+        found = found.repartition(tasks + 1, "doc_id")
+    found = found.selectExpr("doc_id", "inline(arrays_zip(units, texts)) as (unit, found)")
+    return found.select("doc_id", "unit.*", "found.*").drop("skip_hidden", "hidden", "n", "end_n", "filled")
+
+
 def first_text(match: Column, text: Column | None = None) -> Column:
     """Text of the first matching row, as aggregate."""
     text = F.col("text") if text is None else text

@@ -124,7 +124,11 @@ def tasks_for(payloads: DataFrame, column: str = "payload") -> int:
 
 
 def markup_tokens(
-    payloads: DataFrame, mode: str = "xml", keep_blank: bool = False, tasks: int | None = None
+    payloads: DataFrame,
+    mode: str = "xml",
+    keep_blank: bool = False,
+    tasks: int | None = None,
+    counters: dict[str, Column] | None = None,
 ) -> DataFrame:
     """``(doc_id, payload)`` to tokens.
 
@@ -136,6 +140,9 @@ def markup_tokens(
     does). A closing tag carries the attributes of its opening tag. HTML text is left undecoded.
     ``keep_blank`` gives payloads without any markup or text one token without a tag. ``tasks`` is the
     number of tasks that payloads are dealt to (see ``tasks_for``); the session's if it is not given.
+    ``counters`` are running sums over an XML document to add, by name: they follow from a tag's kind
+    and name and cost no pass of their own next to the depth. With them come n, the number of the
+    token in its document, and end_n, the number of the matching close tag.
 
     HTML is repaired, not rejected. Every element has an end: where a tag ends it, where a tag
     implies its end (see ``IMPLIED_ENDS``), where an element around it ends, or at the end of
@@ -143,7 +150,7 @@ def markup_tokens(
     tokens of a page are a tree. A closing tag that closes nothing is bad, and no tag.
     """
     parts = _parts(payloads, mode, keep_blank=keep_blank, tasks=tasks)
-    return _xml_structure(parts) if mode == "xml" else _html_structure(parts)
+    return _xml_structure(parts, counters or {}) if mode == "xml" else _html_structure(parts)
 
 
 def _parts(
@@ -212,18 +219,18 @@ def _own_level() -> Column:
     return F.col("level") + F.when(F.col("is_close") | F.col("is_selfclosing"), 1).otherwise(0)
 
 
-def _with_neighbours(items: DataFrame, *keys: str) -> DataFrame:
-    """Add nxt and prv: opening and closing tags of one depth alternate, so neighbours are
-    partners."""
+def _with_neighbours(items: DataFrame, *keys: str, more: tuple[str, ...] = ()) -> DataFrame:
+    """Add nxt, with the columns ``more``, and prv: opening and closing tags of one depth alternate,
+    so neighbours are partners."""
     pairable = F.col("is_open") | F.col("is_close")
     w = W.partitionBy(*keys, F.when(pairable, F.col("depth"))).orderBy("pos")
-    other = F.when(F.col("is_open"), F.lead(F.struct("pos", "qname", "is_close")).over(w))
+    other = F.when(F.col("is_open"), F.lead(F.struct("pos", "qname", "is_close", *more)).over(w))
     back = F.when(F.col("is_close"), F.lag(F.struct("pos", "qname", "is_open", "attrs")).over(w))
     return items.select("*", other.alias("nxt"), back.alias("prv"))
 
 
-def _xml_tokens(paired: DataFrame) -> DataFrame:
-    """Items with level, depth, nxt and prv to the columns of the token table."""
+def _xml_tokens(paired: DataFrame, *more: Column | str) -> DataFrame:
+    """Items with level, depth, nxt and prv to the columns of the token table and ``more``."""
     has_end = F.coalesce(F.expr("nxt.is_close and nxt.qname = qname"), F.lit(False))
     has_start = F.coalesce(F.expr("prv.is_open and prv.qname = qname"), F.lit(False))
     unpaired = (
@@ -250,6 +257,7 @@ def _xml_tokens(paired: DataFrame) -> DataFrame:
         .alias("start_pos"),
         fault.isNotNull().alias("bad"),
         fault.alias("fault"),
+        *more,
     )
 
 
@@ -258,10 +266,16 @@ def _exploded(parts: DataFrame, *keys: str) -> DataFrame:
     return parts.select(*keys, found).select(*keys, "pos", "item.*")
 
 
-def _xml_structure(parts: DataFrame) -> DataFrame:
+def _xml_structure(parts: DataFrame, counters: dict[str, Column]) -> DataFrame:
     items = _xml_items(_exploded(parts, "doc_id"), "doc_id", "pos")
-    leveled = items.select("*", F.sum("step").over(in_doc_order()).alias("level"))
-    return _xml_tokens(_with_neighbours(leveled.withColumn("depth", _own_level()), "doc_id"))
+    if not counters:
+        leveled = items.select("*", F.sum("step").over(in_doc_order()).alias("level"))
+        return _xml_tokens(_with_neighbours(leveled.withColumn("depth", _own_level()), "doc_id"))
+    sums = {"level": F.col("step"), "n": F.lit(1)} | counters
+    leveled = items.select("*", *[running_sum(c).alias(name) for name, c in sums.items()])
+    paired = _with_neighbours(leveled.withColumn("depth", _own_level()), "doc_id", more=("n",))
+    end_n = F.when(F.col("is_selfclosing"), F.col("n")).otherwise(F.col("nxt.n")).alias("end_n")
+    return _xml_tokens(paired, "n", end_n, *counters)
 
 
 # --- very large documents ----------------------------------------------------------

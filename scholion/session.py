@@ -11,7 +11,11 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 # The JVM does not compile methods above 8000 bytes. Generated code of that size is split
 # into small functions instead of being run by the byte code interpreter.
-JOB_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+JOB_CONF = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Groups by document come sorted by it: one is held at a time, and in one step.
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
+}
 
 
 def tuned(spark: SparkSession) -> SparkSession:
