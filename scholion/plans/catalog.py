@@ -79,7 +79,7 @@ def _line_tasks(spark, sf):
 
 
 def _xml_tokens(spark, sf):
-    return markup_tokens(_jats(spark, sf), "xml", tasks=_jats_tasks(spark, sf))
+    return X.xml_tokens(_jats(spark, sf), tasks=_jats_tasks(spark, sf))
 
 
 def _html_tokens(spark, sf):
@@ -445,26 +445,27 @@ def _resolution(spark, sf):
 # --- streams -----------------------------------------------------------------------
 
 
-def _staged_stream(spark, df: DataFrame, folder: str) -> DataFrame:
-    """The rows as a stream of several batches."""
-    df.repartition(2).write.mode("overwrite").parquet(f"{folder}/in")
+def _staged_stream(spark, df: DataFrame, folder: str, files: int = 1) -> DataFrame:
+    """The rows as a stream of two batches, each of so many files."""
+    df.repartition(2 * files).write.mode("overwrite").parquet(f"{folder}/in")
     return (
         spark.readStream.schema(df.schema)
-        .option("maxFilesPerTrigger", 1)
+        .option("maxFilesPerTrigger", files)
         .parquet(f"{folder}/in")
     )
 
 
-def _streamed(spark, payloads, method):
-    """Articles and errors of a stream of payloads."""
+def _streamed(spark, payloads, method, tasks):
+    """Articles and errors of a stream of payloads, with a file for each of the tasks that the
+    payloads ask for."""
     folder = work_folder(spark)
-    stream = _staged_stream(spark, payloads, folder)
+    stream = _staged_stream(spark, payloads, folder, max(1, tasks // 2))
     streams.stream_extract(stream, f"{folder}/out", f"{folder}/state", method).awaitTermination()
     return spark.read.parquet(f"{folder}/out/articles"), spark.read.parquet(f"{folder}/out/errors")
 
 
 def _stream_extract(spark, sf):
-    done, failed = _streamed(spark, _jats(spark, sf), "Xml")
+    done, failed = _streamed(spark, _jats(spark, sf), "Xml", _jats_tasks(spark, sf))
     return done.select("doc_id", "pmc_id", "title", F.lit(None).cast("string").alias("error")).unionByName(
         failed.select("doc_id", F.lit(None).cast("int").alias("pmc_id"), F.lit(None).cast("string").alias("title"), "error")
     )
@@ -472,12 +473,12 @@ def _stream_extract(spark, sf):
 
 def _stream_extract_fields(spark, sf):
     """Whole records and whole error rows."""
-    done, failed = _streamed(spark, _jats(spark, sf), "Xml")
+    done, failed = _streamed(spark, _jats(spark, sf), "Xml", _jats_tasks(spark, sf))
     return _flat(done.drop("batch_id")).unionByName(failed.drop("batch_id"), allowMissingColumns=True)
 
 
 def _stream_extract_web(spark, sf):
-    done, failed = _streamed(spark, _html(spark, sf), "Web")
+    done, failed = _streamed(spark, _html(spark, sf), "Web", _html_tasks(spark, sf))
     return _flat(done.drop("batch_id")).unionByName(failed.drop("batch_id"), allowMissingColumns=True)
 
 
