@@ -97,7 +97,7 @@ def test_listed_texts_are_unit_texts(spark):
 
 @pytest.mark.parametrize("name, most", [("sections", 9), ("tables", 8)])
 def test_few_passes(spark, name, most):
-    """Windows of a query from payloads to rows; there were 14 for sections and 14 for tables."""
+    """Windows of a query from payloads to rows; there were 13 for sections and 11 for tables."""
     found = plan(OPERATORS[name](X.xml_tokens(payloads(tuned(spark), WHOLE), tasks=3)))
     assert found.count("- Window [") <= most, found.count("- Window [")
     assert "listagg" not in found and "SortAggregate" in found
